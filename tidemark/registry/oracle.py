@@ -5,6 +5,22 @@ from __future__ import annotations
 from tidemark.plans.governance import PERSONAL_DATA
 from tidemark.registry.queries import AS_OF, HIRED_BY, SALT
 
+def quantiles(source: str, group: str, value: str, wanted: dict[str, float]) -> str:
+    """Linear interpolation written out, low + (high - low) * fraction."""
+    picks = ", ".join(
+        f"""MAX(CASE WHEN i = floor((n - 1) * {q}::DOUBLE) THEN v END)
+        + (MAX(CASE WHEN i = ceil((n - 1) * {q}::DOUBLE) THEN v END) - MAX(CASE WHEN i = floor((n - 1) * {q}::DOUBLE) THEN v END))
+        * ((MAX(n) - 1) * {q}::DOUBLE - floor((MAX(n) - 1) * {q}::DOUBLE)) AS {name}"""
+        for name, q in wanted.items()
+    )
+    return f"""SELECT g, {picks} FROM (
+      SELECT {group} AS g, {value} AS v, COUNT(*) OVER (PARTITION BY {group}) AS n,
+        ROW_NUMBER() OVER (PARTITION BY {group} ORDER BY {value}) - 1 AS i
+      FROM {source} WHERE {value} IS NOT NULL) GROUP BY g"""
+
+
+BAND = {"p05": 0.05, "p95": 0.95}
+
 PEOPLE = """
 people AS (
   SELECT c.*, n_name, r_name FROM customer c
@@ -62,15 +78,14 @@ typed AS (
       AND NOT regexp_matches(hire_date, '^-?[0-9]{{1,4}}$') THEN TRY_CAST(hire_date AS DATE) END AS hire_date,
     CASE WHEN years_experience BETWEEN 0 AND 50 THEN years_experience END AS years_experience)
   FROM raw_employees),
-level_stats AS (
-  SELECT level AS lv, median(years_experience) AS med, quantile_cont(salary, 0.05) AS p05, quantile_cont(salary, 0.95) AS p95
-  FROM typed GROUP BY level),
+level_median AS ({quantiles("typed", "level", "years_experience", {"med": 0.5})}),
+level_band AS ({quantiles("typed", "level", "salary", BAND)}),
 clean_employees AS (
   SELECT employee_id, full_name, email, department, role, level, hire_date,
     CASE WHEN salary > p95 * 1.5 OR salary < p05 * 0.5 THEN p95 ELSE salary END AS salary,
     manager_id, region, status, COALESCE(years_experience, med) AS years_experience,
     (salary > p95 * 1.5 OR salary < p05 * 0.5) AS salary_flagged_outlier
-  FROM typed LEFT JOIN level_stats ON level = lv)"""
+  FROM typed LEFT JOIN level_median m ON level = m.g LEFT JOIN level_band b ON level = b.g)"""
 
 TRANSACTIONS = """
 transactions AS (
@@ -278,8 +293,7 @@ def _far(column: str, source: str) -> str:
 
 def _band(column: str, group: str, source: str) -> str:
     return f"""SELECT '{column} in {group} band' AS "column", {_status("n > 0")} AS status, CAST(n AS DOUBLE) AS metric
-      FROM (SELECT COUNT(*) AS n FROM {source} JOIN (SELECT {group} AS g, quantile_cont({column}, 0.05) AS p05,
-            quantile_cont({column}, 0.95) AS p95 FROM {source} GROUP BY {group}) ON {group} = g
+      FROM (SELECT COUNT(*) AS n FROM {source} JOIN ({quantiles(source, group, column, BAND)}) ON {group} = g
             WHERE {column} > 1.5 * p95 OR {column} < 0.5 * p05)"""
 
 
@@ -471,15 +485,14 @@ ORACLE: dict[str, str] = {
         COALESCE(amount, 0) AS amount_aed, strftime(transaction_date, '%Y-%m') AS transaction_year_month
       FROM raw_transactions t LEFT JOIN raw_projects p ON p.project_id = t.project_id
       LEFT JOIN supplier ON s_suppkey = approved_by""",
-    "winsorise_band": """
-      WITH b AS (SELECT event_type AS t, quantile_cont(value, 0.05) AS p05, quantile_cont(value, 0.95) AS p95 FROM events GROUP BY 1)
+    "winsorise_band": f"""
+      WITH b AS ({quantiles("events", "event_type", "value", BAND)})
       SELECT event_id, event_type, CASE WHEN value > p95 * 1.5 OR value < p05 * 0.5 THEN p95 ELSE value END AS value,
         (value > p95 * 1.5 OR value < p05 * 0.5) AS flagged
-      FROM events JOIN b ON event_type = t""",
-    "value_quantiles": """
-      SELECT l_returnflag, ROUND(quantile_cont(l_extendedprice, 0.05), 4) AS p05,
-        ROUND(quantile_cont(l_extendedprice, 0.5), 4) AS median, ROUND(quantile_cont(l_extendedprice, 0.95), 4) AS p95
-      FROM lineitem GROUP BY l_returnflag""",
+      FROM events JOIN b ON event_type = g""",
+    "value_quantiles": f"""
+      SELECT g AS l_returnflag, ROUND(p05, 4) AS p05, ROUND(median, 4) AS median, ROUND(p95, 4) AS p95
+      FROM ({quantiles("lineitem", "l_returnflag", "l_extendedprice", {"p05": 0.05, "median": 0.5, "p95": 0.95})})""",
     "risk_value_counts": f'WITH {PROJECTS} SELECT risk_level AS "value", COUNT(*) AS "rows" FROM projects GROUP BY risk_level',
     "dedupe_first": """
       SELECT * FROM lineitem QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate,
