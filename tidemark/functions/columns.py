@@ -85,14 +85,22 @@ BARE_NUMBER = r"^-?\d{1,4}$"
 LONG_YEAR = r"^\d{5,}-\d{2}-\d{2}$"
 
 
-def money(c: Column) -> Column:
-    """Exact two-digit amount, so that sums do not depend on row order."""
-    return c.cast("decimal(18,2)")
+def cents(c: Column) -> Column:
+    """An amount as whole cents.
+
+    Sums of it are exact, so they do not depend on row order, and wide enough for any
+    table. Rounding to a long first is cheaper than casting a double to a scaled decimal.
+    """
+    return F.rint(c * 100).cast("long").cast("decimal(18,0)")
+
+
+def from_cents(c: Column) -> Column:
+    return c.cast("double") / 100
 
 
 def money_sum(c: Column) -> Column:
-    """Exact sum, returned as a double."""
-    return F.sum(money(c)).cast("double")
+    """Exact sum of two-digit amounts, returned as a double."""
+    return from_cents(F.sum(cents(c)))
 
 
 def row_count() -> Column:

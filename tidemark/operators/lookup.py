@@ -107,10 +107,9 @@ def _join_apart(fact: DataFrame, side: DataFrame, on: dict[str, str], how: str)
     counts = fact.dropna(subset=fact_keys).groupBy(*[F.col(f"`{k}`") for k in fact_keys]).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    total = counts.agg(F.sum("_n").alias("_total"))
-    over_share = F.col("_n") > F.col("_total") * HOT_SHARE
+    over_share = F.col("_n") > counts.agg(F.sum("_n")).scalar() * HOT_SHARE
     hot = stage(
-        counts.crossJoin(F.broadcast(total)).filter(over_share).select(
+        counts.filter(over_share).select(
             *[F.col(f"`{k}`").alias(s) for k, s in zip(fact_keys, side_keys)], F.lit(True).alias("_hot")
         ),
         "hot-keys",

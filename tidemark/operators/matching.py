@@ -65,7 +65,8 @@ def fifo_match(
     numbered = lowest.withColumn(
         "_k", F.when(F.col("_side") == 0, F.col("_opened")).when(useful, F.col("_closed") + floor)
     ).filter(F.col("_k").isNotNull())
-    pairs = numbered.groupBy("_group", "_k").agg(
+    # Pairs hold at most two rows, so combining before the shuffle would only cost a sort.
+    pairs = numbered.repartition("_group", "_k").groupBy("_group", "_k").agg(
         F.first("_open", ignorenulls=True).alias("_open"),
         F.first("_close", ignorenulls=True).alias("_close"),
     )

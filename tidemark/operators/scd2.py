@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import OPEN_END, UNKNOWN_START
+from tidemark.functions.columns import OPEN_END, UNKNOWN_START, row_count
 from tidemark.operators.matching import overlapping_intervals
 from tidemark.operators.ordered import number_rows
 
@@ -147,17 +147,10 @@ def row_equation(
     dimension: DataFrame, changes: DataFrame, snapshot: DataFrame, key: str = "employee_id"
 ) -> DataFrame:
     """Rows present against rows expected: one per change plus one per key without changes."""
-    count = F.count(F.lit(1))
     known = snapshot.select(key)
-    in_snapshot = changes.select(key).join(known, key, "left_semi")
-    without = known.join(changes.select(key), key, "left_anti")
-    actual = dimension.agg(count.alias("actual_rows"))
-    from_changes = in_snapshot.agg(count.alias("_changes"))
-    from_snapshot = without.agg(count.alias("_without"))
-    # three one-row frames
-    return actual.crossJoin(F.broadcast(from_changes)).crossJoin(F.broadcast(from_snapshot)).select(
-        "actual_rows", (F.col("_changes") + F.col("_without")).alias("expected_rows")
-    )
+    with_person = changes.select(key).join(known, key, "left_semi").agg(row_count()).scalar()
+    without_change = known.join(changes.select(key), key, "left_anti").agg(row_count()).scalar()
+    return dimension.agg(row_count().alias("actual_rows")).withColumn("expected_rows", with_person + without_change)
 
 
 def version_gaps(dimension: DataFrame, key: str = "employee_id", surrogate: str = "employee_key") -> DataFrame:

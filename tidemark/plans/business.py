@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import count_where, money, money_sum, row_count, share_pct, year_month
+from tidemark.functions.columns import cents, count_where, from_cents, money_sum, row_count, share_pct, year_month
 from tidemark.operators.lookup import lookup_join
 
 
@@ -53,11 +53,11 @@ def manager_workload(projects: DataFrame, employees: DataFrame, more_than: int =
 def vendor_spend(transactions: DataFrame, vendors: DataFrame) -> DataFrame:
     """Spend and rows per vendor name; transactions are summed per id before the lookup."""
     per_id = transactions.groupBy("vendor_id").agg(
-        F.sum(money(F.col("amount_aed"))).alias("_spend"), row_count().alias("_rows")
+        F.sum(cents(F.col("amount_aed"))).alias("_spend"), row_count().alias("_rows")
     )
     named = lookup_join(per_id, vendors, {"vendor_id": "vendor_id"}, ["vendor_name"], how="inner")
     return named.groupBy("vendor_name").agg(
-        F.sum("_spend").cast("double").alias("total_spend"),
+        from_cents(F.sum("_spend")).alias("total_spend"),
         F.sum("_rows").alias("transaction_count"),
     )
 
@@ -67,12 +67,11 @@ def vendor_concentration(
 ) -> DataFrame:
     """Vendors holding more than ``above`` percent of the spend."""
     spend = vendor_spend(transactions, vendors)
-    total = spend.agg(money_sum(F.col("total_spend")).alias("_total"))
-    share = F.lit(100.0) * F.col("total_spend") / F.col("_total")
+    total = spend.agg(money_sum(F.col("total_spend"))).scalar()
+    share = F.lit(100.0) * F.col("total_spend") / total
     flag = F.when(share > high, "HIGH").when(share > above, "MEDIUM").otherwise("NORMAL")
     return (
-        spend.crossJoin(F.broadcast(total))  # one row
-        .filter(share > above)
+        spend.filter(share > above)
         .select(
             "vendor_name", "total_spend", "transaction_count",
             F.round(share, 2).alias("percentage_of_total_spend"), flag.alias("risk_flag"),
@@ -106,34 +105,28 @@ def monthly_spend(transactions: DataFrame) -> DataFrame:
     """
     monthly = transactions.groupBy(
         year_month(F.col("transaction_date")).alias("year_month"), "category"
-    ).agg(F.sum(money(F.col("amount_aed"))).alias("_spend"))
+    ).agg(F.sum(cents(F.col("amount_aed"))).alias("_spend"))
     by_category = Window.partitionBy("category").orderBy("year_month")
-    spend = F.col("_spend").cast("double")
+    spend = from_cents(F.col("_spend"))
     before = F.lag(spend).over(by_category)
     return monthly.select(
         "year_month", "category", spend.alias("monthly_spend"),
-        F.sum("_spend").over(by_category.rowsBetween(Window.unboundedPreceding, 0)).cast("double").alias("running_total"),
+        from_cents(F.sum("_spend").over(by_category.rowsBetween(Window.unboundedPreceding, 0))).alias("running_total"),
         F.round(F.lit(100.0) * (spend - before) / F.nullif(before, F.lit(0.0)), 2).alias("month_over_month_pct_change"),
     ).orderBy("category", "year_month")
 
 
 def trailing_year(transactions: DataFrame, months: int = 12) -> DataFrame:
     """Transactions of the last ``months`` months of the data."""
-    last = transactions.agg(F.add_months(F.max("transaction_date"), -months).alias("_since"))
-    return (
-        transactions.crossJoin(F.broadcast(last))  # one row
-        .filter(F.col("transaction_date") > F.col("_since"))
-        .drop("_since")
-    )
+    since = transactions.agg(F.add_months(F.max("transaction_date"), -months)).scalar()
+    return transactions.filter(F.col("transaction_date") > since)
 
 
 def above_average_pending(transactions: DataFrame, projects: DataFrame, employees: DataFrame) -> DataFrame:
     """Pending transactions above the pending average, on projects neither completed nor on hold."""
     pending = transactions.filter(F.col("payment_status") == "Pending")
-    average = pending.agg(
-        (F.sum(money(F.col("amount"))).cast("double") / F.count("amount")).alias("_average")
-    )
-    large = pending.crossJoin(F.broadcast(average)).filter(F.col("amount") > F.col("_average"))  # one row
+    average = pending.agg(money_sum(F.col("amount")) / F.count("amount")).scalar()
+    large = pending.filter(F.col("amount") > average)
     open_projects = projects.filter(~F.col("status").isin("Completed", "On Hold"))
     with_project = lookup_join(
         large, open_projects, {"project_id": "project_id"},
@@ -171,15 +164,12 @@ def issue_rate(projects: DataFrame, issues: DataFrame) -> DataFrame:
     flagged = projects.select("project_id", "project_name", "status").join(
         raised.withColumn("_issue", F.lit(True)), "project_id", "left"
     ).select("project_id", "project_name", "status", F.coalesce("_issue", F.lit(False)).alias("had_issue"))
-    overall = flagged.agg(share_pct(count_where(F.col("had_issue")), row_count()).alias("issue_pct"))
-    return flagged.crossJoin(F.broadcast(overall))  # one row
+    overall = flagged.agg(share_pct(count_where(F.col("had_issue")), row_count())).scalar()
+    return flagged.withColumn("issue_pct", overall)
 
 
 def share_of_total(df: DataFrame, group: str, value: Column) -> DataFrame:
     """Group sum, and its percentage of the grand total (no group holds the whole table)."""
-    sums = df.groupBy(group).agg(F.sum(money(value)).alias("_sum"))
-    total = sums.agg(F.sum("_sum").alias("_total"))
-    return sums.crossJoin(F.broadcast(total)).select(  # one row
-        group, F.col("_sum").cast("double").alias("total"),
-        share_pct(F.col("_sum"), F.col("_total")).alias("share_pct"),
-    )
+    sums = df.groupBy(group).agg(money_sum(value).alias("total"))
+    whole = df.agg(money_sum(value)).scalar()
+    return sums.select(group, "total", share_pct(F.col("total"), whole).alias("share_pct"))

@@ -135,12 +135,11 @@ def employee_quality_summary(employees: DataFrame, cleaned: DataFrame, as_of: da
         count_where(_implausible(as_of)).alias("implausible_hire_date_fixed"),
         count_where(_out_of_range()).alias("years_experience_out_of_range_fixed"),
     )
-    banded = cleaned.agg(count_where(F.col("salary_flagged_outlier")).alias("salary_level_mismatch_fixed"))
-    conflicts = status_conflicts(employees).agg(
-        F.coalesce(F.sum("active_reports"), F.lit(0)).alias("status_conflicts_found")
+    banded = cleaned.agg(count_where(F.col("salary_flagged_outlier")))
+    conflicts = status_conflicts(employees).agg(F.coalesce(F.sum("active_reports"), F.lit(0)))
+    return found.withColumns(
+        {"salary_level_mismatch_fixed": banded.scalar(), "status_conflicts_found": conflicts.scalar()}
     )
-    # three one-row frames
-    return found.crossJoin(F.broadcast(banded)).crossJoin(F.broadcast(conflicts))
 
 
 def enrich_transactions(transactions: DataFrame, projects: DataFrame, employees: DataFrame) -> DataFrame:

@@ -11,12 +11,11 @@ from tidemark.plans.business import vendor_spend
 
 def kpi_cards(projects: DataFrame, transactions: DataFrame) -> DataFrame:
     """One row of headline numbers."""
-    totals = projects.agg(
+    return projects.agg(
         money_sum(F.col("budget")).alias("total_budget"),
         money_sum(F.col("actual_cost")).alias("total_actual_spend"),
         share_pct(count_where(F.col("is_over_budget")), row_count()).alias("pct_over_budget_projects"),
-    )
-    return totals.crossJoin(F.broadcast(transactions.agg(row_count().alias("total_transactions"))))  # one row each
+    ).withColumn("total_transactions", transactions.agg(row_count()).scalar())
 
 
 _SLICERS = ["project_id", "project_name", "department", "region", "status", "status_category", "priority"]

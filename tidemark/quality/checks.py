@@ -225,15 +225,17 @@ def outliers(df: DataFrame, checks: Checks) -> list[DataFrame]:
     if not present:
         return []
     stats = df.agg(
-        *[F.avg(_number(c)).alias(f"_mean{i}") for i, c in enumerate(present)],
-        *[F.stddev_pop(_number(c)).alias(f"_std{i}") for i, c in enumerate(present)],
-    )
-    far = [
-        count_where((F.col(f"_std{i}") > 0)
-                    & (F.abs(_number(c) - F.col(f"_mean{i}")) / F.col(f"_std{i}") > checks.max_z)).alias(f"n{i}")
-        for i, c in enumerate(present)
-    ]
-    counted = df.select(*present).crossJoin(F.broadcast(stats)).agg(*far)  # stats is one row
+        F.struct(
+            *[F.avg(_number(c)).alias(f"mean{i}") for i, c in enumerate(present)],
+            *[F.stddev_pop(_number(c)).alias(f"std{i}") for i, c in enumerate(present)],
+        )
+    ).scalar()
+    far = []
+    for i, c in enumerate(present):
+        mean, std = stats[f"mean{i}"], stats[f"std{i}"]
+        distance = F.when(std > 0, F.abs(_number(c) - mean) / std)
+        far.append(count_where(distance > checks.max_z).alias(f"n{i}"))
+    counted = df.agg(*far)
     entries = [
         _entry("outliers", c, _fail_if(F.col(f"n{i}") > 0), F.col(f"n{i}"),
                F.concat(F.col(f"n{i}"), F.lit(f" values beyond {checks.max_z:g} std dev")))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import count_where, money_sum, row_count
 from tidemark.operators import matching, scd2, star
-from tidemark.operators.lookup import point_in_time_join
+from tidemark.operators.lookup import lookup_join, point_in_time_join
 from tidemark.operators.quantile import flag_outside_band, group_quantiles
 from tidemark.plans import business, cleaning, dashboard, governance, views
 from tidemark.plans import events as ev
@@ -253,10 +253,10 @@ def manager_workload(spark, folder):
 
 def _approved_lines(spark, folder):
     """Line items with the order's customer as approver."""
-    orders = _table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("project_id"), F.col("o_custkey").alias("approved_by")
+    return lookup_join(
+        views.transactions(spark, folder), _table(spark, folder, "orders"),
+        {"project_id": "o_orderkey"}, {"approved_by": "o_custkey"},
     )
-    return views.transactions(spark, folder).join(orders, "project_id", "left")
 
 
 def point_in_time_value(spark, folder):

@@ -173,9 +173,7 @@ def summary(counts: DataFrame, forwarded: DataFrame) -> DataFrame:
         F.coalesce(F.sum("event_count"), F.lit(0)).alias("total_consumed"),
         F.count(F.lit(1)).alias("event_types"),
     )
-    return consumed.crossJoin(  # one row each
-        F.broadcast(forwarded.agg(F.count(F.lit(1)).alias("critical_forwarded")))
-    )
+    return consumed.withColumn("critical_forwarded", forwarded.agg(F.count(F.lit(1))).scalar())
 
 
 def rate(query: StreamingQuery) -> dict[str, float]:
