@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import Running, running, slice_rows
@@ -11,12 +11,13 @@ from tidemark.operators.ordered import Running, running, slice_rows
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of every key by ``order``.
 
-    An aggregate rather than ``row_number``: each map task keeps one row per key,
-    so a key with many copies does not travel. ``order`` should end in columns
-    that separate equal times. Null keys form one group each.
+    Asking for row number 1 lets Spark keep one row per key in every map task before
+    the shuffle, so a key with many copies does not travel, and columns nobody reads
+    are pruned. ``order`` should end in columns that separate equal times. Null keys
+    form one group each.
     """
-    first = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(first).select("_row.*")
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_nth", nth).filter(F.col("_nth") == 1).drop("_nth")
 
 
 def fifo_match(

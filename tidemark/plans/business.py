@@ -101,11 +101,14 @@ def open_issues(transactions: DataFrame, projects: DataFrame, above: float = 50_
 def monthly_spend(transactions: DataFrame) -> DataFrame:
     """Spend per month and category with running total and change from the month before.
 
-    The windows run over the monthly sums, a bounded number of rows per category.
+    Months are grouped as dates and written as text afterwards. The windows run over
+    the monthly sums, a bounded number of rows per category.
     """
-    monthly = transactions.groupBy(
-        year_month(F.col("transaction_date")).alias("year_month"), "category"
-    ).agg(F.sum(cents(F.col("amount_aed"))).alias("_spend"))
+    monthly = (
+        transactions.groupBy(F.trunc("transaction_date", "month").alias("_month"), "category")
+        .agg(F.sum(cents(F.col("amount_aed"))).alias("_spend"))
+        .withColumn("year_month", year_month(F.col("_month")))
+    )
     by_category = Window.partitionBy("category").orderBy("year_month")
     spend = from_cents(F.col("_spend"))
     before = F.lag(spend).over(by_category)

@@ -33,7 +33,7 @@ def validate_events(
     """
     if raw is not None:
         events = events.observe(raw, row_count().alias("rows"))
-    keyed = events.dropna(subset=["event_id", "user_id"])
+    keyed = events.filter(F.col("event_id").isNotNull() & F.col("user_id").isNotNull())
     if with_keys is not None:
         keyed = keyed.observe(with_keys, row_count().alias("rows"))
     return event_time_parts(keep_first(keyed, ["event_id"], ["timestamp", *tiebreak]))
