@@ -100,9 +100,19 @@ def test_write_table_counts_and_partitions(spark, tmp_path):
     pruned = read_table(spark, path).filter("part = 2")
     assert pruned.count() == 25
     assert "PartitionFilters: [isnotnull(part" in pruned._jdf.queryExecution().executedPlan().toString()
-    spread = str(tmp_path / "spread")
-    write_table(df, spread, partition_by=["part"], spread=3)
-    assert read_table(spark, spread).count() == 100
+
+
+def test_a_big_partition_value_is_written_by_several_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        df = spark.range(60_000).select(
+            F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("v"),
+            F.when(F.col("id") < 50_000, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 3)).alias("part"),
+        ).repartition(8)
+        assert write_table(df, str(tmp_path / "t"), partition_by=["part"]) == 60_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "part=hot").glob("*.parquet"))) > 1
 
 
 def test_replacing_partitions_leaves_the_others(spark, tmp_path, rows):

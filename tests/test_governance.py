@@ -42,7 +42,7 @@ def test_retention(spark, tmp_path):
     df = spark.createDataFrame([(d,) for d in days], "d date")
     split = gov.retention_split(df, "d", as_of, gov.RETENTION["transactions"])
     assert [r.disposition for r in split.collect()] == ["keep", "archive", "delete", "archive", "keep"]
-    gov.write_by_disposition(split, str(tmp_path / "r"))
+    assert gov.write_by_disposition(split, str(tmp_path / "r")) == 4
     assert spark.read.parquet(str(tmp_path / "r")).count() == 4
     events = gov.retention_split(df, "d", as_of, gov.RETENTION["events"])
     assert [r.disposition for r in events.collect()] == ["keep", "keep", "delete", "delete", "keep"]

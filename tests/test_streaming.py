@@ -83,13 +83,19 @@ def test_critical_events_are_forwarded_once(spark, source, tmp_path):
     assert tuple(st.summary(counts, forwarded).first()) == (5, 2, 2)
 
 
-def test_dedupe_and_daily_volume(spark, source):
+@pytest.mark.parametrize("salts", [0, 4])
+def test_dedupe(spark, source, salts):
     folder, read = source
     put(folder, "events_2.jsonl", SECOND)
-    unique = st.dedupe(read(), keys=["event_id"], time="timestamp", late_by="2 days")
+    unique = st.dedupe(read(), keys=["event_id"], time="timestamp", late_by="2 days", salts=salts)
     landing = st.Landing.fresh(spark, "t-dedupe")
     st.land(unique, landing)
     assert sorted(r.event_id for r in st.landed(spark, unique, landing).collect()) == ["1", "2", "3", "4"]
+
+
+def test_daily_volume(spark, source):
+    folder, read = source
+    put(folder, "events_2.jsonl", SECOND)
     daily = st.daily_volume(read(), time="timestamp", late_by="2 days")
     landing = st.Landing.fresh(spark, "t-daily")
     st.land_updates(daily, landing)

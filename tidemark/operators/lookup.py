@@ -75,6 +75,9 @@ def lookup_join(
     ``how='inner'`` drops facts without a match instead.
     """
     names = columns if isinstance(columns, dict) else {c: c for c in columns}
+    taken = set(names) & set(fact.columns)
+    if taken:
+        raise ValueError(f"columns already present: {sorted(taken)}")
     side = dim.select(
         *[F.col(d).alias(f"_k{i}") for i, d in enumerate(on.values())],
         *[F.col(c).alias(f"_v_{n}") for n, c in names.items()],

@@ -127,7 +127,9 @@ def trailing_year(transactions: DataFrame, months: int = 12) -> DataFrame:
 
 def above_average_pending(transactions: DataFrame, projects: DataFrame, employees: DataFrame) -> DataFrame:
     """Pending transactions above the pending average, on projects neither completed nor on hold."""
-    pending = transactions.filter(F.col("payment_status") == "Pending")
+    pending = transactions.filter(F.col("payment_status") == "Pending").select(
+        "project_id", "amount", "category", "payment_status", "transaction_date"
+    )
     average = pending.agg(money_sum(F.col("amount")) / F.count("amount")).scalar()
     large = pending.filter(F.col("amount") > average)
     open_projects = projects.filter(~F.col("status").isin("Completed", "On Hold"))

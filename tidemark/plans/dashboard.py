@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import count_where, money_sum, row_count, share_pct
-from tidemark.plans.business import vendor_spend
+from tidemark.plans.business import department_budget, monthly_spend, vendor_spend
+from tidemark.sinks.files import write_csv
 
 
 def kpi_cards(projects: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -43,3 +44,18 @@ def top_vendors_and_rest(transactions: DataFrame, vendors: DataFrame, top: int =
 def all_projects(projects: DataFrame) -> DataFrame:
     """Every project with its start year, for the slicers."""
     return projects.select(*_SLICERS, F.year("start_date").alias("project_year"), *_FIGURES)
+
+
+def export_extracts(projects: DataFrame, transactions: DataFrame, vendors: DataFrame, out: str) -> list[str]:
+    """Write every extract as header CSV below ``out``; only the full project list may be several files."""
+    extracts = {
+        "kpi_cards": kpi_cards(projects, transactions),
+        "department_budget_vs_actual": department_budget(projects, threshold=None),
+        "monthly_spend_by_category": monthly_spend(transactions),
+        "top10_budget_variance": top_variance(projects),
+        "vendor_concentration_top5_other": top_vendors_and_rest(transactions, vendors),
+        "all_projects": all_projects(projects),
+    }
+    for name, extract in extracts.items():
+        write_csv(extract, f"{out}/{name}", single_file=name != "all_projects")
+    return sorted(extracts)

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sinks.files import write_table
+
 # Classification levels.
 PUBLIC, INTERNAL, CONFIDENTIAL, PII = "Public", "Internal", "Confidential", "PII"
 
@@ -114,10 +116,9 @@ def retention_split(df: DataFrame, day: str, as_of: date, policy: Retention) ->
     return df.withColumn("disposition", disposition.otherwise("keep"))
 
 
-def write_by_disposition(df: DataFrame, path: str, spread: int = 1) -> None:
-    """Keep and archive go to their own folder; delete is not written."""
-    kept = df.filter(F.col("disposition") != "delete")
-    kept.write.mode("overwrite").partitionBy("disposition").parquet(path)
+def write_by_disposition(df: DataFrame, path: str) -> int:
+    """Keep and archive go to their own folder; delete is not written. Returns the rows kept."""
+    return write_table(df.filter(F.col("disposition") != "delete"), path, partition_by=["disposition"])
 
 
 def pseudonymise(df: DataFrame, *, ids: list[str], names: list[str], salt: str, expired: Column | None = None) -> DataFrame:

@@ -17,26 +17,22 @@ def write_table(
     path: str,
     *,
     partition_by: list[str] | None = None,
-    spread: int = 1,
     single_file: bool = False,
     replace_partitions: bool = False,
 ) -> int:
     """Write Parquet and return the rows written, counted by the write itself.
 
-    Rows are brought together by partition value first, so a value becomes
-    ``spread`` files instead of one per task; raise ``spread`` when one value
-    holds much of the data. ``replace_partitions`` touches only the partitions
-    present in ``df``.
+    Rows are brought together by partition value first, so a small value becomes one
+    file instead of one per task; the rebalance hint lets adaptive execution cut a value
+    holding much of the data into several tasks. ``replace_partitions`` touches only
+    the partitions present in ``df``.
     """
     counted = Observation()
     out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     if single_file:
         out = out.coalesce(1)
     if partition_by:
-        keys = [F.col(c) for c in partition_by]
-        if spread > 1:
-            keys.append(F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
-        out = out.repartition(*keys)
+        out = out.hint("rebalance", *partition_by)
     writer = out.write.mode("overwrite")
     if replace_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")

@@ -184,9 +184,17 @@ def rate(query: StreamingQuery) -> dict[str, float]:
     return {"rows": rows, "seconds": seconds, "rows_per_second": rows / seconds if seconds else 0.0}
 
 
-def dedupe(events: DataFrame, *, keys: list[str], time: str, late_by: str) -> DataFrame:
-    """First arrival per key; a key is forgotten once the watermark has passed it."""
-    return events.withWatermark(time, late_by).dropDuplicatesWithinWatermark(keys)
+def dedupe(events: DataFrame, *, keys: list[str], time: str, late_by: str, salts: int = 0) -> DataFrame:
+    """First arrival per key; a key is forgotten once the watermark has passed it.
+
+    Where single keys may arrive in very many copies, ``salts`` thins the copies in
+    that many separate states first, so they do not all meet in one task.
+    """
+    timed = events.withWatermark(time, late_by)
+    if salts:
+        salted = timed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        timed = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return timed.dropDuplicatesWithinWatermark(keys)
 
 
 def daily_volume(events: DataFrame, *, time: str, late_by: str) -> DataFrame:
