@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import Running, group_totals, number_rows, running, slice_rows
+from tidemark.operators.ordered import Running, in_order, number_rows
 from tidemark.session import stage
 
 
@@ -21,11 +21,13 @@ def skewed(spark):
     return stage(spark.createDataFrame(data, "g string, t int, id int, v int"), "skewed")
 
 
-@pytest.mark.parametrize("slices", [1, 7, 40])
+@pytest.mark.parametrize("slices", [None, 1, 7, 40])
 def test_running_equals_window_over_whole_group(skewed, rows, slices):
     order = ["t", "id"]
-    sliced = slice_rows(skewed, ["g"], order, slices)
-    assert sliced.select("_slice").distinct().count() == slices
+    ordered = in_order(skewed, ["g"], order, slices=slices)
+    assert ordered.split == (slices is not None)
+    if slices:
+        assert ordered.rows.select("_slice").distinct().count() == slices
     values = {
         "total": Running("sum", F.col("v")),
         "before": Running("sum", F.col("v"), prior=True),
@@ -34,7 +36,7 @@ def test_running_equals_window_over_whole_group(skewed, rows, slices):
         "last": Running("last", F.col("v")),
         "previous": Running("last", F.col("v"), prior=True),
     }
-    got = running(sliced, ["g"], order, values)
+    got = ordered.running(values).plain()
     whole = Window.partitionBy("g").orderBy(*order)
     here, prior = whole.rowsBetween(Window.unboundedPreceding, 0), whole.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0)
@@ -51,21 +53,27 @@ def test_running_equals_window_over_whole_group(skewed, rows, slices):
 
 
 def test_hot_group_is_spread_over_slices(skewed):
-    sliced = slice_rows(skewed, ["g"], ["t", "id"], 10)
+    sliced = in_order(skewed, ["g"], ["t", "id"], slices=10).rows
     assert sliced.filter("g = 'hot'").select("_slice").distinct().count() >= 3
 
 
 def test_carry_has_at_most_one_row_per_slice(skewed):
-    sliced = slice_rows(skewed, ["g"], ["t", "id"], 10)
+    sliced = in_order(skewed, ["g"], ["t", "id"], slices=10).rows
     first_slice = sliced.groupBy("g").agg(F.min("_slice").alias("first"))
     continued = sliced.join(first_slice, "g").filter("_slice > first").select("g", "_slice").distinct()
     assert continued.groupBy("_slice").count().filter("count > 1").count() == 0
 
 
-def test_group_totals(skewed, rows):
-    sliced = slice_rows(skewed, ["g"], ["t", "id"], 6)
-    totals = group_totals(sliced, ["g"], {"n": F.lit(1)}).select("g", "n").distinct()
-    assert rows(totals) == rows(skewed.groupBy("g").count())
+@pytest.mark.parametrize("slices", [None, 6])
+def test_group_totals(skewed, rows, slices):
+    ordered = in_order(skewed, ["g"], ["t", "id"], slices=slices).totals({"n": F.lit(1)})
+    assert ordered.rows.count() == skewed.count()
+    assert rows(ordered.rows.select("g", "n").distinct()) == rows(skewed.groupBy("g").count())
+
+
+def test_only_groups_beyond_one_task_are_split(skewed):
+    assert not in_order(skewed, ["g"], ["t", "id"], whole_rows=900).split
+    assert in_order(skewed, ["g"], ["t", "id"], whole_rows=100).split
 
 
 @pytest.mark.parametrize("slices", [None, 1, 9])
@@ -82,6 +90,6 @@ def test_number_rows_with_equal_rows_is_dense(spark):
 
 
 def test_unknown_kind_is_refused(skewed):
-    sliced = slice_rows(skewed, ["g"], ["t", "id"], 2)
+    ordered = in_order(skewed, ["g"], ["t", "id"])
     with pytest.raises(ValueError):
-        running(sliced, ["g"], ["t", "id"], {"x": Running("median", F.col("v"))})
+        ordered.running({"x": Running("median", F.col("v"))})

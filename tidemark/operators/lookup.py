@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.ordered import Running, running, slice_rows
+from tidemark.operators.ordered import Running, in_order
 from tidemark.session import stage
 
 # A side is broadcast only when its measured size stays below this.
@@ -49,15 +49,23 @@ def measure(dim: DataFrame, keys: list[str]) -> SideSize:
 def _row_bytes(df: DataFrame) -> Column:
     size = F.lit(16).cast("long")
     for field in df.schema.fields:
-        size = size + 8
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
-        elif not isinstance(field.dataType, T.AtomicType):
-            text = F.to_json(F.struct(F.col(f"`{field.name}`")))
-            size = size + F.coalesce(F.octet_length(text), F.lit(0))
+        size = size + _value_bytes(F.col(f"`{field.name}`"), field.dataType)
     return size
 
 
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        size = F.lit(8).cast("long")
+        for field in kind.fields:
+            size = size + _value_bytes(value.getField(field.name), field.dataType)
+        return size
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit(8) + F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return F.lit(8) + F.coalesce(F.octet_length(F.to_json(value)), F.lit(0))
+    return F.lit(8).cast("long")
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -194,9 +202,9 @@ def _latest_started(fact, side, key, date, order, slices):
     )
     merged = rows.unionByName(starts, allowMissingColumns=True)
     ordering = ["_on", "_kind", *[f"_o{i}" for i in range(len(order))]]
-    sliced = slice_rows(merged, ["_id"], ordering, slices)
-    latest = running(sliced, ["_id"], ordering, {"_latest": Running("last", F.col("_start"))})
-    matched = latest.filter(F.col("_kind") == 1).select(
+    ordered = in_order(merged, ["_id"], ordering, slices=slices)
+    latest = ordered.running({"_latest": Running("last", F.col("_start"))})
+    matched = latest.rows.filter(F.col("_kind") == 1).select(
         "_fact.*",
         F.when(F.col("_latest._to") >= F.col("_on"), F.col("_latest._version")).alias("_version"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import Running, running, slice_rows
+from tidemark.operators.ordered import Running, in_order
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -52,15 +52,13 @@ def fifo_match(
         F.when(~opens, F.struct(*[v.alias(n) for n, v in close_fields.items()])).alias("_close"),
     )
     order = ["_time", "_side", "_event"]
-    sliced = slice_rows(marked, ["_group"], order, slices)
-    counted = running(
-        sliced, ["_group"], order,
-        {
-            "_opened": Running("sum", 1 - F.col("_side")),
-            "_closed": Running("sum", F.col("_side")),
-        },
-    ).withColumn("_balance", F.col("_opened") - F.col("_closed"))
-    lowest = running(counted, ["_group"], order, {"_low": Running("min", F.col("_balance"), prior=True)})
+    lowest = (
+        in_order(marked, ["_group"], order, slices=slices)
+        .running({"_opened": Running("sum", 1 - F.col("_side")), "_closed": Running("sum", F.col("_side"))})
+        .with_columns({"_balance": F.col("_opened") - F.col("_closed")})
+        .running({"_low": Running("min", F.col("_balance"), prior=True)})
+        .rows
+    )
     floor = F.least(F.lit(0), F.col("_low"))
     useful = (F.col("_side") == 1) & (F.col("_balance") >= floor)
     numbered = lowest.withColumn(
@@ -90,12 +88,10 @@ def overlapping_intervals(
         F.col(end).alias("_end"),
     )
     order = ["_start", "_version"]
-    sliced = slice_rows(narrow, ["_key"], order, slices)
-    reach = running(
-        sliced, ["_key"], order,
-        {"_reach": Running("max", F.struct("_end", "_version"), prior=True)},
+    reach = in_order(narrow, ["_key"], order, slices=slices).running(
+        {"_reach": Running("max", F.struct("_end", "_version"), prior=True)}
     )
-    return reach.filter(F.col("_reach._end") >= F.col("_start")).select(
+    return reach.rows.filter(F.col("_reach._end") >= F.col("_start")).select(
         F.col("_key").alias(key),
         F.col("_reach._version").alias("version_a"),
         F.col("_version").alias("version_b"),

@@ -1,17 +1,18 @@
 """Ordered computations that stay distributed when one group holds most rows.
 
-A plain ``Window.partitionBy(group)`` sends a whole group to one task. Here the
-rows are range-split by (group, order), so a big group spans several slices.
-Each slice computes its own running value, and what earlier slices of the same
-group contribute (the carry) is added afterwards. Because slices follow the
-order of the groups, only the first group of a slice can continue an earlier
-one: the carry table has at most one row per slice, which is what allows
-broadcasting it.
+A plain ``Window.partitionBy(group)`` sends a whole group to one task, which is fine
+until a group outgrows a task. :func:`in_order` looks at the largest group first. If
+every group is small, plain windows are used: one shuffle. Otherwise the rows are
+range-split by (group, order), so that a big group spans several slices; each slice
+computes its own running value, and what earlier slices of the same group contribute
+(the carry) is added afterwards. Because slices follow the order of the groups, only
+the first group of a slice can continue an earlier one: the carry table has at most one
+row per slice, which is what allows broadcasting it.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,9 @@ from tidemark.session import stage
 
 SLICE = "_slice"
 
+# Largest group, in rows, that is left to a single task.
+WHOLE_GROUP_ROWS = 4_000_000
+
 # monotonically_increasing_id() puts the partition number above these bits.
 _POSITION_BITS = 33
 
@@ -36,68 +40,105 @@ class Running:
     prior: bool = False
 
 
-def slice_rows(df: DataFrame, group: list[str], order: list[str], slices: int | None = None) -> DataFrame:
-    """Range-split ``df`` by (group, order) and fix the slice number of every row.
-
-    The split is staged because range boundaries come from a sample: a second
-    evaluation could cut elsewhere. ``order`` must make rows of a group distinct
-    (or leave only interchangeable ones). Group columns must not be null.
-    Without ``slices`` adaptive execution picks the number from the data size.
-    """
-    keys = [*group, *order]
-    ranged = df.repartitionByRange(slices, *keys) if slices else df.repartitionByRange(*keys)
-    return stage(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
-
-
-def running(sliced: DataFrame, group: list[str], order: list[str], values: dict[str, Running]) -> DataFrame:
-    """Add running values over each whole group of a frame from :func:`slice_rows`."""
-    local = Window.partitionBy(*group, SLICE).orderBy(*order)
-    upto_here = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = local.rowsBetween(Window.unboundedPreceding, -1)
-
-    def scan(item: Running, frame) -> Column:
-        return _aggregate(item.kind, item.value).over(before if item.prior else frame)
-
-    rows = sliced.select("*", *[scan(item, upto_here).alias(name) for name, item in values.items()])
-
-    def total(item: Running) -> Column:
-        if item.kind == "last":
-            return F.max_by(item.value, F.when(item.value.isNotNull(), F.struct(*order)))
-        return _aggregate(item.kind, item.value)
-
-    per_slice = sliced.groupBy(*group, SLICE).agg(
-        *[total(item).alias(name) for name, item in values.items()]
-    )
-    earlier = Window.partitionBy(*group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        per_slice.select(
-            *[F.col(g).alias(f"_g_{g}") for g in group],
-            F.col(SLICE).alias("_g_slice"),
-            F.row_number().over(Window.partitionBy(*group).orderBy(SLICE)).alias("_nth"),
-            *[_aggregate(item.kind, F.col(name)).over(earlier).alias(f"_carry_{name}")
-              for name, item in values.items()],
+@dataclass(frozen=True)
+class Ordered:
+    """Rows prepared by :func:`in_order`; its methods add columns to ``rows``."""
+
+    rows: DataFrame
+    group: list[str]
+    order: list[str]
+    split: bool
+
+    @property
+    def _parts(self) -> list[str]:
+        return [*self.group, SLICE] if self.split else self.group
+
+    def with_columns(self, columns: dict[str, Column]) -> Ordered:
+        return replace(self, rows=self.rows.withColumns(columns))
+
+    def plain(self) -> DataFrame:
+        """The rows without the slice number."""
+        return self.rows.drop(SLICE)
+
+    def running(self, values: dict[str, Running]) -> Ordered:
+        """Add running values over each whole group."""
+        here = Window.partitionBy(*self._parts).orderBy(*self.order)
+        upto_here = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = here.rowsBetween(Window.unboundedPreceding, -1)
+        local = self.rows.select(
+            "*",
+            *[_aggregate(v.kind, v.value).over(before if v.prior else upto_here).alias(name)
+              for name, v in values.items()],
         )
-        .filter(F.col("_nth") > 1)
-        .drop("_nth")
-    )
-    match = F.col(SLICE) == F.col("_g_slice")
-    for g in group:
-        match = match & (F.col(g) == F.col(f"_g_{g}"))
-    joined = rows.join(F.broadcast(carried), match, "left")
-    return joined.select(
-        *[F.col(c) for c in sliced.columns],
-        *[_combine(item, F.col(f"_carry_{name}"), F.col(name)).alias(name) for name, item in values.items()],
-    )
-
-
-def group_totals(sliced: DataFrame, group: list[str], totals: dict[str, Column]) -> DataFrame:
-    """Sums over each group, one row per (group, slice).
-
-    Joining on (group, slice) instead of the group alone keeps a big group spread.
+        if self.split:
+            carried, match = self._carry(values)
+            local = local.join(F.broadcast(carried), match, "left")
+        carry = {name: F.col(f"_carry_{name}") if self.split else F.lit(None) for name in values}
+        combined = [_combine(v, carry[name], F.col(name)).alias(name) for name, v in values.items()]
+        return replace(self, rows=local.select(*[F.col(c) for c in self.rows.columns], *combined))
+
+    def _carry(self, values: dict[str, Running]) -> tuple[DataFrame, Column]:
+        """What earlier slices of its group pass on to each slice: at most one row per slice."""
+
+        def total(item: Running) -> Column:
+            if item.kind == "last":
+                return F.max_by(item.value, F.when(item.value.isNotNull(), F.struct(*self.order)))
+            return _aggregate(item.kind, item.value)
+
+        per_slice = self.rows.groupBy(*self._parts).agg(*[total(v).alias(name) for name, v in values.items()])
+        by_slice = Window.partitionBy(*self.group).orderBy(SLICE)
+        earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+        carried = per_slice.select(
+            *[F.col(g).alias(f"_to_{g}") for g in self._parts],
+            F.row_number().over(by_slice).alias("_nth"),
+            *[_aggregate(v.kind, F.col(name)).over(earlier).alias(f"_carry_{name}") for name, v in values.items()],
+        )
+        match = F.lit(True)
+        for g in self._parts:
+            match = match & (F.col(g) == F.col(f"_to_{g}"))
+        return carried.filter(F.col("_nth") > 1).drop("_nth"), match
+
+    def totals(self, values: dict[str, Column]) -> Ordered:
+        """Add sums over each whole group.
+
+        In split groups the sum is joined on (group, slice), which keeps them spread.
+        """
+        whole = Window.partitionBy(*self.group)
+        if not self.split:
+            return self.with_columns({name: F.sum(v).over(whole) for name, v in values.items()})
+        per_slice = self.rows.groupBy(*self._parts).agg(*[F.sum(v).alias(n) for n, v in values.items()])
+        sums = per_slice.select(*self._parts, *[F.sum(n).over(whole).alias(n) for n in values])
+        return replace(self, rows=self.rows.join(sums, self._parts))
+
+
+def in_order(
+    df: DataFrame,
+    group: list[str],
+    order: list[str],
+    *,
+    slices: int | None = None,
+    whole_rows: int = WHOLE_GROUP_ROWS,
+) -> Ordered:
+    """Prepare ``df`` for running values per group.
+
+    The rows are staged, so that looking at the group sizes does not run the plan
+    behind them twice. Splitting stages them again with their slice number: range
+    boundaries come from a sample, and a second evaluation could cut elsewhere.
+    ``order`` must make the rows of a group distinct (or leave only interchangeable
+    ones). Group columns must not be null. ``slices`` forces a split into that many.
     """
-    per_slice = sliced.groupBy(*group, SLICE).agg(*[F.sum(v).alias(n) for n, v in totals.items()])
-    whole = Window.partitionBy(*group)
-    return per_slice.select(*group, SLICE, *[F.sum(n).over(whole).alias(n) for n in totals])
+    held = stage(df, "ordered")
+    keys = [*group, *order]
+    if slices is None:
+        sizes = held.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.agg(F.max("n")).first()[0] or 0
+        if largest <= whole_rows:
+            return Ordered(held, group, order, split=False)
+        ranged = held.repartitionByRange(*keys)
+    else:
+        ranged = held.repartitionByRange(slices, *keys)
+    sliced = stage(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
+    return Ordered(sliced, group, order, split=True)
 
 
 def number_rows(df: DataFrame, order: list[str], name: str, slices: int | None = None) -> DataFrame:

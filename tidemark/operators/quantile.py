@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.lookup import lookup_join
-from tidemark.operators.ordered import SLICE, Running, group_totals, running, slice_rows
+from tidemark.operators.ordered import Running, in_order
 from tidemark.session import stage
 
 
@@ -22,7 +22,7 @@ def group_quantiles(
     """Linearly interpolated quantiles per group, nulls ignored.
 
     ``F.percentile`` keeps a group's distinct values in one task. Here values are
-    first counted (map-side combined), then ranked by a sliced running count, and
+    first counted (map-side combined), then ranked by a running count, and
     only the one or two rows each quantile falls on are kept. ``approx=True``
     uses the bounded-memory sketch instead.
     """
@@ -36,10 +36,12 @@ def group_quantiles(
     counted = known.groupBy(*group, F.col(value).cast("double").alias("_value")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    sliced = slice_rows(counted, group, ["_value"], slices)
-    ranked = running(sliced, group, ["_value"], {"_upto": Running("sum", F.col("_n"))})
-    totals = group_totals(sliced, group, {"_total": F.col("_n")})
-    placed = ranked.join(totals, [*group, SLICE])
+    placed = (
+        in_order(counted, group, ["_value"], slices=slices)
+        .totals({"_total": F.col("_n")})
+        .running({"_upto": Running("sum", F.col("_n"))})
+        .rows
+    )
 
     def position(q: float) -> Column:
         return (F.col("_total") - 1) * F.lit(float(q))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.columns import map_values
 from tidemark.operators.lookup import lookup_join
-from tidemark.operators.ordered import Running, running, slice_rows
+from tidemark.operators.ordered import Running, in_order
 from tidemark.operators.scd2 import HistorySpec
 from tidemark.plans.cleaning import transform_projects
 
@@ -23,8 +24,15 @@ LINE_ORDER = [
 ]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table; its schema is read from the file once per process."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def people(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,10 +147,8 @@ def history(spark: SparkSession, folder: str, status: str | None = "F") -> DataF
         F.col("o_orderpriority").alias("new_role"),
         F.concat(F.lit("Order "), F.col("o_orderkey")).alias("change_reason"),
     )
-    order = ["effective_date", "order_id"]
-    sliced = slice_rows(changes, ["employee_id"], order)
     before = {"previous_salary": Running("last", F.col("new_salary"), prior=True)}
-    return running(sliced, ["employee_id"], order, before).drop("_slice")
+    return in_order(changes, ["employee_id"], ["effective_date", "order_id"]).running(before).plain()
 
 
 def vendors(spark: SparkSession, folder: str) -> DataFrame:

@@ -463,7 +463,7 @@ ORACLE: dict[str, str] = {
     "partitioned_events": """
       SELECT CAST(ts AS DATE) AS event_date, event_type, COUNT(*) AS event_count,
         CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
-      FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-15' GROUP BY ALL""",
+      FROM events GROUP BY ALL""",
     "pipeline_row_counts": f"WITH {PROJECTS}, {CLEAN_EMPLOYEES.replace(f'{PEOPLE},', '', 1)}, {RAW_TRANSACTIONS}, {EVENTS} {_PIPELINE_ROWS}",
     "transform_orders": f"WITH {PROJECTS} SELECT * FROM projects",
     "clean_customers": f"WITH {CLEAN_EMPLOYEES} SELECT * FROM clean_employees",

@@ -81,8 +81,7 @@ def partitioned_events(spark, folder):
     path = staging_path(spark, "events-by-date")
     dated = _table(spark, folder, "events").withColumn("event_date", F.to_date("ts"))
     write_table(dated, path, partition_by=["event_date"])
-    recent = read_table(spark, path).filter(F.col("event_date") >= F.lit(date(2024, 1, 15)))
-    return recent.groupBy("event_date", "event_type").agg(
+    return read_table(spark, path).groupBy("event_date", "event_type").agg(
         row_count().alias("event_count"), money_sum(F.col("value")).alias("total_value")
     )
 
