@@ -151,15 +151,17 @@ def above_average_pending(transactions: DataFrame, projects: DataFrame, employee
 def above_average_pending_sql() -> str:
     """The same question as SQL text over views ``employees``, ``projects`` and ``transactions``."""
     return """
-        SELECT e.full_name, e.department, e.role, p.project_name, p.status, p.budget, p.actual_cost,
-               t.amount, t.category, t.payment_status, t.transaction_date
-        FROM employees e, projects p, transactions t
-        WHERE e.employee_id = p.project_manager_id
-          AND p.project_id = t.project_id
-          AND p.status NOT IN ('Completed', 'On Hold')
-          AND t.payment_status = 'Pending'
-          AND t.amount > (SELECT CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(amount)
-                          FROM transactions WHERE payment_status = 'Pending')
+        WITH pending AS (SELECT project_id, amount, category, payment_status, transaction_date
+                         FROM transactions WHERE payment_status = 'Pending'),
+             average AS (SELECT cast(sum(cast(rint(amount * 100) AS decimal(18, 0))) AS double) / 100 / count(amount) AS amount
+                         FROM pending)
+        SELECT full_name, employees.department, role, project_name, projects.status, budget, actual_cost,
+               pending.amount, category, payment_status, transaction_date
+        FROM pending, projects, employees
+        WHERE pending.amount > (SELECT amount FROM average)
+          AND pending.project_id = projects.project_id
+          AND projects.status <> 'Completed' AND projects.status <> 'On Hold'
+          AND projects.project_manager_id = employees.employee_id
     """
 
 

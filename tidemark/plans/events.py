@@ -29,7 +29,8 @@ def validate_events(
     """Events with both ids, the earliest row per event id, and date, hour and month.
 
     The observations, if given, receive the row counts before and after the null
-    filter when the result is first written; no extra job runs for them.
+    filter when the result is first written; no extra job runs for them. They lie before
+    the shuffle, so they may count rows again where lost map output is rebuilt.
     """
     if raw is not None:
         events = events.observe(raw, row_count().alias("rows"))

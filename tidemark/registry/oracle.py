@@ -132,26 +132,18 @@ snapshot AS (
   SELECT c_custkey AS employee_id, c_name AS full_name, lower(replace(c_name, '#', '.')) || '@example.com' AS email,
     c_mktsegment AS department, n_name AS role, c_acctbal AS salary, hire_date, r_name AS region
   FROM people LEFT JOIN first_orders ON c_custkey = o_custkey),
-ranked AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY employee_id ORDER BY effective_date) AS rn,
-    COUNT(*) OVER (PARTITION BY employee_id) AS total_versions,
-    LEAD(effective_date) OVER (PARTITION BY employee_id ORDER BY effective_date) AS next_date
-  FROM collapsed),
-versions AS (
-  SELECT employee_id, new_role AS role, new_salary AS salary, change_reason, effective_date AS valid_from,
-    CAST(next_date - INTERVAL 1 DAY AS DATE) AS valid_to, FALSE AS is_current
-  FROM ranked WHERE rn < total_versions
+starts AS (
+  SELECT employee_id, effective_date AS valid_from, new_role, new_salary, change_reason FROM collapsed
   UNION ALL
-  SELECT s.employee_id, s.role, s.salary, NULL, last_date, DATE '9999-12-31', TRUE
-  FROM snapshot s JOIN (SELECT employee_id, MAX(effective_date) AS last_date FROM history GROUP BY employee_id) l
-    ON l.employee_id = s.employee_id
-  UNION ALL
-  SELECT employee_id, role, salary, NULL, COALESCE(hire_date, DATE '1900-01-01'), DATE '9999-12-31', TRUE
-  FROM snapshot WHERE employee_id NOT IN (SELECT employee_id FROM history WHERE employee_id IS NOT NULL)),
+  SELECT employee_id, COALESCE(hire_date, DATE '1900-01-01'), NULL, NULL, NULL FROM snapshot ANTI JOIN history USING (employee_id)),
+spans AS (SELECT *, LEAD(valid_from) OVER (PARTITION BY employee_id ORDER BY valid_from) AS next_from FROM starts),
 dimension AS (
-  SELECT ROW_NUMBER() OVER (ORDER BY v.employee_id, v.valid_from) AS employee_key, v.employee_id, s.full_name, s.email,
-    s.department, v.role, v.salary, s.hire_date, s.region, v.valid_from, v.valid_to, v.is_current, v.change_reason
-  FROM versions v JOIN snapshot s ON s.employee_id = v.employee_id)"""
+  SELECT ROW_NUMBER() OVER (ORDER BY employee_id, valid_from) AS employee_key, employee_id, full_name, email, department,
+    CASE WHEN next_from IS NULL THEN role ELSE new_role END AS role,
+    CASE WHEN next_from IS NULL THEN salary ELSE new_salary END AS salary, hire_date, region, valid_from,
+    COALESCE(CAST(next_from - INTERVAL 1 DAY AS DATE), DATE '9999-12-31') AS valid_to, next_from IS NULL AS is_current,
+    CASE WHEN next_from IS NOT NULL THEN change_reason END AS change_reason
+  FROM spans JOIN snapshot USING (employee_id))"""
 
 APPROVED = """
 approved AS (
@@ -521,16 +513,15 @@ ORACLE: dict[str, str] = {
     "scd2_overlaps": f"""WITH {DIMENSION}
       SELECT a.employee_id, a.employee_key AS version_a, b.employee_key AS version_b, a.valid_to AS a_to,
         b.valid_from AS b_from, b.valid_to AS b_to
-      FROM dimension a JOIN dimension b ON a.employee_id = b.employee_id AND a.employee_key < b.employee_key
-        AND a.valid_from <= b.valid_to AND a.valid_to >= b.valid_from""",
+      FROM dimension a JOIN dimension b USING (employee_id)
+      WHERE b.employee_key > a.employee_key AND GREATEST(a.valid_from, b.valid_from) <= LEAST(a.valid_to, b.valid_to)""",
     "scd2_row_equation": f"""WITH {DIMENSION}
-      SELECT (SELECT COUNT(*) FROM dimension) AS actual_rows,
-        (SELECT COUNT(*) FROM collapsed) + (SELECT COUNT(*) FROM snapshot WHERE employee_id NOT IN
-          (SELECT employee_id FROM history)) AS expected_rows""",
-    "scd2_gaps": f"""WITH {DIMENSION}, ordered AS (
-        SELECT employee_id, employee_key, valid_to, LEAD(valid_from) OVER (PARTITION BY employee_id ORDER BY valid_from) AS next_valid_from
-        FROM dimension)
-      SELECT * FROM ordered WHERE next_valid_from IS NOT NULL AND next_valid_from <> CAST(valid_to + INTERVAL 1 DAY AS DATE)""",
+      SELECT COUNT(*) FILTER (built) AS actual_rows, COUNT(*) FILTER (NOT built) AS expected_rows
+      FROM (SELECT TRUE AS built FROM dimension UNION ALL SELECT FALSE FROM collapsed
+            UNION ALL SELECT FALSE FROM snapshot ANTI JOIN history USING (employee_id))""",
+    "scd2_gaps": f"""WITH {DIMENSION}
+      SELECT employee_id, employee_key, valid_to, LEAD(valid_from) OVER (PARTITION BY employee_id ORDER BY valid_from) AS next_valid_from
+      FROM dimension QUALIFY date_diff('day', valid_to, next_valid_from) <> 1""",
     "order_overlaps": f"""WITH {RAW_PROJECTS},
       spans AS (SELECT project_manager_id, project_id, start_date, end_date FROM raw_projects WHERE end_date >= start_date)
       SELECT b.project_manager_id, MAX({{'e': a.end_date, 'i': a.project_id}}).i AS version_a, b.project_id AS version_b,

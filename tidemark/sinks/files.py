@@ -27,13 +27,12 @@ def write_table(
     holding much of the data into several tasks. ``replace_partitions`` touches only
     the partitions present in ``df``.
     """
-    counted = Observation()
-    out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    if single_file:
-        out = out.coalesce(1)
+    out = df.coalesce(1) if single_file else df
     if partition_by:
         out = out.hint("rebalance", *partition_by)
-    writer = out.write.mode("overwrite")
+    # counted behind the last shuffle, where a repeated task counts once
+    counted = Observation()
+    writer = out.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if replace_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
