@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import Running, in_order, number_rows
+from tidemark.operators.ordered import Running, _placed, in_order, number_rows
 from tidemark.session import stage
 
 
@@ -89,6 +89,16 @@ def test_number_rows_with_equal_rows_is_dense(spark):
     assert got == list(range(1, 54))
 
 
+def test_a_group_of_copies_is_cut_too(spark):
+    copies = spark.range(4000).repartition(8).select(F.lit("same").alias("a"), F.lit(1).alias("b"))
+    placed = _placed(copies, ["a", "b"], 4)
+    sizes = [r["count"] for r in placed.groupBy(F.shiftright("_pos", 33)).count().collect()]
+    assert len(sizes) >= 3 and max(sizes) < 2500
+    sliced = in_order(stage(copies, "copies"), ["a"], ["b"], slices=4)
+    got = sliced.running({"n": Running("sum", F.lit(1))}).rows
+    assert [r.n for r in got.orderBy("n").collect()] == list(range(1, 4001))
+
+
 def test_unknown_kind_is_refused(skewed):
     ordered = in_order(skewed, ["g"], ["t", "id"])
     with pytest.raises(ValueError):

@@ -24,6 +24,10 @@ SLICE = "_slice"
 # Largest group, in rows, that is left to a single task.
 WHOLE_GROUP_ROWS = 4_000_000
 
+# Last range key: tells apart equal rows of different input partitions, so that a
+# large group of copies is cut as well.
+_SPREAD = "_spread"
+
 # monotonically_increasing_id() puts the partition number above these bits.
 _POSITION_BITS = 33
 
@@ -128,19 +132,23 @@ def in_order(
     ones). Group columns must not be null. ``slices`` forces a split into that many.
     """
     held = stage(df, "ordered")
-    keys = [*group, *order]
     if slices is None:
         sizes = held.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
         largest = sizes.agg(F.max("n")).first()[0] or 0
         if largest <= whole_rows:
             return Ordered(held, group, order, split=False)
-        ranged = held.repartitionByRange(*keys)
-    else:
-        ranged = held.repartitionByRange(slices, *keys)
-    sliced = stage(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
+    ranged = _range_split(held, [*group, *order], slices)
+    sliced = stage(ranged.drop(_SPREAD).withColumn(SLICE, F.spark_partition_id()), "slices")
     return Ordered(sliced, group, order, split=True)
 
 
+def _range_split(df: DataFrame, keys: list[str], slices: int | None) -> DataFrame:
+    spread = df.withColumn(_SPREAD, F.spark_partition_id())
+    if slices:
+        return spread.repartitionByRange(slices, *keys, _SPREAD)
+    return spread.repartitionByRange(*keys, _SPREAD)
+
+
 def number_rows(df: DataFrame, order: list[str], name: str, slices: int | None = None) -> DataFrame:
     """Dense 1..n numbering in ``order`` without a single-task window.
 
@@ -148,9 +156,7 @@ def number_rows(df: DataFrame, order: list[str], name: str, slices: int | None =
     slices (one row per slice, broadcast). Equal to a global ``row_number`` when
     ``order`` leaves no ties but interchangeable rows.
     """
-    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
-    placed = ranged.sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id())
-    staged = stage(placed, "numbered")
+    staged = _placed(df, order, slices)
     part = F.shiftright("_pos", _POSITION_BITS)
     sizes = staged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -161,6 +167,13 @@ def number_rows(df: DataFrame, order: list[str], name: str, slices: int | None =
     )
 
 
+def _placed(df: DataFrame, order: list[str], slices: int | None) -> DataFrame:
+    """``df`` sorted over range slices, with its slice and position in ``_pos``."""
+    ranged = _range_split(df, order, slices).drop(_SPREAD)
+    placed = ranged.sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id())
+    return stage(placed, "numbered")
+
+
 def _aggregate(kind: str, value: Column) -> Column:
     if kind == "sum":
         return F.sum(value)

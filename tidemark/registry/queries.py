@@ -606,7 +606,7 @@ def stream_summary(spark, folder):
 
 def stream_dedupe(spark, folder):
     source = _stream(spark, folder).select("event_id", "event_type", "user_id", "timestamp")
-    unique = st.dedupe(source, keys=["event_id"], time="timestamp", late_by="1 hour")
+    unique = st.dedupe(source, keys=["event_id"], time="timestamp", late_by="1 hour", salts=8)
     landing = st.Landing.fresh(spark, "unique")
     st.land(unique, landing)
     return st.landed(spark, unique, landing).select("event_id", "event_type", "user_id")
