@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import session
 from tidemark.operators.star import dim_date
-from tidemark.sinks.files import write_csv, write_metrics, write_table
+from tidemark.sinks.files import write_clustered, write_csv, write_metrics, write_table
 from tidemark.sources import schemas
 from tidemark.sources.files import (
     CORRUPT,
@@ -26,12 +26,15 @@ def test_typed_csv(spark, tmp_path):
     path.write_text(
         "project_id,project_name,department,status,start_date,end_date,budget,actual_cost,project_manager_id,priority,region\n"
         "P1,One,IT,Completed,2024-01-01,,100.5,,M1,High,North\n"
-        "P2,Two,IT,Completed,not a date,2024-02-01,x,5,M1,High,North\n"
+        "P2,Two,IT,Completed,not a date,2024-02-01,x,5,M1,NA,North\n"
+        "P3,Three\n"
     )
-    one, two = read_typed_csv(spark, str(path), schemas.PROJECTS, keep_corrupt=True).orderBy("project_id").collect()
+    one, two, three = read_typed_csv(spark, str(path), schemas.PROJECTS, keep_corrupt=True).orderBy("project_id").collect()
     assert (one.start_date, one.end_date, one.budget, one.actual_cost) == (date(2024, 1, 1), None, 100.5, None)
     assert (two.start_date, two.budget, two.actual_cost) == (None, None, 5.0)
-    assert one[CORRUPT] is None and two[CORRUPT].startswith("P2")
+    assert two.priority is None and three.budget is None
+    assert (one[CORRUPT], two[CORRUPT], three[CORRUPT]) == (None, "start_date, budget", "P3,Three")
+    assert read_typed_csv(spark, str(path), schemas.PROJECTS).columns == schemas.PROJECTS.names
 
 
 def test_dirty_csv_and_null_profile(spark, tmp_path):
@@ -125,6 +128,22 @@ def test_replacing_partitions_leaves_the_others(spark, tmp_path, rows):
     assert rows(read_table(spark, path), "v", "part") == [(1, "a"), (9, "b")]
 
 
+def test_clustered_files_have_narrow_ranges(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, "Pending").otherwise("Paid").alias("status"), F.rand(1).alias("amount")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_clustered(df, str(tmp_path / "c"), ["status", "amount"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [pq.ParquetFile(f).metadata.row_group(0).column(0).statistics for f in (tmp_path / "c").glob("*.parquet")]
+    assert sum(f.max >= "Pending" for f in files) < len(files) and len(files) > 2
+    assert spark.read.parquet(str(tmp_path / "c")).count() == 20_000
+
+
 def test_csv_and_metrics(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, "a"), (2, None)], "n int, s string")
     write_csv(df, str(tmp_path / "c"), single_file=True)

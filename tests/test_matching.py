@@ -53,6 +53,11 @@ def test_fifo_property(spark, found, slices):
     assert matched(spark, events, slices) == greedy(events)
 
 
+def test_fifo_without_times(spark):
+    data = [("g", None, 1, True), ("g", 5, 2, False), ("g", 4, 3, True), ("g", None, 4, False), ("g", 9, 5, False)]
+    assert matched(spark, data, 2) == matched(spark, data, None) == [(1, None), (3, 2)]
+
+
 def test_escalation_log_fixture(spark):
     def event(i, kind, minute, project="P1", severity=None, by=None):
         payload = {k: v for k, v in (("severity", severity), ("resolved_by", by)) if v}

@@ -119,6 +119,8 @@ def test_gate(spark):
     assert not ran
     with pytest.raises(QualityGateError, match="good.k"):
         gate(frames, {"good": "k"}, threshold=1.01)
+    absent = key_completeness(frames, {"good": "no_such_column"}).first()
+    assert (absent.completeness, absent.passed) == (0.0, False)
     empty = key_completeness({"none": keyed(spark, 0, 0)}, {"none": "k"}).first()
     assert (empty.completeness, empty.passed) == (0.0, False)
 

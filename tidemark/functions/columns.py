@@ -75,7 +75,9 @@ def date_key(c: Column) -> Column:
 
 
 def parse_number(c: Column) -> Column:
-    return c.try_cast("double")
+    """A number or null; the text ``nan`` is missing, not a number."""
+    number = c.try_cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def parse_date(c: Column) -> Column:

@@ -35,7 +35,8 @@ def fifo_match(
     """Let every closing event end the oldest open one of its group.
 
     One row per opening event; the ``close_fields`` are null while it is open. A
-    close with nothing open is dropped. Opens sort before closes of equal time.
+    close with nothing open is dropped. Opens sort before closes of equal time; an open
+    without a time stays unmatched, a close without one is dropped.
 
     With +1 per open and -1 per close, let ``s`` be the running sum and ``floor``
     its lowest value so far (at most 0). A close lowers the floor exactly when
@@ -43,15 +44,17 @@ def fifo_match(
     the k-th useful close belongs to the k-th open. Both sides of the final match
     have unique (group, k) keys, so it cannot skew.
     """
-    marked = events.filter(F.col(group).isNotNull() & (opens | closes)).select(
+    usable = F.col(group).isNotNull() & (opens | (closes & F.col(time).isNotNull()))
+    marked = events.filter(usable).select(
         F.col(group).alias("_group"),
+        F.col(time).isNull().alias("_undated"),
         F.col(time).alias("_time"),
         F.when(opens, 0).otherwise(1).alias("_side"),
         F.col(event_id).alias("_event"),
         F.when(opens, F.struct(*[v.alias(n) for n, v in open_fields.items()])).alias("_open"),
         F.when(~opens, F.struct(*[v.alias(n) for n, v in close_fields.items()])).alias("_close"),
     )
-    order = ["_time", "_side", "_event"]
+    order = ["_undated", "_time", "_side", "_event"]
     lowest = (
         in_order(marked, ["_group"], order, slices=slices)
         .running({"_opened": Running("sum", 1 - F.col("_side")), "_closed": Running("sum", F.col("_side"))})

@@ -21,10 +21,11 @@ def key_completeness(
     keys: dict[str, str] = KEY_COLUMNS,
     threshold: float = CRITICAL_COMPLETENESS,
 ) -> DataFrame:
-    """One row per dataset: filled share of its key and whether it passes."""
+    """One row per dataset: filled share of its key and whether it passes; an absent key counts as empty."""
     rows = []
     for name, df in frames.items():
-        share = F.round(F.count(F.col(keys[name])) / F.nullif(F.count(F.lit(1)), F.lit(0)), 4)
+        key = F.col(keys[name]) if keys[name] in df.columns else F.lit(None)
+        share = F.round(F.count(key) / F.nullif(F.count(F.lit(1)), F.lit(0)), 4)
         rows.append(df.agg(F.coalesce(share, F.lit(0.0)).alias("completeness")).select(
             F.lit(name).alias("dataset"), F.lit(keys[name]).alias("key_column"), "completeness",
             (F.col("completeness") >= threshold).alias("passed"),

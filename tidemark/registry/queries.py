@@ -202,9 +202,8 @@ def history_dedup(spark, folder):
 
 
 def _dimension(spark, folder):
-    """Built once per query and staged, because its readers use it several times."""
+    """The numbered versions, which are staged, and what they were built from."""
     changes = scd2.collapse_same_day(views.history(spark, folder), views.HISTORY).drop("terminal_states")
-    changes = stage(changes, "changes")
     current = views.snapshot(spark, folder)
     return scd2.build_versions(changes, current, spec=views.HISTORY), changes, current
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,14 +15,30 @@ CORRUPT = "_corrupt_record"
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, *, keep_corrupt: bool = False) -> DataFrame:
-    """Header CSV with declared types; unreadable values become null.
+    """Header CSV with declared types; missing-value tokens and unreadable values become null.
 
-    ``keep_corrupt`` adds the raw line of rows that did not fit the schema.
+    ``keep_corrupt`` adds what did not fit: the raw line where the number of fields is
+    wrong, else the names of the columns whose text is not of the declared type.
     """
+    text = [T.StructField(f.name, T.StringType()) for f in schema.fields]
+    line = [T.StructField(CORRUPT, T.StringType())] if keep_corrupt else []
+    reader = spark.read.schema(T.StructType([*text, *line])).option("header", True).option("mode", "PERMISSIVE")
+    raw = reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    present = {f.name: null_if_token(F.col(f"`{f.name}`")) for f in schema.fields}
+    typed = {f.name: _typed(present[f.name], f.dataType) for f in schema.fields}
+    columns = [value.alias(name) for name, value in typed.items()]
     if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-    return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+        unread = [F.when(present[n].isNotNull() & typed[n].isNull(), F.lit(n)) for n in typed]
+        columns.append(F.coalesce(CORRUPT, F.nullif(F.concat_ws(", ", *unread), F.lit(""))).alias(CORRUPT))
+    return raw.select(*columns)
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, T.DateType):
+        return parse_date(text)
+    return F.trim(text).try_cast(kind)
 
 
 def read_dirty_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.EMPLOYEES) -> DataFrame:
