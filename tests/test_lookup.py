@@ -2,7 +2,6 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators.lookup import (
     DuplicateKeyError,

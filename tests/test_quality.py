@@ -7,7 +7,7 @@ from tidemark.quality import checks as dq
 from tidemark.quality.config import DATASETS, Checks, checks_for
 from tidemark.quality.constraints import Constraints, violations
 from tidemark.quality.gate import QualityGateError, gate, key_completeness
-from tidemark.quality.report import quality_report, run_report, stage_rows
+from tidemark.quality.report import log_failures, quality_report, run_report, stage_rows
 
 AS_OF = date(2024, 6, 30)
 
@@ -139,6 +139,14 @@ def test_constraints(spark):
     }
 
 
+def test_failures_are_logged(spark, caplog):
+    df = spark.createDataFrame([(1,), (1,)], "id int")
+    found = dq.run_checks(df, "d", Checks(key=("id",)), as_of=AS_OF)
+    with caplog.at_level("WARNING"):
+        assert log_failures(found) == 1
+    assert "d uniqueness id (1 unique / 2 total)" in caplog.text
+
+
 def test_reports(spark):
     df = spark.createDataFrame([(1, None), (1, "x")], "id int, v string")
     found = dq.run_checks(df, "d", Checks(key=("id",)), as_of=AS_OF)

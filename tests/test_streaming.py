@@ -61,7 +61,10 @@ def test_counts_go_on_from_the_checkpoint(spark, source):
     counts = st.counts_by_type(read())
 
     def now():
-        st.land_updates(st.counts_by_type(read()), landing)
+        query = st.land_updates(st.counts_by_type(read()), landing)
+        found = st.report(st.latest(spark, counts, landing, ["event_type"]), spark.range(2), query)
+        assert found["total_consumed"] == sum(found["event_counts"].values())
+        assert (found["critical_forwarded"], found["event_types"]) == (2, 2)
         return {r.event_type: r.event_count for r in st.latest(spark, counts, landing, ["event_type"]).collect()}
 
     assert now() == {"escalation_raised": 2, "login": 1}

@@ -3,14 +3,12 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.scd2 import HistorySpec
 from tidemark.plans import business
 from tidemark.plans.dashboard import export_extracts
 from tidemark.plans.warehouse import load_star, run_load
 from tidemark.quality.constraints import violations
 from tidemark.quality.gate import QualityGateError
 from tidemark.sources import schemas
-from tidemark.sources.files import read_table
 
 AS_OF = date(2024, 6, 30)
 TX = ("transaction_id string, project_id string, vendor_id string, vendor_name string, category string, amount double, "
@@ -69,6 +67,7 @@ def test_load(spark, loaded):
     assert "transactions clean: 40" in result.report
     assert "transactions without amount, counted as 0 in sums: 1" in result.report
     assert "employees.missing_email_fixed: 1" in result.report
+    assert "left without category: 0" in result.report
     assert "| referential_integrity | **FAIL** |" in result.quality_reports["transactions"]
     assert spark.read.json(f"{out}/employee_quality_summary").first().years_experience_out_of_range_fixed == 1
     assert spark.read.option("header", True).csv(f"{out}/projects_clean_csv").count() == 8

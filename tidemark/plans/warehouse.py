@@ -16,7 +16,7 @@ from tidemark.plans.cleaning import clean_employees, employee_quality_summary, e
 from tidemark.quality import checks as dq
 from tidemark.quality.config import DATASETS
 from tidemark.quality.gate import gate
-from tidemark.quality.report import quality_report, run_report, stage_rows
+from tidemark.quality.report import log_failures, quality_report, run_report, stage_rows
 from tidemark.session import stage
 from tidemark.sinks.files import write_csv, write_metrics, write_table
 from tidemark.sources.files import calendar, read_table
@@ -63,6 +63,7 @@ def run_load(
         ),
         "checks",
     )
+    log_failures(found)
     reports = {name: quality_report(found, name) for name in raw}
     gate(raw)
 
@@ -76,7 +77,7 @@ def run_load(
         written[name] = read_table(spark, path, df.schema)
         if as_csv:
             write_csv(written[name], f"{path}_csv")
-    summary = employee_quality_summary(raw["employees"], clean_people, as_of)
+    summary = stage(employee_quality_summary(raw["employees"], clean_people, as_of), "quality-summary")
     write_metrics(summary, f"{out}/employee_quality_summary")
     rows = stage_rows(
         {**{(n, "raw"): df for n, df in raw.items()}, **{(n, "clean"): df for n, df in written.items()}}
@@ -86,7 +87,9 @@ def run_load(
         F.count(F.when(F.col("amount").isNull(), 1)).alias("amount"),
         F.count(F.when(F.col("approved_by").isNull(), 1)).alias("approver"),
     ).first()
+    unmapped = F.count(F.when(F.col("status_category").isNull(), 1)).alias("n")
     decisions += [
+        f"projects with a status outside the known ones, left without category: {written['projects'].agg(unmapped).first()['n']}",
         f"transactions without amount, counted as 0 in sums: {missing['amount']}",
         f"transactions without approver, not approved: {missing['approver']}",
     ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,17 @@ from pyspark.sql import functions as F
 from tidemark.quality.checks import ALL_CHECKS, FAIL
 
 
+logger = logging.getLogger(__name__)
+
+
+def log_failures(results: DataFrame) -> int:
+    """One warning per failed row of the results; returns how many there were."""
+    failed = results.filter(F.col("status") == FAIL).collect()
+    for r in failed:
+        logger.warning("check failed: %s %s %s (%s)", r.dataset, r.check, r.column, r.details)
+    return len(failed)
+
+
 def quality_report(results: DataFrame, dataset: str) -> str:
     """One Markdown table for ``dataset``; results hold a few rows per column."""
     rows = results.filter(F.col("dataset") == dataset).collect()

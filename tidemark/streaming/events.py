@@ -176,6 +176,13 @@ def summary(counts: DataFrame, forwarded: DataFrame) -> DataFrame:
     return consumed.withColumn("critical_forwarded", forwarded.agg(F.count(F.lit(1))).scalar())
 
 
+def report(counts: DataFrame, forwarded: DataFrame, query: StreamingQuery) -> dict:
+    """The summary with counts per type and the rate, for a log or a JSON file."""
+    totals = summary(counts, forwarded).first().asDict()
+    per_type = {r["event_type"]: r["event_count"] for r in counts.orderBy("event_type").collect()}
+    return {**totals, "event_counts": per_type, **rate(query)}
+
+
 def rate(query: StreamingQuery) -> dict[str, float]:
     """Rows, seconds and rows per second of a finished query, idle time left out."""
     progress = query.recentProgress
