@@ -37,7 +37,34 @@ def test_only_a_measured_small_side_is_broadcast(fact, dim, spark):
     plan = lookup_join(fact, dim, {"k": "key"}, ["name"])._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan
     big = lookup_join(fact, dim, {"k": "key"}, ["name"], max_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in big
+    assert "hot-side" in big or "_hot" in big
+
+
+def test_a_hot_or_missing_key_does_not_fill_one_task(spark):
+    from pyspark.sql import functions as F
+
+    fact = spark.range(8000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 500).alias("k")
+    )
+    dim = spark.range(500).select(F.col("id").alias("key"), F.concat(F.lit("n"), "id").alias("name"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = lookup_join(fact, dim, {"k": "key"}, ["name"], max_bytes=0)
+        parts = got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.count("name").alias("m"))
+        sizes = parts.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r.n for r in sizes) == 8000 and len(sizes) == 4 and max(r.n for r in sizes) < 2800
+    assert got.filter("k = 7 AND name = 'n7'").count() == fact.filter("k = 7").count()
+
+
+def test_a_hot_key_missing_from_the_lookup(spark):
+    fact = spark.createDataFrame([(9,)] * 50 + [(1,)], "k int")
+    dim = spark.createDataFrame([(1, "one")], "key int, name string")
+    assert lookup_join(fact, dim, {"k": "key"}, ["name"], max_bytes=0).filter("name IS NULL").count() == 50
+    assert lookup_join(fact, dim, {"k": "key"}, ["name"], how="inner", max_bytes=0).count() == 1
 
 
 def test_two_key_columns(spark, rows):

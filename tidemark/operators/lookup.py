@@ -18,6 +18,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # at most 1 / HOT_SHARE keys can qualify.
 HOT_SHARE = 0.001
 
+# Salts for facts that only pass through a lookup shuffle.
+_SALTS = 10_007
+
 
 class DuplicateKeyError(ValueError):
     """A lookup side has several rows for one key, so joining would add rows."""
@@ -109,34 +112,61 @@ def _match(on: dict[str, str]) -> Column:
 
 
 def _join_apart(fact: DataFrame, side: DataFrame, on: dict[str, str], how: str) -> DataFrame:
-    """Shuffle join for the many small keys, broadcast join for the few hot ones.
+    """Shuffle join for the many small keys, broadcast join for the few hot ones, in one pass.
 
-    Facts without a key never match, so they skip the shuffle as well.
+    Facts answered by the broadcast, and facts without a key, go through the shuffle
+    with an empty key and a salt, which spreads them evenly and matches nothing.
     """
     fact_keys = list(on)
     side_keys = [f"_k{i}" for i in range(len(on))]
-    counts = fact.dropna(subset=fact_keys).groupBy(*[F.col(f"`{k}`") for k in fact_keys]).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    over_share = F.col("_n") > counts.agg(F.sum("_n")).scalar() * HOT_SHARE
-    hot = stage(
-        counts.filter(over_share).select(
-            *[F.col(f"`{k}`").alias(s) for k, s in zip(fact_keys, side_keys)], F.lit(True).alias("_hot")
-        ),
-        "hot-keys",
+    values = [c for c in side.columns if c not in side_keys]
+    hot = _hot_keys(fact, fact_keys, side_keys)
+    # at most 1 / HOT_SHARE rows each
+    found = side.join(F.broadcast(hot), side_keys, "left_semi").withColumn("_found", F.lit(True))
+    hot_side = hot.join(F.broadcast(found), side_keys, "left").select(
+        *side_keys, F.lit(True).alias("_hot"),
+        F.col("_found").alias("_hot_found"), *[F.col(v).alias(f"_hot{v}") for v in values],
     )
-    hot_side = side.join(F.broadcast(hot.drop("_hot")), side_keys, "left_semi")
-    marked = fact.join(F.broadcast(hot), _match(on), "left").drop(*side_keys)
-    missing = F.lit(False)
+    marked = fact.join(F.broadcast(stage(hot_side, "hot-side")), _match(on), "left").drop(*side_keys)
+
+    apart = F.col("_hot").isNotNull()
     for key in fact_keys:
-        missing = missing | F.col(f"`{key}`").isNull()
-    apart = marked.filter(F.col("_hot").isNotNull() | missing).drop("_hot")
-    rest = marked.filter(F.col("_hot").isNull() & ~missing).drop("_hot")
-    return apart.join(F.broadcast(hot_side), _match(on), how).unionByName(
-        rest.join(side, _match(on), how)
+        apart = apart | F.col(f"`{key}`").isNull()
+    plain = [F.col(f"`{f.name}`") for f in fact.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    salt = F.pmod(F.xxhash64(*plain, F.spark_partition_id()), F.lit(_SALTS))
+    salted = marked.select(
+        "*",
+        *[F.when(~apart, F.col(f"`{key}`")).alias(f"_c{i}") for i, key in enumerate(fact_keys)],
+        F.when(apart, salt).otherwise(F.lit(0)).alias("_salt"),
+    )
+    # always 0, but not a literal: the optimiser would take a literal out of the join keys
+    unsalted = side.dropna(subset=side_keys).select(
+        "*", F.lit(True).alias("_found"), F.pmod(F.xxhash64(*side_keys), F.lit(1)).alias("_zero")
+    )
+    condition = F.col("_salt") == F.col("_zero")
+    for i, key in enumerate(side_keys):
+        condition = condition & (F.col(f"_c{i}") == F.col(key))
+    joined = salted.join(unsalted, condition, "left")
+    if how == "inner":
+        joined = joined.filter(F.coalesce("_found", "_hot_found"))
+    hit = F.col("_hot").isNotNull()
+    return joined.select(
+        *[F.col(f"`{c}`") for c in fact.columns],
+        *[F.when(hit, F.col(f"_hot{v}")).otherwise(F.col(v)).alias(v) for v in values],
     )
 
 
+def _hot_keys(fact: DataFrame, fact_keys: list[str], side_keys: list[str]) -> DataFrame:
+    """The keys holding more than ``HOT_SHARE`` of the rows, as a small stored table."""
+    present = F.lit(True)
+    for key in fact_keys:
+        present = present & F.col(f"`{key}`").isNotNull()
+    keyed = fact.filter(present).select(*[F.col(f"`{k}`").alias(s) for k, s in zip(fact_keys, side_keys)])
+    counts = keyed.groupBy(*side_keys).agg(F.count(F.lit(1)).alias("_n"))
+    threshold = keyed.agg(F.count(F.lit(1)) * F.lit(HOT_SHARE)).scalar()
+    return stage(counts.filter(F.col("_n") > threshold).select(*side_keys), "hot-keys")
+
+
 def missing_references(fact: DataFrame, column: str, reference: DataFrame, ref_column: str) -> DataFrame:
     """Values of ``column`` absent from the reference, with how many rows hold each.
 
@@ -189,14 +219,16 @@ def point_in_time_join(
 
 
 def _latest_started(fact, side, key, date, order, slices):
-    held = fact.filter(F.col(key).isNotNull() & F.col(date).isNotNull())
-    rest = fact.filter(F.col(key).isNull() | F.col(date).isNull())
-    rows = held.select(
+    """Facts and versions in one date order; a fact takes the last version started before it.
+
+    Facts without key find no version in their group, those without date sort before all.
+    """
+    rows = fact.select(
         F.col(key).alias("_id"), F.col(date).alias("_on"), F.lit(1).alias("_kind"),
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
         F.struct(*[F.col(c) for c in fact.columns]).alias("_fact"),
     )
-    starts = side.filter(F.col("_k0").isNotNull()).select(
+    starts = side.filter(F.col("_k0").isNotNull() & F.col("_from").isNotNull()).select(
         F.col("_k0").alias("_id"), F.col("_from").alias("_on"), F.lit(0).alias("_kind"),
         F.struct("_to", "_version").alias("_start"),
     )
@@ -204,8 +236,7 @@ def _latest_started(fact, side, key, date, order, slices):
     ordering = ["_on", "_kind", *[f"_o{i}" for i in range(len(order))]]
     ordered = in_order(merged, ["_id"], ordering, slices=slices)
     latest = ordered.running({"_latest": Running("last", F.col("_start"))})
-    matched = latest.rows.filter(F.col("_kind") == 1).select(
+    return latest.rows.filter(F.col("_kind") == 1).select(
         "_fact.*",
         F.when(F.col("_latest._to") >= F.col("_on"), F.col("_latest._version")).alias("_version"),
     )
-    return matched.unionByName(rest, allowMissingColumns=True)

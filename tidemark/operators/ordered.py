@@ -129,7 +129,7 @@ def in_order(
     behind them twice. Splitting stages them again with their slice number: range
     boundaries come from a sample, and a second evaluation could cut elsewhere.
     ``order`` must make the rows of a group distinct (or leave only interchangeable
-    ones). Group columns must not be null. ``slices`` forces a split into that many.
+    ones). Rows of a null group get no carry. ``slices`` forces a split into that many.
     """
     held = stage(df, "ordered")
     if slices is None:

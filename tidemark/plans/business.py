@@ -177,6 +177,8 @@ def issue_rate(projects: DataFrame, issues: DataFrame) -> DataFrame:
 
 def share_of_total(df: DataFrame, group: str, value: Column) -> DataFrame:
     """Group sum, and its percentage of the grand total (no group holds the whole table)."""
-    sums = df.groupBy(group).agg(money_sum(value).alias("total"))
-    whole = df.agg(money_sum(value)).scalar()
-    return sums.select(group, "total", share_pct(F.col("total"), whole).alias("share_pct"))
+    sums = df.groupBy(group).agg(F.sum(cents(value)).alias("_cents"))
+    whole = sums.agg(F.sum("_cents")).scalar()
+    return sums.select(
+        group, from_cents(F.col("_cents")).alias("total"), share_pct(F.col("_cents"), whole).alias("share_pct")
+    )
