@@ -434,7 +434,7 @@ def _classes(table: str, classes: dict[str, str | None]) -> str:
     )
 
 
-_PIPELINE_ROWS = " UNION ALL ".join(
+_LOAD_ROWS = " UNION ALL ".join(
     f"SELECT '{d}' AS dataset, '{s}' AS stage, COUNT(*) AS rows FROM {t}"
     for d, s, t in [
         ("projects", "raw", "orders"), ("projects", "clean", "projects"), ("employees", "raw", "customer"),
@@ -456,7 +456,7 @@ ORACLE: dict[str, str] = {
       SELECT CAST(ts AS DATE) AS event_date, event_type, COUNT(*) AS event_count,
         CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
       FROM events GROUP BY ALL""",
-    "pipeline_row_counts": f"WITH {PROJECTS}, {CLEAN_EMPLOYEES.replace(f'{PEOPLE},', '', 1)}, {RAW_TRANSACTIONS}, {EVENTS} {_PIPELINE_ROWS}",
+    "load_row_counts": f"WITH {PROJECTS}, {CLEAN_EMPLOYEES.replace(f'{PEOPLE},', '', 1)}, {RAW_TRANSACTIONS}, {EVENTS} {_LOAD_ROWS}",
     "transform_orders": f"WITH {PROJECTS} SELECT * FROM projects",
     "clean_customers": f"WITH {CLEAN_EMPLOYEES} SELECT * FROM clean_employees",
     "employee_quality_summary": f"""WITH {CLEAN_EMPLOYEES}

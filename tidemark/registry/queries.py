@@ -95,7 +95,7 @@ def repeated_write(spark, folder):
     return read_table(spark, path, volume.schema).select("event_date", "event_type", "event_count", "cumulative_count")
 
 
-def pipeline_row_counts(spark, folder):
+def load_row_counts(spark, folder):
     raw = views.raw_projects(spark, folder)
     lines = views.raw_transactions(spark, folder)
     people = views.raw_employees(spark, folder)
@@ -668,7 +668,7 @@ def free_text_audit(spark, folder):
 QUERIES = {
     fn.__name__: fn
     for fn in [
-        csv_round_trip, json_round_trip, jsonl_round_trip, partitioned_events, repeated_write, pipeline_row_counts,
+        csv_round_trip, json_round_trip, jsonl_round_trip, partitioned_events, repeated_write, load_row_counts,
         transform_orders, clean_customers, employee_quality_summary, status_conflicts, enrich_lineitems,
         winsorise_band, value_quantiles, risk_value_counts, dedupe_first,
         agg_conditional, agg_distinct, agg_share,
