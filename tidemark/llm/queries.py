@@ -9,6 +9,21 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.piece_bpe import encoding_digests
+from tidemark.llm.token_files import token_file_index
+
+END_ID = 2
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizer files lie."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding_digests(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,6 +37,12 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_file_index(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), END_ID)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_token_files": op8_token_files,
 }
