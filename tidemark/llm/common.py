@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import stage, staging_path
 
-__all__ = ["table", "whole_text", "fresh_names", "held_out", "training_rows", "stage", "staging_path", "slices_for"]
+__all__ = [
+    "class_sizes", "fresh_names", "held_out", "logistic_1d", "slices_for", "stage", "staging_path", "table",
+    "training_rows", "whole_text",
+]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -54,6 +58,31 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int
     return reduce(DataFrame.unionAll, picked)
 
 
+def class_sizes(labels: DataFrame, label: str) -> tuple[int, int]:
+    """Labelled rows of class 0 and 1 outside the held-out fold, counted over the whole table."""
+    found = labels.filter(~held_out() & F.col(label).isin(0, 1)).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counted = {int(r[label]): int(r["n"]) for r in found.collect()}
+    return counted.get(0, 0), counted.get(1, 0)
+
+
+def logistic_1d(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of a weighted logistic fit, targets smoothed towards one half."""
+    n1, n0 = weight[y == 1].sum(), weight[y == 0].sum()
+    target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    spread = max(float(x.std()), 1e-9)
+    z = np.c_[(x - x.mean()) / spread, np.ones(len(x))]
+    w = np.array([1.0, np.log((n1 + 1) / (n0 + 1))])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
+        g = z.T @ (weight * (p - target)) + 1e-3 * w
+        h = (z * (weight * p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(2)
+        step = np.linalg.solve(h, g)
+        w -= np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(w[0] / spread), float(w[1] - w[0] * x.mean() / spread)
+
+
 def slices_for(spark: SparkSession, size: float, per_slice: float) -> int:
     """Tasks for ``size`` units of work: at least the session's shuffle partitions, more as the input grows."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), int(size // per_slice) + 1)

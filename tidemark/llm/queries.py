@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm import quality, toxicity
+from tidemark.llm.common import held_out, table
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.piece_bpe import encoding_digests
 from tidemark.llm.token_files import token_file_index
@@ -22,6 +23,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _scored(docs: DataFrame, score: str, accepted: float) -> DataFrame:
+    return docs.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        F.col(score).alias("score"),
+        (F.col(score) >= accepted).cast("int").alias("predicted"),
+    )
+
+
+def op1_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return _scored(quality.with_quality(docs, model, keep=["doc_id"]), "quality_score", quality.ACCEPTED)
+
+
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -41,8 +57,16 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_index(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), END_ID)
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    return _scored(toxicity.with_toxicity(docs, model, keep=["doc_id"]), "toxicity", toxicity.REJECTED)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_compression_quality": op1_compression_quality,
     "op2_sentencepiece": op2_sentencepiece,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_token_files": op8_token_files,
+    "op9_toxicity": op9_toxicity,
 }
