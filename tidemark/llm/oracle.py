@@ -1,6 +1,31 @@
 """The corpus queries that SQL can express, as DuckDB SQL."""
 
 ORACLE: dict[str, str] = {
+    "op5_poisson_mixing": """
+        WITH sizes AS (
+            SELECT source, sum(strlen(coalesce(text, ''))) AS size FROM documents GROUP BY source
+        ), rates AS (
+            SELECT source,
+                   CASE WHEN size > 0 THEN pow(size, 0.7) / (SELECT sum(pow(size, 0.7)) FROM sizes WHERE size > 0)
+                        * (SELECT sum(size) FROM sizes) / size ELSE 0 END AS rate
+            FROM sizes
+        ), terms AS (
+            SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p
+            FROM rates, range(0, 400) steps(k) WHERE rate > 0
+        ), distribution AS (
+            SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms
+        ), draws AS (
+            SELECT d.*, (CAST('0x' || substr(md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|1'), 1, 13) AS BIGINT)
+                         + 0.5) / 4503599627370496.0 AS u
+            FROM documents d
+        ), counted AS (
+            SELECT draws.*, CAST((SELECT count(*) FROM distribution t
+                                  WHERE t.source IS NOT DISTINCT FROM draws.source AND t.c < draws.u) AS INTEGER) AS copies
+            FROM draws
+        )
+        SELECT doc_id, text, lang, source, n_chars, CAST(unnest(range(1, copies + 1)) AS INTEGER) AS copy, copies
+        FROM counted WHERE copies > 0
+    """,
     "op6_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,

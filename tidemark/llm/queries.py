@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import quality, toxicity
 from tidemark.llm.common import held_out, table
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.mixing import mix_sources
+from tidemark.llm.near_dedup import near_duplicate_classes
 from tidemark.llm.piece_bpe import encoding_digests
 from tidemark.llm.token_files import token_file_index
 
@@ -42,6 +44,14 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op5_poisson_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(table(spark, folder, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact_groups(table(spark, folder, "documents"))
     return groups.select(
@@ -66,6 +76,8 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_quality": op1_compression_quality,
     "op2_sentencepiece": op2_sentencepiece,
+    "op4_order_minhash": op4_order_minhash,
+    "op5_poisson_mixing": op5_poisson_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
