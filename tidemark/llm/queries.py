@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import quality, toxicity
 from tidemark.llm.common import held_out, table
+from tidemark.llm.embedding_dedup import embedding_groups
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.near_dedup import near_duplicate_classes
@@ -73,6 +74,11 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(toxicity.with_toxicity(docs, model, keep=["doc_id"]), "toxicity", toxicity.REJECTED)
 
 
+def op10_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
+    groups = embedding_groups(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+    return groups.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_quality": op1_compression_quality,
     "op2_sentencepiece": op2_sentencepiece,
@@ -81,4 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
+    "op10_cover_tree": op10_cover_tree,
 }
