@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, toxicity
+from tidemark.llm import license_scan, quality, toxicity
 from tidemark.llm.common import held_out, table
 from tidemark.llm.embedding_dedup import embedding_groups
 from tidemark.llm.exact_dedup import exact_groups
@@ -64,6 +64,11 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return license_scan.scan_licenses(docs, license_scan.fit(docs))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_index(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), END_ID)
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_order_minhash": op4_order_minhash,
     "op5_poisson_mixing": op5_poisson_mixing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_license_scan": op7_license_scan,
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_cover_tree": op10_cover_tree,
