@@ -8,8 +8,8 @@ equals first, until no adjacent pair forms a piece. Two forms of the agenda:
   arrays; each round takes every segment's best pair;
 * one long segment: a heap of scored pairs over a linked list of symbols.
 
-Text is cut into segments where a character is followed by the blank symbol.
-No piece reaches across such a place (``MergeVocabulary`` proves this for the
+Text is cut into segments where a character is followed by the blank symbol,
+and at line breaks. No piece reaches across such a place (``MergeVocabulary`` proves this for the
 loaded model and keeps the text whole otherwise), so segments are independent
 and each distinct one is encoded once per worker.
 
@@ -25,6 +25,7 @@ only where asked for.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import re
@@ -39,8 +40,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import fresh_names
 
 BLANK = "▁"
+BREAK = "\n"
 SHORT = 60  # characters up to which segments share a batch agenda
-REMEMBERED = 300_000  # segments a worker keeps; it starts anew beyond
+REMEMBERED = 600_000  # segments a worker keeps; beyond, only those of the present texts stay
 BATCH_BYTES = 4 << 20  # text taken from an Arrow batch at a time
 NEVER = np.iinfo(np.int64).max
 
@@ -76,7 +78,10 @@ class MergeVocabulary:
         self.order = np.unique(-scores, return_inverse=True)[1].astype(np.int64)  # 0: merged first
         self._build_table()
         self.cut = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in normal)
-        self.ints = list(range(self.size))
+        # A line break that is in no piece never merges, so lines are independent too.
+        self.lines = self.cut and self.byte_ids is not None and self.symbol_of[ord(BREAK)] == self.outside
+        self.ints = np.arange(self.width, dtype=object)  # one object per id, shared by all lists
+        self.texts = [str(i) for i in range(self.size)]
 
     def _build_table(self) -> None:
         """Pair -> merged symbol as an open hash table, at most an eighth full."""
@@ -170,20 +175,17 @@ class MergeVocabulary:
         owner, symbol, code = owner[order], symbol[order], code[order]
         ends = np.searchsorted(owner, np.arange(n), side="right")
         odd = set(owner[symbol >= self.size].tolist())
-        ints, flat, begin, out = self.ints, symbol.tolist(), 0, []
-        for i, end in enumerate(ends.tolist()):
-            if i in odd:
-                out.append(list(chain.from_iterable(
-                    self._ids(flat[k], chr(int(code[k]))) for k in range(begin, end))))
-            else:
-                out.append([ints[s] for s in flat[begin:end]])
-            begin = end
+        flat = self.ints[symbol].tolist()
+        begins = [0, *ends[:-1].tolist()]
+        out = [flat[b:e] for b, e in zip(begins, ends.tolist(), strict=True)]
+        for i in odd:
+            out[i] = [x for k in range(begins[i], ends[i]) for x in self._ids(flat[k], chr(int(code[k])))]
         return out
 
     def _ids(self, symbol: int, char: str) -> list[int]:
         """A symbol's ids: itself, or bytes for what is no piece."""
         if symbol < self.size:
-            return [self.ints[symbol]]
+            return [symbol]
         if self.byte_ids is None:
             return [self.unknown]
         return [self.byte_ids[b] for b in char.encode()]
@@ -227,16 +229,32 @@ class MergeVocabulary:
         text = BLANK + text.replace(" ", BLANK)
         if not self.cut:
             return [text]
-        if BLANK + BLANK in text or text.endswith(BLANK):
-            return re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", text)
-        return [BLANK + s for s in text[1:].split(BLANK)]
+        out: list[str] = []
+        for n, line in enumerate(text.split(BREAK) if self.lines else [text]):
+            if n:
+                out.append(BREAK)
+            if BLANK + BLANK in line:
+                out += re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", line)
+            else:
+                head, *rest = line.split(BLANK)
+                if head:
+                    out.append(head)
+                out += [BLANK + w for w in rest]
+        return out
 
     def checked(self, segments: list[str]) -> list[list[int]]:
         """Encode and compare with the library."""
         own = self.encode(segments)
-        theirs = self.library.encode([s[1:] for s in segments], num_threads=1)
-        # A lone blank is the one segment that the library can't be given: it is the prefix it adds itself.
-        theirs = [[self.library.piece_to_id(s)] if s == BLANK else i for s, i in zip(segments, theirs, strict=True)]
+        # The library puts a blank in front. What starts a line is given to it behind a line break, and a lone
+        # blank, the one segment that it can't be given, is the piece of that name.
+        inner = [not s.startswith(BLANK) for s in segments]
+        theirs = self.library.encode(
+            [BREAK + s if i else s[1:] for s, i in zip(segments, inner, strict=True)], num_threads=1)
+        for k, (s, i) in enumerate(zip(segments, inner, strict=True)):
+            if i:
+                theirs[k] = theirs[k][2:]
+            elif s == BLANK:
+                theirs[k] = [self.library.piece_to_id(s)]
         if own != theirs:
             s = next(s for s, a, b in zip(segments, own, theirs, strict=True) if a != b)
             raise ValueError(f"the merge agenda and the sentencepiece library disagree on {s!r}")
@@ -260,13 +278,16 @@ def encode_texts(texts: list[str], model_file: str) -> list[list[tuple[list[int]
     """Per text its segments' (ids, ids joined by commas)."""
     model, seen = vocabulary(model_file), _SEEN.setdefault(model_file, {})
     cut = [model.segments(t) for t in texts]
-    new = list(set(chain.from_iterable(cut)).difference(seen))
+    present = set(chain.from_iterable(cut))
+    new = list(present.difference(seen))
     if len(seen) + len(new) > REMEMBERED:
+        kept = {s: seen[s] for s in present.intersection(seen)}
         seen.clear()
-        new = list(set(chain.from_iterable(cut)))
+        seen.update(kept)
+    text_of = model.texts.__getitem__
     for k in range(0, len(new), 20_000):
         part = new[k : k + 20_000]
-        seen.update((s, (i, ",".join(map(str, i)))) for s, i in zip(part, model.checked(part), strict=True))
+        seen.update((s, (i, ",".join(map(text_of, i)))) for s, i in zip(part, model.checked(part), strict=True))
     return [[seen[s] for s in segments] for segments in cut]
 
 
@@ -285,6 +306,7 @@ def _sliced(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
 def _encoder(model_file: str, digests: bool, column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = vocabulary(model_file)
+        gc.disable()  # nothing here makes cycles, and the remembered segments would be walked again and again
         for whole in batches:
             for batch in _sliced(whole, column):
                 texts = [t or "" for t in batch.column(column).to_pylist()]
