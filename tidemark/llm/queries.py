@@ -14,6 +14,7 @@ from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.near_dedup import near_duplicate_classes
 from tidemark.llm.piece_bpe import encoding_digests
+from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.token_files import token_file_index
 
 END_ID = 2
@@ -45,6 +46,12 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op3_induced_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_classes(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -87,6 +94,7 @@ def op10_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_quality": op1_compression_quality,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_induced_suffix_dedup": op3_induced_suffix_dedup,
     "op4_order_minhash": op4_order_minhash,
     "op5_poisson_mixing": op5_poisson_mixing,
     "op6_exact_dedup": op6_exact_dedup,
