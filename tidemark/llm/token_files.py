@@ -58,28 +58,33 @@ SEEK_ROW = np.dtype([("packed", "<u4"), ("plain", "<u4"), ("check", "<u4")])
 FRAME_IDS = 1 << 20
 FILE_BYTES = 32 << 20  # text per file
 BATCH_BYTES = 4 << 20  # text encoded at a time
-REMEMBERED = 300_000  # words a worker keeps; it starts anew beyond
+REMEMBERED = 800_000  # words a worker keeps; beyond, only those of the present texts stay
 LEVEL = 1
 
-_TOKENIZERS: dict[str, object] = {}
-_WORDS: dict[str, dict[str, bytes]] = {}
+STOPS = ".,;:!?|"  # marks behind a word that are a piece of their own
 
-
-def _tokenizer(path: str):
-    if path not in _TOKENIZERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True
-        _TOKENIZERS[path] = made
-    return _TOKENIZERS[path]
+_ENCODERS: dict[str, WordEncoder] = {}
 
 
 def split_words(text: str) -> list[str]:
-    """Cuts before single blanks. Byte-level pre-tokenizers start a piece there whatever precedes."""
+    """Cuts before single blanks and around single line breaks.
+
+    Byte-level pre-tokenizers start a piece there whatever surrounds it. Other
+    runs of white space stay with the word before them.
+    """
     if not text:
         return []
+    lines = text.split("\n")
+    if not all(line and not line[0].isspace() and not line[-1].isspace() for line in lines):
+        return _blank_cut(text)
+    out = _blank_cut(lines[0])
+    for line in lines[1:]:
+        out.append("\n")
+        out += _blank_cut(line)
+    return out
+
+
+def _blank_cut(text: str) -> list[str]:
     if "  " not in text:
         head, *rest = text.split(" ")
         return [head, *[" " + w for w in rest]] if head else [" " + w for w in rest]
@@ -93,25 +98,80 @@ def split_words(text: str) -> list[str]:
     return out
 
 
+class WordEncoder:
+    """Ids of words by the tokenizers library, each word's once.
+
+    Most words are letters, perhaps behind a blank and before full stops: one
+    piece each for the pre-tokenizer, so the library's model is asked directly.
+    All others go through its whole pipeline.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        self.seen: dict[str, bytes] = {}
+        # The letters that stand for bytes, asked from the library: of ASCII, and of second and first bytes of pairs.
+        ask = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.byte_letters = {b: ask(chr(b))[0][0] for b in range(0x80)}
+        self.byte_letters |= {b: ask(chr(0xC0 | b & 0x3F))[0][0][1] for b in range(0x80, 0xC0)}
+        self.byte_letters |= {b: ask(chr((b & 0x1F) << 6))[0][0][0] for b in range(0xC2, 0xE0)}
+        self.direct = self.library.normalizer is None and all(
+            self._model_ids(w) == self.library.encode(w, add_special_tokens=False).ids for w in ("the", " the", "Été", " über", "ñá")
+        )
+
+    def _model_ids(self, word: str) -> list[int]:
+        letters = word.encode().decode("latin-1").translate(self.byte_letters)
+        return [t.id for t in self.library.model.tokenize(letters)]
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    @staticmethod
+    def _letters(word: str) -> bool:
+        """Latin, Greek and Cyrillic letters behind at most one blank."""
+        return word.removeprefix(" ").isalpha() and (word.isascii() or max(word) < "\u0500")
+
+    def _learn(self, words: list[str]) -> None:
+        seen, rest = self.seen, []
+        for word in words:
+            core = word.rstrip(STOPS)
+            if not self.direct or not self._letters(core):
+                rest.append(word)
+            elif core == word:
+                seen[word] = self._packed(self._model_ids(word))
+            else:
+                stops = word[len(core) :]
+                for part in (core, stops):
+                    if part not in seen:
+                        ids = self._model_ids(part) if part is core else self.library.encode(part, add_special_tokens=False).ids
+                        seen[part] = self._packed(ids)
+                seen[word] = seen[core] + seen[stops]
+        for k in range(0, len(rest), 20_000):
+            part = rest[k : k + 20_000]
+            for word, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                seen[word] = self._packed(e.ids)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit bytes."""
+        words = [split_words(t) for t in texts]
+        present = set(chain.from_iterable(words))
+        new = present.difference(self.seen)
+        if len(self.seen) + len(new) > REMEMBERED:
+            self.seen = {w: self.seen[w] for w in present.intersection(self.seen)}
+        self._learn(list(new))
+        return [b"".join(map(self.seen.__getitem__, w)) for w in words]
+
+
 def encode_texts(texts: list[str], tokenizer_file: str) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit bytes; each distinct word is encoded once per worker."""
-    seen = _WORDS.setdefault(tokenizer_file, {})
-    words = [split_words(t) for t in texts]
-    new = list(set(chain.from_iterable(words)).difference(seen))
-    if len(seen) + len(new) > REMEMBERED:
-        seen.clear()
-        new = list(set(chain.from_iterable(words)))
-    tokenizer = _tokenizer(tokenizer_file)
-    for k in range(0, len(new), 20_000):
-        part = new[k : k + 20_000]
-        found = tokenizer.encode_batch_fast(part, add_special_tokens=False)
-        ids = [e.ids for e in found]
-        packed = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
-        at = 0
-        for word, i in zip(part, ids, strict=True):
-            seen[word] = packed[at : at + 4 * len(i)]
-            at += 4 * len(i)
-    return [b"".join(map(seen.__getitem__, w)) for w in words]
+    """Ids of each text as little-endian 32-bit bytes; a tokenizer is loaded once per worker."""
+    if tokenizer_file not in _ENCODERS:
+        _ENCODERS[tokenizer_file] = WordEncoder(tokenizer_file)
+    return _ENCODERS[tokenizer_file].encode(texts)
 
 
 def document_frames(ids: bytes) -> Iterator[tuple[bytes, int, int]]:
