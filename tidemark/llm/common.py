@@ -43,19 +43,20 @@ def held_out(column: str = "doc_id", folds: int = 5) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """At most ``per_class`` labelled texts of each class, the first by a hash of their text.
+    """(t, y): at most ``per_class`` labelled texts of each class, the first by a hash of their id.
 
     The bound is a parameter of every classifier here; held-out rows, null
-    labels and ids without a document are never among them. Both classes are
-    taken by top-k, so nothing unbounded is sorted or collected.
+    labels and ids without a document are never among them, and of rows that
+    share an id one counts. Ids are picked from the labels by top-k and
+    broadcast, two times ``per_class`` at most, so only the sample's texts move.
     """
-    marked = labels.filter(~held_out() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
-    rows = docs.select("doc_id", whole_text().alias("t")).join(marked, "doc_id").select("t", F.col("y").cast("int").alias("y"))
+    marked = labels.filter(~held_out() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     picked = [
-        rows.filter(F.col("y") == y).withColumn("h", F.xxhash64("t")).orderBy("h", "t").limit(per_class).select("t", "y")
+        marked.filter(F.col("y") == y).withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(per_class).drop("h")
         for y in (0, 1)
     ]
-    return reduce(DataFrame.unionAll, picked)
+    rows = docs.select("doc_id", whole_text().alias("t")).join(F.broadcast(reduce(DataFrame.unionAll, picked)), "doc_id")
+    return rows.groupBy("doc_id", "y").agg(F.min("t").alias("t")).select("t", "y")
 
 
 def class_sizes(labels: DataFrame, label: str) -> tuple[int, int]:
