@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Text that stands for "no value" in the raw extracts.
 NULL_TOKENS = ("", "NA", "N/A", "null", "NULL", "None", "nan", "NaN")
@@ -90,22 +91,27 @@ BARE_NUMBER = r"^-?\d{1,4}$"
 LONG_YEAR = r"^\d{5,}-\d{2}-\d{2}$"
 
 
-def cents(c: Column) -> Column:
-    """An amount as whole cents.
+# Digits behind the point that sums keep. Amounts with more are rounded there, row by row.
+SCALE = 8
 
-    Sums of it are exact, so they do not depend on row order, and wide enough for any
-    table. Rounding to a long first is cheaper than casting a double to a scaled decimal.
-    """
-    return F.rint(c * 100).cast("long").cast("decimal(18,0)")
+
+def exact(c: Column, scale: int = SCALE) -> Column:
+    """A number as a decimal, so that sums do not depend on the order of rows; NaN and what does not fit are null."""
+    number = c.try_cast("double")
+    return F.when(~F.isnan(number), c).try_cast(f"decimal(28,{scale})")
 
 
-def from_cents(c: Column) -> Column:
-    return c.cast("double") / 100
+def exact_sum(c: Column, scale: int = SCALE) -> Column:
+    """Sum of what is there, exact to ``scale`` digits, returned as a double."""
+    return F.sum(exact(c, scale)).cast("double")
 
 
-def money_sum(c: Column) -> Column:
-    """Exact sum of two-digit amounts, returned as a double."""
-    return from_cents(F.sum(cents(c)))
+def is_filled(df: DataFrame, column: str) -> Column:
+    """Whether there is a value; NaN in a column of floats is none."""
+    value = F.col(f"`{column}`")
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        return value.isNotNull() & ~F.isnan(value)
+    return value.isNotNull()
 
 
 def row_count() -> Column:

@@ -18,10 +18,17 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # at most 1 / HOT_SHARE keys can qualify.
 HOT_SHARE = 0.001
 
+# So does a key with more rows than this, whatever their share.
+HOT_ROWS = 50_000_000
+
 # Salts for facts that only pass through a lookup shuffle.
 _SALTS = 10_007
 
 
+class OverlapError(ValueError):
+    """Versions of one key overlap, so more than one could be valid on a day."""
+
+
 class DuplicateKeyError(ValueError):
     """A lookup side has several rows for one key, so joining would add rows."""
 
@@ -69,6 +76,36 @@ def _value_bytes(value: Column, kind: T.DataType) -> Column:
     return F.lit(8).cast("long")
 
 
+class HotKeys:
+    """Keys with very many rows, for several lookups of one base table in a single pass.
+
+    Counted when the first large lookup asks, then kept in the shared folder.
+    """
+
+    def __init__(self, base: DataFrame, columns: list[str]):
+        self.base, self.columns = base, columns
+        self._found: DataFrame | None = None
+
+    def of(self, column: str, name: str) -> DataFrame:
+        """The hot values of ``column`` as a small table with one column ``name``."""
+        if self._found is None:
+            pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in self.columns])
+            counts = (
+                self.base.select(F.explode(pairs).alias("p")).filter(F.col("p.v").isNotNull())
+                .groupBy("p.c", "p.v").agg(F.count(F.lit(1)).alias("_n"))
+            )
+            self._found = stage(_over_bound(stage(counts, "key-counts"), ["c"]), "hot-keys")
+        kind = self.base.schema[column].dataType
+        return self._found.filter(F.col("c") == column).select(F.col("v").cast(kind).alias(name))
+
+
+def _over_bound(counts: DataFrame, within: list[str]) -> DataFrame:
+    """Counted keys above the share or the row bound; the share is of the same counts."""
+    total = counts.groupBy(*within).agg(F.sum("_n").alias("_all"))  # one row per column
+    joined = counts.join(F.broadcast(total), within) if within else counts.withColumn("_all", total.select("_all").scalar())
+    return joined.filter((F.col("_n") > F.col("_all") * HOT_SHARE) | (F.col("_n") > HOT_ROWS)).drop("_all")
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -77,12 +114,14 @@ def lookup_join(
     *,
     how: str = "left",
     max_bytes: int = BROADCAST_BYTES,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add ``columns`` of ``dim`` to ``fact`` without changing its row count.
 
     ``on`` maps fact column to lookup column. The lookup side is measured first:
     duplicate keys raise :class:`DuplicateKeyError`, a side within ``max_bytes``
-    is broadcast, and a larger one is shuffled with the hot keys split off.
+    is broadcast, and a larger one is shuffled with the hot keys split off. ``hot``
+    shares the count of hot keys between the lookups of one fact.
     ``how='inner'`` drops facts without a match instead.
     """
     names = columns if isinstance(columns, dict) else {c: c for c in columns}
@@ -100,7 +139,7 @@ def lookup_join(
     if size.bytes <= max_bytes:
         joined = fact.join(F.broadcast(side), _match(on), how)
     else:
-        joined = _join_apart(fact, side, on, how)
+        joined = _join_apart(fact, side, on, how, hot)
     return joined.select(*[F.col(f"`{c}`") for c in fact.columns], *[F.col(f"_v_{n}").alias(n) for n in names])
 
 
@@ -111,7 +150,9 @@ def _match(on: dict[str, str]) -> Column:
     return condition
 
 
-def _join_apart(fact: DataFrame, side: DataFrame, on: dict[str, str], how: str) -> DataFrame:
+def _join_apart(
+    fact: DataFrame, side: DataFrame, on: dict[str, str], how: str, known: HotKeys | None
+) -> DataFrame:
     """Shuffle join for the many small keys, broadcast join for the few hot ones, in one pass.
 
     Facts answered by the broadcast, and facts without a key, go through the shuffle
@@ -120,8 +161,11 @@ def _join_apart(fact: DataFrame, side: DataFrame, on: dict[str, str], how: str)
     fact_keys = list(on)
     side_keys = [f"_k{i}" for i in range(len(on))]
     values = [c for c in side.columns if c not in side_keys]
-    hot = _hot_keys(fact, fact_keys, side_keys)
-    # at most 1 / HOT_SHARE rows each
+    if known is not None and len(fact_keys) == 1 and fact_keys[0] in known.columns:
+        hot = known.of(fact_keys[0], side_keys[0])
+    else:
+        hot = _hot_keys(fact, fact_keys, side_keys)
+    # at most 1 / HOT_SHARE rows, and one for each HOT_ROWS rows of the fact
     found = side.join(F.broadcast(hot), side_keys, "left_semi").withColumn("_found", F.lit(True))
     hot_side = hot.join(F.broadcast(found), side_keys, "left").select(
         *side_keys, F.lit(True).alias("_hot"),
@@ -157,14 +201,13 @@ def _join_apart(fact: DataFrame, side: DataFrame, on: dict[str, str], how: str)
 
 
 def _hot_keys(fact: DataFrame, fact_keys: list[str], side_keys: list[str]) -> DataFrame:
-    """The keys holding more than ``HOT_SHARE`` of the rows, as a small stored table."""
+    """The keys above ``HOT_SHARE`` or ``HOT_ROWS``, as a small stored table."""
     present = F.lit(True)
     for key in fact_keys:
         present = present & F.col(f"`{key}`").isNotNull()
     keyed = fact.filter(present).select(*[F.col(f"`{k}`").alias(s) for k, s in zip(fact_keys, side_keys)])
     counts = keyed.groupBy(*side_keys).agg(F.count(F.lit(1)).alias("_n"))
-    threshold = keyed.agg(F.count(F.lit(1)) * F.lit(HOT_SHARE)).scalar()
-    return stage(counts.filter(F.col("_n") > threshold).select(*side_keys), "hot-keys")
+    return stage(_over_bound(stage(counts, "key-counts"), []).select(*side_keys), "hot-keys")
 
 
 def missing_references(fact: DataFrame, column: str, reference: DataFrame, ref_column: str) -> DataFrame:
@@ -197,7 +240,9 @@ def point_in_time_join(
     """Add the columns of the version valid on the fact's date (both ends inclusive).
 
     Facts before the first version, or in a gap, keep nulls. Versions of a key
-    must not overlap. A measured small version table is broadcast and matched by
+    that share a start raise :class:`DuplicateKeyError`, others that overlap raise
+    :class:`OverlapError`, before anything is joined, so both ways below give one row
+    per fact. Versions without key, start or end match nothing. A measured small version table is broadcast and matched by
     range; otherwise facts and versions are merged in date order and each fact
     takes the last version started, with groups of any size spread over slices.
     ``order`` names fact columns that tell facts of equal key and date apart.
@@ -208,7 +253,15 @@ def point_in_time_join(
         F.col(valid_to).alias("_to"),
         F.struct(*[F.col(c).alias(n) for n, c in columns.items()]).alias("_version"),
     )
-    if measure(side, ["_k0", "_from"]).bytes <= max_bytes:
+    side = stage(side.dropna(subset=["_k0", "_from", "_to"]), "versions")
+    size = measure(side, ["_k0", "_from"])
+    if size.copies > 1:
+        raise DuplicateKeyError(f"up to {size.copies} versions of one {version_key} start on one day")
+    earlier = in_order(side.select("_k0", "_from", "_to"), ["_k0"], ["_from"], slices=slices).running(
+        {"_reach": Running("max", F.col("_to"), prior=True)})
+    if not earlier.rows.filter(F.col("_reach") >= F.col("_from")).isEmpty():
+        raise OverlapError(f"versions of one {version_key} overlap")
+    if size.bytes <= max_bytes:
         in_range = (F.col(f"`{key}`") == F.col("_k0")) & F.col(date).between(F.col("_from"), F.col("_to"))
         joined = fact.join(F.broadcast(side), in_range, "left")
     else:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import is_filled
 from tidemark.operators.lookup import lookup_join
 from tidemark.operators.ordered import Running, in_order
 from tidemark.session import stage
@@ -19,14 +20,14 @@ def group_quantiles(
     approx: bool = False,
     slices: int | None = None,
 ) -> DataFrame:
-    """Linearly interpolated quantiles per group, nulls ignored.
+    """Linearly interpolated quantiles per group, nulls and NaN ignored.
 
     ``F.percentile`` keeps a group's distinct values in one task. Here values are
     first counted (map-side combined), then ranked by a running count, and
     only the one or two rows each quantile falls on are kept. ``approx=True``
     uses the bounded-memory sketch instead.
     """
-    known = df.filter(F.col(value).isNotNull())
+    known = df.filter(is_filled(df, value))
     for g in group:
         known = known.filter(F.col(g).isNotNull())
     if approx:
@@ -95,7 +96,7 @@ def flag_outside_band(
     """
     bands = stage(group_quantiles(df, [group], value, {"_p05": 0.05, "_p95": 0.95}, slices=slices), "bands")
     banded = lookup_join(df, bands, {group: group}, ["_p05", "_p95"])
-    above = F.col(value) > F.col("_p95") * 1.5
+    above = (F.col(value) > F.col("_p95") * 1.5) & is_filled(df, value)
     below = F.col(value) < F.col("_p05") * 0.5
     outside = F.coalesce(above | below, F.lit(False))
     fixes = {

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import OPEN_END, UNKNOWN_START, row_count
 from tidemark.operators.matching import overlapping_intervals
-from tidemark.operators.ordered import number_rows
+from tidemark.operators.ordered import Running, in_order, number_rows
 
 
 @dataclass(frozen=True)
@@ -153,16 +153,21 @@ def row_equation(
     return dimension.agg(row_count().alias("actual_rows")).withColumn("expected_rows", with_person + without_change)
 
 
-def version_gaps(dimension: DataFrame, key: str = "employee_id", surrogate: str = "employee_key") -> DataFrame:
-    """Versions not followed directly by the next one; expect none.
+def version_gaps(
+    dimension: DataFrame, key: str = "employee_id", surrogate: str = "employee_key", slices: int | None = None
+) -> DataFrame:
+    """Versions not followed directly by the next one; expect none. Rows without a key are left out.
 
-    A built dimension has at most one version per key and day, which bounds the window.
+    The dimension may be unsound, with many rows of one key, so groups of any size are spread:
+    read backwards, the following start is the last one seen.
     """
-    following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
-    ordered = dimension.select(key, surrogate, "valid_to", following.alias("next_valid_from"))
-    return ordered.filter(
+    rows = dimension.filter(F.col(key).isNotNull()).select(
+        key, surrogate, "valid_to", "valid_from", (-F.unix_date("valid_from")).alias("_back"), (-F.col(surrogate)).alias("_nth"))
+    seen = in_order(rows, [key], ["_back", "_nth"], slices=slices).running(
+        {"next_valid_from": Running("last", F.col("valid_from"), prior=True)})
+    return seen.rows.filter(
         F.col("next_valid_from").isNotNull() & (F.col("next_valid_from") != F.date_add("valid_to", 1))
-    )
+    ).select(key, surrogate, "valid_to", "next_valid_from")
 
 
 def adjacent_increases(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import date_key
-from tidemark.operators.lookup import lookup_join, point_in_time_join
+from tidemark.operators.lookup import BROADCAST_BYTES, HotKeys, lookup_join, point_in_time_join
 from tidemark.operators.ordered import number_rows
 
 
@@ -68,18 +68,23 @@ def fact_transactions(
     order: list[str],
     columns: list[str],
     slices: int | None = None,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Transactions with dimension keys; the approver as of the transaction date.
 
     ``order`` is the natural order of the surrogate key, ``columns`` are kept as
-    they are. Transactions without a match keep a null key.
+    they are. Transactions without a match keep a null key. Dimensions above
+    ``max_bytes`` are shuffled; the hot keys of both lookups are counted in one pass.
     """
-    with_project = lookup_join(transactions, projects, {"project_id": "project_id"}, ["project_key"])
-    with_vendor = lookup_join(with_project, vendors, {"vendor_id": "vendor_id"}, ["vendor_key"])
+    hot = HotKeys(transactions, ["project_id", "vendor_id"])
+    with_project = lookup_join(
+        transactions, projects, {"project_id": "project_id"}, ["project_key"], max_bytes=max_bytes, hot=hot)
+    with_vendor = lookup_join(
+        with_project, vendors, {"vendor_id": "vendor_id"}, ["vendor_key"], max_bytes=max_bytes, hot=hot)
     resolved = point_in_time_join(
         with_vendor, employees, key="approved_by", date="transaction_date", order=order,
         version_key="employee_id", valid_from="valid_from", valid_to="valid_to",
-        columns={"employee_key": "employee_key"},
+        columns={"employee_key": "employee_key"}, max_bytes=max_bytes, slices=slices,
     )
     kept = [c for c in columns if c not in order]
     keyed = resolved.select(

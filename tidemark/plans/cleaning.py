@@ -21,7 +21,7 @@ from tidemark.functions.columns import (
     title_case,
     year_month,
 )
-from tidemark.operators.lookup import lookup_join
+from tidemark.operators.lookup import BROADCAST_BYTES, HotKeys, lookup_join
 from tidemark.operators.quantile import flag_outside_band, impute_group_median
 
 # Project status to category.
@@ -142,15 +142,18 @@ def employee_quality_summary(employees: DataFrame, cleaned: DataFrame, as_of: da
     )
 
 
-def enrich_transactions(transactions: DataFrame, projects: DataFrame, employees: DataFrame) -> DataFrame:
+def enrich_transactions(
+    transactions: DataFrame, projects: DataFrame, employees: DataFrame, *, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Add project and approver names, the approval flag, a 0-filled amount and the month.
 
     Both lookups are checked for unique keys, so no transaction is ever doubled.
     """
-    named = lookup_join(transactions, projects, {"project_id": "project_id"}, ["project_name", "department"])
+    hot = HotKeys(transactions, ["project_id", "approved_by"])
+    named = lookup_join(
+        transactions, projects, {"project_id": "project_id"}, ["project_name", "department"], max_bytes=max_bytes, hot=hot)
     approved = lookup_join(
-        named, employees, {"approved_by": "employee_id"}, {"approver_full_name": "full_name"}
-    )
+        named, employees, {"approved_by": "employee_id"}, {"approver_full_name": "full_name"}, max_bytes=max_bytes, hot=hot)
     return approved.withColumns(
         {
             "is_approved": F.col("approved_by").isNotNull(),

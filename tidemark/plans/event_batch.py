@@ -23,8 +23,8 @@ def run_event_batch(events: DataFrame, out: str) -> tuple[ev.StageTimes, dict[st
         return raw.get["rows"]
 
     raw_rows = times.run("validate", validate)
-    rows = {"raw": raw_rows, "with_keys": keyed.get["rows"]}
     clean = held[0]
+    rows = {"raw": raw_rows, "with_keys": keyed.get["rows"], "clean": clean.count()}
     for name, build in ev.MARTS.items():
         mart = build(clean)
         layout = {"partition_by": ["event_date"]} if name == "daily_event_volume" else {}

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import scd2, star
@@ -71,17 +71,16 @@ def run_load(
     clean_people = stage(clean_employees(raw["employees"], as_of), "employees-clean")
     enriched = enrich_transactions(raw["transactions"], clean_projects, clean_people)
     written = {}
+    counts: dict[tuple[str, str], int] = {}
     for name, df in (("projects", clean_projects), ("employees", clean_people), ("transactions", enriched)):
         path = f"{out}/{name}_clean"
-        write_table(df, path)
+        counts[name, "clean"] = write_table(df, path)
         written[name] = read_table(spark, path, df.schema)
         if as_csv:
             write_csv(written[name], f"{path}_csv")
     summary = stage(employee_quality_summary(raw["employees"], clean_people, as_of), "quality-summary")
     write_metrics(summary, f"{out}/employee_quality_summary")
-    rows = stage_rows(
-        {**{(n, "raw"): df for n, df in raw.items()}, **{(n, "clean"): df for n, df in written.items()}}
-    )
+    rows = stage_rows({(n, "raw"): df for n, df in raw.items()}).unionByName(_counted(spark, counts))
     decisions = [f"employees.{name}: {count}" for name, count in summary.first().asDict().items()]
     missing = raw["transactions"].agg(
         F.count(F.when(F.col("amount").isNull(), 1)).alias("amount"),
@@ -97,6 +96,11 @@ def run_load(
     return RunResult(written, found, reports, run_report(rows, decisions, elapsed, TIME_BUDGET))
 
 
+def _counted(spark: SparkSession, counts: dict[tuple[str, str], int]) -> DataFrame:
+    """Row counts that the writes returned, shaped as :func:`stage_rows` gives them."""
+    return spark.createDataFrame([(d, s, n) for (d, s), n in counts.items()], "dataset string, stage string, rows bigint")
+
+
 def load_star(
     clean: dict[str, DataFrame],
     history: DataFrame,

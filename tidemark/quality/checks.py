@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import count_where, parse_date
+from tidemark.functions.columns import count_where, is_filled, parse_date, parse_number
 from tidemark.operators.lookup import missing_references
 from tidemark.operators.quantile import flag_outside_band
 from tidemark.quality.config import Checks
@@ -42,7 +42,7 @@ def _entry(check: str, column: str | None, status: Column, metric: Column, detai
 
 
 def _number(c: str) -> Column:
-    return F.col(f"`{c}`").try_cast("double")
+    return parse_number(F.col(f"`{c}`"))
 
 
 def _day(df: DataFrame, c: str) -> Column:
@@ -73,7 +73,7 @@ class _OneLook:
 
 def _completeness(look: _OneLook, checks: Checks) -> None:
     for c in look.df.columns:
-        filled = look.measure(F.count(F.col(f"`{c}`")))
+        filled = look.measure(count_where(is_filled(look.df, c)))
         share = F.round(filled / F.nullif(F.col("_rows"), F.lit(0)), 4)
         look.add("completeness", c, _fail_if(share < checks.completeness), share,
                  F.concat(filled, F.lit(" filled / "), F.col("_rows"), F.lit(" rows")))
@@ -161,7 +161,7 @@ def uniqueness(df: DataFrame, checks: Checks) -> DataFrame:
     repeated = F.col("total") - F.col("unique")
     return _rows_from(
         totals, "uniqueness", "+".join(checks.key), _fail_if(repeated > 0), repeated,
-        F.concat(F.col("unique"), F.lit(" unique / "), F.col("total"), F.lit(" total")),
+        F.concat(F.col("unique"), F.lit(" keys in "), F.col("total"), F.lit(" rows")),
     )
 
 
@@ -187,12 +187,12 @@ def referential_integrity(df: DataFrame, checks: Checks, references: dict[str, D
         if c not in df.columns or table not in references:
             one = df.sparkSession.range(1)
             out.append(_rows_from(one, "referential_integrity", name, F.lit(SKIPPED), F.lit(None),
-                                  F.lit("reference table not provided")))
+                                  F.lit("skipped, no such table was given")))
             continue
         orphans = missing_references(df, c, references[table], ref_column)
         n = orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
         out.append(_rows_from(n, "referential_integrity", name, _fail_if(F.col("n") > 0), F.col("n"),
-                              F.concat(F.col("n"), F.lit(" orphaned values"))))
+                              F.concat(F.col("n"), F.lit(" rows point to nothing"))))
     return out
 
 
@@ -214,7 +214,7 @@ def distribution(df: DataFrame, checks: Checks) -> list[DataFrame]:
         F.col("c").alias("column"),
         _fail_if(F.col("share") > checks.top_share).alias("status"),
         F.round("share", 4).alias("metric"),
-        F.concat(F.lit("top value = "), F.round(F.col("share") * 100, 1), F.lit("% of rows")).alias("details"),
+        F.concat(F.lit("the most common value holds "), F.round(F.col("share") * 100, 1), F.lit(" percent")).alias("details"),
     )
     return [result]
 
@@ -238,7 +238,7 @@ def outliers(df: DataFrame, checks: Checks) -> list[DataFrame]:
     counted = df.agg(*far)
     entries = [
         _entry("outliers", c, _fail_if(F.col(f"n{i}") > 0), F.col(f"n{i}"),
-               F.concat(F.col(f"n{i}"), F.lit(f" values beyond {checks.max_z:g} std dev")))
+               F.concat(F.col(f"n{i}"), F.lit(f" values lie more than {checks.max_z:g} deviations off")))
         for i, c in enumerate(present)
     ]
     return [counted.select(F.explode(F.array(*entries)).alias("e")).select("e.*")]

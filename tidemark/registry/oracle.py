@@ -145,6 +145,11 @@ dimension AS (
     CASE WHEN next_from IS NOT NULL THEN change_reason END AS change_reason
   FROM spans JOIN snapshot USING (employee_id))"""
 
+BROKEN = f"""{DIMENSION}, broken AS (
+  SELECT * FROM dimension UNION ALL
+  SELECT * REPLACE (employee_key + 1000000000 AS employee_key, CAST(valid_from + INTERVAL 10 DAY AS DATE) AS valid_from)
+  FROM dimension WHERE is_current AND employee_id % 3 = 0)"""
+
 APPROVED = """
 approved AS (
   SELECT t.*, o_custkey AS approved_by FROM transactions t LEFT JOIN orders ON project_id = o_orderkey)"""
@@ -445,6 +450,10 @@ _LOAD_ROWS = " UNION ALL ".join(
 
 ORACLE: dict[str, str] = {
     "csv_round_trip": "SELECT * FROM part",
+    "csv_text_round_trip": "SELECT * FROM documents",
+    "null_profile_nan": """SELECT 'l_orderkey' AS column_name, 0::BIGINT AS null_rows, COUNT(*) AS total_rows FROM lineitem
+      UNION ALL SELECT 'l_discount', COUNT(*) FILTER (l_orderkey % 97 = 0 OR l_discount IS NULL), COUNT(*) FROM lineitem
+      UNION ALL SELECT 'l_tax', COUNT(*) - COUNT(l_tax), COUNT(*) FROM lineitem""",
     "json_round_trip": "SELECT * FROM supplier",
     "jsonl_round_trip": f"WITH {EVENTS} SELECT event_id, event_type, project_id, user_id, "
     "event_time, severity, resolver AS resolved_by FROM ev",
@@ -522,6 +531,16 @@ ORACLE: dict[str, str] = {
     "scd2_gaps": f"""WITH {DIMENSION}
       SELECT employee_id, employee_key, valid_to, LEAD(valid_from) OVER (PARTITION BY employee_id ORDER BY valid_from) AS next_valid_from
       FROM dimension QUALIFY date_diff('day', valid_to, next_valid_from) <> 1""",
+    "scd2_multi_current_broken": f"""WITH {BROKEN}
+      SELECT employee_id, COUNT(*) AS current_count FROM broken WHERE is_current GROUP BY employee_id HAVING COUNT(*) > 1""",
+    "scd2_overlaps_broken": f"""WITH {BROKEN}
+      SELECT a.employee_id, a.employee_key AS version_a, b.employee_key AS version_b, a.valid_to AS a_to,
+        b.valid_from AS b_from, b.valid_to AS b_to
+      FROM broken a JOIN broken b USING (employee_id)
+      WHERE b.valid_from > a.valid_from AND b.valid_from <= a.valid_to""",
+    "scd2_gaps_broken": f"""WITH {BROKEN}
+      SELECT employee_id, employee_key, valid_to, LEAD(valid_from) OVER (PARTITION BY employee_id ORDER BY valid_from) AS next_valid_from
+      FROM broken QUALIFY date_diff('day', valid_to, next_valid_from) <> 1""",
     "order_overlaps": f"""WITH {RAW_PROJECTS},
       spans AS (SELECT project_manager_id, project_id, start_date, end_date FROM raw_projects WHERE end_date >= start_date)
       SELECT b.project_manager_id, MAX({{'e': a.end_date, 'i': a.project_id}}).i AS version_a, b.project_id AS version_b,
@@ -593,6 +612,9 @@ ORACLE: dict[str, str] = {
       SELECT project_id, project_name, department, region, status, status_category, priority,
         CAST(year(start_date) AS INTEGER) AS project_year, budget, actual_cost, budget_variance, is_over_budget, risk_level
       FROM projects""",
+    "validate_events_dirty": f"""WITH {EVENTS}
+      SELECT event_id, event_type, project_id, user_id, event_time, event_date, event_hour, event_month FROM ev
+      WHERE event_id % 89 <> 0""",
     "validate_events": f"""WITH {EVENTS}
       SELECT event_id, event_type, project_id, user_id, event_time, event_date, event_hour, event_month FROM ev""",
     "project_activity_summary": f"""WITH {EVENTS}
@@ -619,7 +641,7 @@ ORACLE: dict[str, str] = {
     "dq_uniqueness": " UNION ALL ".join(
         f"""SELECT '{t}' AS dataset, status, metric, details FROM (
           SELECT CASE WHEN t > u THEN 'FAIL' ELSE 'PASS' END AS status, CAST(t - u AS DOUBLE) AS metric,
-            u || ' unique / ' || t || ' total' AS details
+            u || ' keys in ' || t || ' rows' AS details
           FROM (SELECT CAST(SUM(n) AS BIGINT) AS t, COUNT(*) AS u FROM (SELECT COUNT(*) AS n FROM {t} GROUP BY {k})))"""
         for t, k in [("lineitem", "l_orderkey, l_linenumber"), ("customer", "c_custkey"), ("documents", "doc_id")]
     ),
@@ -630,9 +652,8 @@ ORACLE: dict[str, str] = {
       UNION ALL ({_count("start_date < end_date", "start_date >= end_date", "raw_projects")})
       UNION ALL ({_band("value", "event_type", "events")})""",
     "dq_foreign_keys": f"""
-      ({_orphans("l_orderkey -> finished_orders.o_orderkey", "l_orderkey", "lineitem",
-                 "(SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')", "o_orderkey")})
-      UNION ALL ({_orphans("l_partkey -> part.p_partkey", "l_partkey", "lineitem", "part", "p_partkey")})
+      ({_orphans("l_orderkey -> orders.o_orderkey", "l_orderkey", "lineitem", "orders", "o_orderkey")})
+      UNION ALL ({_orphans("l_partkey -> supplier.s_suppkey", "l_partkey", "lineitem", "supplier", "s_suppkey")})
       UNION ALL SELECT 'l_suppkey -> absent.s_suppkey', 'SKIPPED', NULL""",
     "dq_distribution": f"({_top('lang', 'documents')}) UNION ALL ({_top('source', 'documents')})",
     "dq_freshness": f"WITH {RAW_PROJECTS} {_age('start_date', 'raw_projects', 30)}",
@@ -685,3 +706,14 @@ ORACLE: dict[str, str] = {
     ) + " FROM documents GROUP BY source",
 }
 ORACLE["repeated_write"] = ORACLE["daily_event_volume"]
+ORACLE["value_quantiles_nan"] = f"""
+  SELECT g AS l_returnflag, ROUND(p05, 4) AS p05, ROUND(median, 4) AS median, ROUND(p95, 4) AS p95
+  FROM ({quantiles("(SELECT * FROM lineitem WHERE l_orderkey % 97 <> 0) AS kept", "l_returnflag", "l_extendedprice",
+                   {"p05": 0.05, "median": 0.5, "p95": 0.95})})"""
+# the same answers whichever way the operators take
+for _plain, _scaled in (
+    ("enrich_lineitems", "enrich_lineitems_shuffled"), ("value_quantiles", "value_quantiles_sliced"),
+    ("point_in_time_value", "point_in_time_value_merged"), ("fact_lineitem", "fact_lineitem_shuffled"),
+    ("escalation_log", "escalation_log_sliced"),
+):
+    ORACLE[_scaled] = ORACLE[_plain]

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import count_where, money_sum, row_count
+from tidemark.functions.columns import count_where, exact_sum, row_count
 from tidemark.operators import matching, scd2, star
-from tidemark.operators.lookup import lookup_join, point_in_time_join
+from tidemark.operators.lookup import BROADCAST_BYTES, lookup_join, point_in_time_join
 from tidemark.operators.quantile import flag_outside_band, group_quantiles
 from tidemark.plans import business, cleaning, dashboard, governance, views
 from tidemark.plans import events as ev
@@ -44,6 +44,24 @@ def csv_round_trip(spark, folder):
     return read_typed_csv(spark, path, part.schema)
 
 
+def csv_text_round_trip(spark, folder):
+    """Whole texts with quotes, commas, blanks and line breaks through CSV and back."""
+    docs = _table(spark, folder, "documents")
+    path = staging_path(spark, "documents-csv")
+    write_csv(docs, path)
+    return read_typed_csv(spark, path, docs.schema, multi_line=True)
+
+
+def _with_nan(df, column, key):
+    """The column as NaN in every 97th key."""
+    return df.withColumn(column, F.when(F.col(key) % 97 == 0, F.lit(float("nan"))).otherwise(F.col(column).cast("double")))
+
+
+def null_profile_nan(spark, folder):
+    lines = _table(spark, folder, "lineitem").select("l_orderkey", "l_discount", "l_tax")
+    return null_profile(_with_nan(lines, "l_discount", "l_orderkey"))
+
+
 def null_profile_customer(spark, folder):
     return null_profile(_table(spark, folder, "customer"))
 
@@ -82,7 +100,7 @@ def partitioned_events(spark, folder):
     dated = _table(spark, folder, "events").withColumn("event_date", F.to_date("ts"))
     write_table(dated, path, partition_by=["event_date"])
     return read_table(spark, path).groupBy("event_date", "event_type").agg(
-        row_count().alias("event_count"), money_sum(F.col("value")).alias("total_value")
+        row_count().alias("event_count"), exact_sum(F.col("value")).alias("total_value")
     )
 
 
@@ -140,9 +158,15 @@ def _approvers(spark, folder):
     )
 
 
-def enrich_lineitems(spark, folder):
+def enrich_lineitems(spark, folder, max_bytes=BROADCAST_BYTES):
     lines = views.raw_transactions(spark, folder)
-    return cleaning.enrich_transactions(lines, views.raw_projects(spark, folder), _approvers(spark, folder))
+    return cleaning.enrich_transactions(
+        lines, views.raw_projects(spark, folder), _approvers(spark, folder), max_bytes=max_bytes)
+
+
+def enrich_lineitems_shuffled(spark, folder):
+    """The same with both lookup sides too large to broadcast."""
+    return enrich_lineitems(spark, folder, max_bytes=0)
 
 
 def winsorise_band(spark, folder):
@@ -150,12 +174,26 @@ def winsorise_band(spark, folder):
     return flag_outside_band(events, "event_type", "value", "flagged")
 
 
-def value_quantiles(spark, folder):
+def value_quantiles(spark, folder, slices=None):
+    bands = {"p05": 0.05, "median": 0.5, "p95": 0.95}
+    lines = _table(spark, folder, "lineitem")
+    exact = group_quantiles(lines, ["l_returnflag"], "l_extendedprice", bands, slices=slices)
+    return exact.select("l_returnflag", *[F.round(c, 4).alias(c) for c in bands])
+
+
+def value_quantiles_nan(spark, folder):
+    """NaN is no value: quantiles are those of the other rows."""
     bands = {"p05": 0.05, "median": 0.5, "p95": 0.95}
-    exact = group_quantiles(_table(spark, folder, "lineitem"), ["l_returnflag"], "l_extendedprice", bands)
+    lines = _with_nan(_table(spark, folder, "lineitem"), "l_extendedprice", "l_orderkey")
+    exact = group_quantiles(lines, ["l_returnflag"], "l_extendedprice", bands)
     return exact.select("l_returnflag", *[F.round(c, 4).alias(c) for c in bands])
 
 
+def value_quantiles_sliced(spark, folder):
+    """The same with the groups split over slices."""
+    return value_quantiles(spark, folder, slices=6)
+
+
 def risk_value_counts(spark, folder):
     return cleaning.value_counts(views.projects(spark, folder), "risk_level")
 
@@ -176,7 +214,7 @@ def agg_conditional(spark, folder):
         row_count().alias("line_count"),
         count_where(flag == "R").alias("disputed"),
         count_where(flag == "N").alias("pending"),
-        money_sum(F.col("l_extendedprice")).alias("total_price"),
+        exact_sum(F.col("l_extendedprice")).alias("total_price"),
         F.min("l_shipdate").cast("date").alias("first_ship"),
         F.max("l_shipdate").cast("date").alias("last_ship"),
     )
@@ -232,6 +270,26 @@ def scd2_gaps(spark, folder):
     return scd2.version_gaps(_dimension(spark, folder)[0])
 
 
+def _broken_dimension(spark, folder):
+    """A dimension with a second current version, begun ten days later, for every third key."""
+    dimension = _dimension(spark, folder)[0]
+    second = dimension.filter(F.col("is_current") & (F.col("employee_id") % 3 == 0)).withColumns(
+        {"employee_key": F.col("employee_key") + 1_000_000_000, "valid_from": F.date_add("valid_from", 10)})
+    return dimension.unionByName(second)
+
+
+def scd2_multi_current_broken(spark, folder):
+    return scd2.several_current(_broken_dimension(spark, folder))
+
+
+def scd2_overlaps_broken(spark, folder):
+    return scd2.version_overlaps(_broken_dimension(spark, folder))
+
+
+def scd2_gaps_broken(spark, folder):
+    return scd2.version_gaps(_broken_dimension(spark, folder))
+
+
 def order_overlaps(spark, folder):
     """Orders of a customer that start before an earlier one has shipped."""
     spans = views.raw_projects(spark, folder).select("project_manager_id", "project_id", "start_date", "end_date")
@@ -257,18 +315,23 @@ def _approved_lines(spark, folder):
     )
 
 
-def point_in_time_value(spark, folder):
+def point_in_time_value_merged(spark, folder):
+    """The same with the versions too large to broadcast."""
+    return point_in_time_value(spark, folder, max_bytes=0)
+
+
+def point_in_time_value(spark, folder, max_bytes=BROADCAST_BYTES):
     """Lines and amount by whether the approver had a version at the time, and its state."""
     matched = point_in_time_join(
         _approved_lines(spark, folder), _dimension(spark, folder)[0],
         key="approved_by", date="transaction_date", order=views.LINE_ORDER,
         version_key="employee_id", valid_from="valid_from", valid_to="valid_to",
-        columns={"version_salary": "salary", "version_current": "is_current"},
+        columns={"version_salary": "salary", "version_current": "is_current"}, max_bytes=max_bytes,
     )
     return matched.groupBy("version_current").agg(
         row_count().alias("line_count"),
-        money_sum(F.col("amount_aed")).alias("total_amount"),
-        money_sum(F.col("version_salary")).alias("total_salary"),
+        exact_sum(F.col("amount_aed")).alias("total_amount"),
+        exact_sum(F.col("version_salary")).alias("total_salary"),
     )
 
 
@@ -305,12 +368,17 @@ def bridge_customer_order(spark, folder):
     return star.bridge_employee_project(dim_order(spark, folder), _dimension(spark, folder)[0])
 
 
-def fact_lineitem(spark, folder):
+def fact_lineitem_shuffled(spark, folder):
+    """The same with all dimensions too large to broadcast, numbered over slices."""
+    return fact_lineitem(spark, folder, max_bytes=0, slices=5)
+
+
+def fact_lineitem(spark, folder, max_bytes=BROADCAST_BYTES, slices=None):
     return star.fact_transactions(
         _approved_lines(spark, folder), dim_order(spark, folder), dim_vendor(spark, folder),
         _dimension(spark, folder)[0],
         order=[c for c in views.LINE_ORDER if c != "amount_aed"] + ["amount_aed"],
-        columns=["payment_status"],
+        columns=["payment_status"], max_bytes=max_bytes, slices=slices,
     ).drop("amount_aed")
 
 
@@ -389,6 +457,17 @@ def validate_events(spark, folder):
     )
 
 
+def validate_events_dirty(spark, folder):
+    """Events of which every 97th comes again an hour later and every 89th has no user."""
+    events = views.events(spark, folder)
+    events = events.withColumn("user_id", F.when(F.col("event_id") % 89 != 0, F.col("user_id")))
+    again = events.filter(F.col("event_id") % 97 == 0).withColumn("timestamp", F.col("timestamp") + F.expr("interval 1 hour"))
+    return ev.validate_events(events.unionByName(again)).select(
+        "event_id", "event_type", "project_id", "user_id", F.col("timestamp").alias("event_time"),
+        "event_date", "event_hour", "event_month",
+    )
+
+
 def _mart(name):
     def query(spark, folder):
         clean = ev.validate_events(views.events(spark, folder))
@@ -397,6 +476,11 @@ def _mart(name):
     return query
 
 
+def escalation_log_sliced(spark, folder):
+    """The escalation log with its groups split over slices."""
+    return ev.escalation_log(ev.validate_events(views.events(spark, folder)), slices=6)
+
+
 def escalation_log_by_user(spark, folder):
     return ev.escalation_log(ev.validate_events(views.events(spark, folder)), group="user_id")
 
@@ -461,14 +545,15 @@ def dq_foreign_keys(spark, folder):
     rule = Checks(
         key=("l_orderkey",),
         references={
-            "l_orderkey": ("finished_orders", "o_orderkey"),
-            "l_partkey": ("part", "p_partkey"),
+            "l_orderkey": ("orders", "o_orderkey"),
+            "l_partkey": ("supplier", "s_suppkey"),
             "l_suppkey": ("absent", "s_suppkey"),
         },
     )
     references = {
-        "finished_orders": _table(spark, folder, "orders").filter(F.col("o_orderstatus") == "F"),
-        "part": _table(spark, folder, "part"),
+        "orders": _table(spark, folder, "orders"),
+        # most part keys are no supplier keys
+        "supplier": _table(spark, folder, "supplier"),
     }
     found = dq.referential_integrity(_table(spark, folder, "lineitem"), rule, references)
     return _only(reduce(DataFrame.unionByName, found), "referential_integrity")
@@ -645,7 +730,7 @@ def persona_view(spark, folder):
 def persona_view_aggregated(spark, folder):
     return governance.persona_view(
         _table(spark, folder, "customer"), "employees", "Executive", group=["c_mktsegment"],
-        measures={"headcount": row_count(), "total_balance": money_sum(F.col("c_acctbal"))},
+        measures={"headcount": row_count(), "total_balance": exact_sum(F.col("c_acctbal"))},
     )
 
 
@@ -668,17 +753,17 @@ def free_text_audit(spark, folder):
 QUERIES = {
     fn.__name__: fn
     for fn in [
-        csv_round_trip, json_round_trip, jsonl_round_trip, partitioned_events, repeated_write, load_row_counts,
+        csv_round_trip, csv_text_round_trip, null_profile_nan, json_round_trip, jsonl_round_trip, partitioned_events, repeated_write, load_row_counts,
         transform_orders, clean_customers, employee_quality_summary, status_conflicts, enrich_lineitems,
-        winsorise_band, value_quantiles, risk_value_counts, dedupe_first,
+        enrich_lineitems_shuffled, winsorise_band, value_quantiles, value_quantiles_sliced, value_quantiles_nan, risk_value_counts, dedupe_first,
         agg_conditional, agg_distinct, agg_share,
         history_dedup, dim_customer_scd2, scd2_multi_current, scd2_version_count, scd2_overlaps,
-        scd2_row_equation, scd2_gaps, order_overlaps, largest_increase, manager_workload, point_in_time_value,
-        dim_date, dim_order, dim_vendor, bridge_customer_order, fact_lineitem,
+        scd2_row_equation, scd2_gaps, scd2_multi_current_broken, scd2_overlaps_broken, scd2_gaps_broken, order_overlaps, largest_increase, manager_workload, point_in_time_value, point_in_time_value_merged,
+        dim_date, dim_order, dim_vendor, bridge_customer_order, fact_lineitem, fact_lineitem_shuffled,
         department_budget, department_budget_all, vendor_concentration, open_issues, monthly_spend,
         monthly_spend_trailing, pending_above_average, pending_above_average_sql, issue_rate,
         kpi_cards, top10_variance, top5_plus_other, all_orders_slicer,
-        validate_events, escalation_log_by_user,
+        validate_events, validate_events_dirty, escalation_log_sliced, escalation_log_by_user,
         dq_completeness, dq_uniqueness, dq_numeric_range, dq_date, dq_consistency, dq_foreign_keys,
         dq_distribution, dq_freshness, dq_outliers, dq_results, dq_suite, dq_gate,
         dq_table_constraints, dq_star_constraints,

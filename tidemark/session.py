@@ -25,6 +25,9 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.ui.enabled": "false",
+        # state of streams on disk instead of the JVM heap: it grows with the keys inside the watermark
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
@@ -39,9 +42,11 @@ def shared_folder(spark: SparkSession) -> str:
     cluster a machine-local folder would be lost with the machine, so we refuse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if configured:
+        if configured.startswith("file:") and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names a folder of one machine; set one that all executors share")
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = context.applicationId

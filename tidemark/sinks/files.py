@@ -6,10 +6,18 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+# How text is quoted: doubled quotes, blanks kept. Readers and writers share it.
+CSV_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
-    """Header CSV. ``single_file`` is for small aggregates such as dashboard extracts."""
+    """Header CSV that keeps quotes, commas, blanks and line breaks of text.
+
+    Text with line breaks reads back with ``multi_line``. ``single_file`` is for
+    small aggregates such as dashboard extracts.
+    """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).options(**CSV_DIALECT).csv(path)
 
 
 def write_table(

@@ -4,25 +4,30 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import count_where, null_if_token, parse_date
+from tidemark.functions.columns import count_where, is_filled, null_if_token, parse_date
+from tidemark.sinks.files import CSV_DIALECT
 from tidemark.sources import schemas
 
 CORRUPT = "_corrupt_record"
 
 
-def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, *, keep_corrupt: bool = False) -> DataFrame:
+def read_typed_csv(
+    spark: SparkSession, path: str, schema: T.StructType, *, keep_corrupt: bool = False, multi_line: bool = False
+) -> DataFrame:
     """Header CSV with declared types; missing-value tokens and unreadable values become null.
 
-    ``keep_corrupt`` adds what did not fit: the raw line where the number of fields is
-    wrong, else the names of the columns whose text is not of the declared type.
+    A row with the wrong number of fields stops the read. ``keep_corrupt`` keeps it and adds
+    what did not fit: the raw line, or for rows of the right shape the names of the columns
+    whose text is not of the declared type. ``multi_line`` allows line breaks inside quotes;
+    each file is then read by one task.
     """
     text = [T.StructField(f.name, T.StringType()) for f in schema.fields]
     line = [T.StructField(CORRUPT, T.StringType())] if keep_corrupt else []
-    reader = spark.read.schema(T.StructType([*text, *line])).option("header", True).option("mode", "PERMISSIVE")
+    reader = _csv_reader(spark, T.StructType([*text, *line]), multi_line, keep_corrupt)
     raw = reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
     present = {f.name: null_if_token(F.col(f"`{f.name}`")) for f in schema.fields}
     typed = {f.name: _typed(present[f.name], f.dataType) for f in schema.fields}
@@ -33,6 +38,11 @@ def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, *, keep
     return raw.select(*columns)
 
 
+def _csv_reader(spark: SparkSession, schema: T.StructType, multi_line: bool, permissive: bool) -> DataFrameReader:
+    reader = spark.read.schema(schema).option("header", True).options(**CSV_DIALECT).option("multiLine", multi_line)
+    return reader.option("mode", "PERMISSIVE" if permissive else "FAILFAST")
+
+
 def _typed(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return text
@@ -41,18 +51,20 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     return F.trim(text).try_cast(kind)
 
 
-def read_dirty_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.EMPLOYEES) -> DataFrame:
-    """Header CSV kept as text, missing-value tokens as null."""
+def read_dirty_csv(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.EMPLOYEES, *, multi_line: bool = False
+) -> DataFrame:
+    """Header CSV kept as text, missing-value tokens as null; a row of the wrong shape stops the read."""
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(text).option("header", True).csv(path)
+    raw = _csv_reader(spark, text, multi_line, False).csv(path)
     return raw.select(*[null_if_token(F.col(c)).alias(c) for c in raw.columns])
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """Null and total rows per column, from one aggregate over the table."""
+    """Null (or NaN) and total rows per column, from one aggregate over the table."""
     counted = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[count_where(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)],
+        *[count_where(~is_filled(df, c)).alias(f"n{i}") for i, c in enumerate(df.columns)],
     )
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_rows"))

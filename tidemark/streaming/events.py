@@ -19,6 +19,12 @@ from tidemark.session import staging_path
 
 BATCH = "_batch"
 
+# Files of a batch unless stated; a long backlog is worked off in batches of this size.
+FILES_PER_BATCH = 1000
+
+# Seconds between two looks at a running query's progress, far fewer than its last reports cover.
+LOOK_EVERY = 0.5
+
 
 @dataclass(frozen=True)
 class Landing:
@@ -40,13 +46,11 @@ def file_stream(
     *,
     pattern: str,
     file_format: str = "json",
-    files_per_batch: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
-    """A stream over the files of a folder, oldest first."""
+    """A stream over the files of a folder, oldest first, in batches of so many files."""
     reader = spark.readStream.format(file_format).schema(schema).option("pathGlobFilter", pattern)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(folder)
+    return reader.option("maxFilesPerTrigger", files_per_batch).load(folder)
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, schema: T.StructType) -> DataFrame:
@@ -81,8 +85,20 @@ def as_records(events: DataFrame, *, key: str = "event_type", stamp: bool = True
 
 
 def _finish(writer) -> StreamingQuery:
+    """Run to the end of the input, keeping the progress of every batch.
+
+    The query itself remembers its last 100 reports only.
+    """
     query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
+    seen: dict[int, dict] = {}
+    over = False
+    while not over:
+        over = query.awaitTermination(LOOK_EVERY)
+        for p in query.recentProgress:
+            known = seen.get(p["batchId"])
+            if known is None or p["numInputRows"] >= known["numInputRows"]:
+                seen[p["batchId"]] = p
+    query.batches = list(seen.values())
     return query
 
 
@@ -141,16 +157,13 @@ def route(
 ) -> StreamingQuery:
     """Write all events to one sink and those meeting ``condition`` to a second.
 
-    Each batch is read once and kept while both writes run.
+    Each batch is read once; the second write takes its rows from what the first has written.
     """
 
     def both(df: DataFrame, batch: int) -> None:
-        held = df.persist()
-        try:
-            _batch_folder(held, everything.data, batch)
-            _batch_folder(held.filter(condition), matching, batch)
-        finally:
-            held.unpersist()
+        _batch_folder(df, everything.data, batch)
+        written = df.sparkSession.read.schema(df.schema).parquet(f"{everything.data}/{BATCH}={batch}")
+        _batch_folder(written.filter(condition), matching, batch)
 
     return _foreach(events, both, everything.checkpoint)
 
@@ -184,11 +197,15 @@ def report(counts: DataFrame, forwarded: DataFrame, query: StreamingQuery) -> di
 
 
 def rate(query: StreamingQuery) -> dict[str, float]:
-    """Rows, seconds and rows per second of a finished query, idle time left out."""
-    progress = query.recentProgress
-    rows = sum(p["numInputRows"] for p in progress)
-    seconds = sum(p["durationMs"].get("triggerExecution", 0) for p in progress) / 1000
-    return {"rows": rows, "seconds": seconds, "rows_per_second": rows / seconds if seconds else 0.0}
+    """Rows, seconds and rows per second over all batches of a finished query, and the rows that came too late.
+
+    Late rows are those that the watermark dropped before a stateful step; idle time is left out.
+    """
+    batches = query.batches
+    rows = sum(p["numInputRows"] for p in batches)
+    seconds = sum(p["durationMs"].get("triggerExecution", 0) for p in batches) / 1000
+    late = sum(s.get("numRowsDroppedByWatermark", 0) for p in batches for s in p["stateOperators"])
+    return {"rows": rows, "seconds": seconds, "rows_per_second": rows / seconds if seconds else 0.0, "late_rows": late}
 
 
 def dedupe(events: DataFrame, *, keys: list[str], time: str, late_by: str, salts: int = 0) -> DataFrame:
