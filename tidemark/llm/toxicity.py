@@ -6,8 +6,7 @@
   missing lower the value a little instead of to zero. The square of a kernel
   is a kernel, so squares are used; values below ``FLOOR`` are zero by definition.
 * A sentence is compared with a landmark by its most similar word.
-* Landmarks are the word parts that tell the labelled classes apart most (and
-  frequent harmless words); the inverse square root of their kernel matrix
+* Landmarks are the word parts that tell the labelled classes apart most; the inverse square root of their kernel matrix
   gives the Nystroem features, on which a squared-hinge SVM is trained.
 * Labels are per document, so training alternates: take the worst sentence of
   each document under the present machine, train on those sentences, repeat.
@@ -42,7 +41,6 @@ from tidemark.llm.common import class_sizes, fresh_names, logistic_1d, training_
 
 PER_CLASS = 2500  # labelled texts of each class to learn from
 LANDMARKS = 128
-HARMLESS = 32  # of them frequent words of harmless texts
 DECAY = 0.6  # weight of each skipped letter
 SPAN = 5
 FLOOR = 0.5  # kernel values below are zero
@@ -220,7 +218,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(texts) + self.shift, -60, 60)))
 
 
-def choose_landmarks(texts: list[str], toxic: np.ndarray, count: int, harmless: int) -> list[str]:
+def choose_landmarks(texts: list[str], toxic: np.ndarray, count: int) -> list[str]:
     """Word parts of 4 to 8 letters (and whole short words) by the log-likelihood ratio of their document counts."""
     words = [{w for w in map(_plain, set(t.split())) if len(w) > 3} for t in texts]
     in_toxic, in_other = Counter(), Counter()
@@ -262,7 +260,7 @@ def choose_landmarks(texts: list[str], toxic: np.ndarray, count: int, harmless:
     queue = [(worth(p), p) for p in candidates]
     heapq.heapify(queue)
     chosen: list[str] = []
-    while queue and len(chosen) < count - harmless:
+    while queue and len(chosen) < count:
         before, p = heapq.heappop(queue)
         now = worth(p)
         if ratio(p) < LEAST_RATIO:
@@ -272,8 +270,7 @@ def choose_landmarks(texts: list[str], toxic: np.ndarray, count: int, harmless:
             continue
         chosen.append(p)
         covered.update(holders[p])
-    plain = [w for w, _ in sorted(in_other.items(), key=lambda x: (-x[1], x[0])) if 5 <= len(w) <= WINDOW and not in_toxic[w] > 2 * in_other[w]]
-    return chosen + [w for w in plain if w not in chosen][:harmless]
+    return chosen
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, float]:
@@ -298,7 +295,7 @@ def train(texts: list[str], toxic: np.ndarray, sizes: tuple[int, int] | None = N
     if not toxic.any() or toxic.all():
         share = float(toxic.any())
         return ToxicityModel(KernelMap(["none"]), np.zeros(1), 0.0, 0.0, 40.0 * (2 * share - 1))
-    kernel = KernelMap(choose_landmarks(texts, toxic, LANDMARKS, HARMLESS) or ["none"])
+    kernel = KernelMap(choose_landmarks(texts, toxic, LANDMARKS) or ["none"])
     m = len(kernel.landmarks)
     whole = np.zeros((m, m))
     at, value = kernel.similar(kernel.landmarks)
@@ -306,7 +303,7 @@ def train(texts: list[str], toxic: np.ndarray, sizes: tuple[int, int] | None = N
     whole = (whole + whole.T) / 2
     spread, axes = np.linalg.eigh(whole)
     root = axes @ np.diag(1 / np.sqrt(np.maximum(spread, 1e-2))) @ axes.T
-    model = ToxicityModel(kernel, np.r_[np.ones(max(1, m - HARMLESS)), np.zeros(m - max(1, m - HARMLESS))], 0.0, 1.0, 0.0)
+    model = ToxicityModel(kernel, np.ones(m), 0.0, 1.0, 0.0)
     bags = []
     for k in range(0, len(texts), 500):
         bags += model.sentences(texts[k : k + 500])
