@@ -113,7 +113,7 @@ def train(texts: list[str], good: np.ndarray, sizes: tuple[int, int] | None = No
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> QualityModel:
     """Train on the bounded labelled sample."""
-    rows = training_rows(docs, labels, label, per_class).collect()
+    rows = sorted(training_rows(docs, labels, label, per_class).collect())  # in one order, so that training repeats
     y = np.array([r["y"] for r in rows], float)
     return train([r["t"] for r in rows], y > 0, class_sizes(labels, label))
 

@@ -9,7 +9,8 @@
 * Landmarks are the word parts that tell the labelled classes apart most; the inverse square root of their kernel matrix
   gives the Nystroem features, on which a squared-hinge SVM is trained.
 * Labels are per document, so training alternates: take the worst sentence of
-  each document under the present machine, train on those sentences, repeat.
+  each document under the present machine, train on those, repeat. Sentences of
+  toxic documents with a word that harmless ones hardly hold always count.
 * A document scores as its worst sentence; a logistic fit, weighted back to the
   true share of the classes, turns margins into probabilities.
 
@@ -46,6 +47,7 @@ SPAN = 5
 FLOOR = 0.5  # kernel values below are zero
 WINDOW = 12  # longer words are compared window by window
 LEAST_RATIO = 8.0  # log-likelihood ratio that a landmark needs
+SURE = 0.6  # squared kernel value from which a sentence holds a landmark
 BITS = 20
 REMEMBERED = 400_000  # words a worker keeps; it starts anew beyond
 REJECTED = 0.5  # score from which a document counts as toxic
@@ -225,7 +227,7 @@ def choose_landmarks(texts: list[str], toxic: np.ndarray, count: int) -> list[st
     for found, y in zip(words, toxic, strict=True):
         (in_toxic if y else in_other).update(found)
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    suspects = [w for w, n in in_toxic.items() if n >= 2 and n / n1 > 3 * in_other[w] / n0]
+    suspects = [w for w, n in sorted(in_toxic.items()) if n >= 2 and n / n1 > 3 * in_other[w] / n0]
 
     def parts(word: str) -> set[str]:
         if len(word) <= 4:
@@ -234,7 +236,7 @@ def choose_landmarks(texts: list[str], toxic: np.ndarray, count: int) -> list[st
 
     weight = Counter()
     for w in suspects:
-        for p in parts(w):
+        for p in sorted(parts(w)):
             weight[p] += in_toxic[w]
     candidates = {p for p, _ in weight.most_common(40 * count)}
     holders: dict[str, list[str]] = {p: [] for p in candidates}
@@ -307,9 +309,6 @@ def train(texts: list[str], toxic: np.ndarray, sizes: tuple[int, int] | None = N
     bags = []
     for k in range(0, len(texts), 500):
         bags += model.sentences(texts[k : k + 500])
-    y = np.where(toxic, 1.0, -1.0)
-    balance = np.where(toxic, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean()))
-
     # All sentences in one matrix, behind one empty sentence of every text.
     owner = np.r_[np.arange(len(texts)), np.repeat(np.arange(len(texts)), [len(found) for found in bags])]
     every = np.concatenate([np.zeros((len(texts), m), np.float32), *[np.stack(found) for found in bags if found]])
@@ -324,10 +323,16 @@ def train(texts: list[str], toxic: np.ndarray, sizes: tuple[int, int] | None = N
         at = np.flatnonzero(value == top[owner])
         return every[at[np.searchsorted(owner[at], np.arange(len(texts)))]]
 
+    # Landmarks that hardly any harmless document comes near: all their sentences count, not only the worst.
+    held = np.maximum.reduceat(every, starts) >= SURE
+    a, b = held[toxic].sum(axis=0), held[~toxic].sum(axis=0)
+    pure = (a >= max(3, 0.01 * toxic.sum())) & (b * toxic.sum() <= 0.05 * a * (~toxic).sum())
+    sure = toxic[owner] & (every[:, pure] >= SURE).any(axis=1)
+    y = np.r_[np.where(toxic, 1.0, -1.0), np.ones(sure.sum())]
+    weight = np.where(y > 0, 0.5 / (y > 0).mean(), 0.5 / (y < 0).mean())
     for _ in range(5):
-        picked = worst(model.weights)
-        w, bias = _svm(picked @ root, y, balance)
-        model.weights, model.bias = root @ w, bias
+        w, model.bias = _svm(np.r_[worst(model.weights), every[sure]] @ root, y, weight)
+        model.weights = root @ w
     margin = worst(model.weights) @ model.weights + model.bias
     prior = np.where(toxic, n1 / max(1, toxic.sum()), n0 / max(1, (~toxic).sum()))
     model.slope, model.shift = logistic_1d(margin, toxic.astype(float), prior)
@@ -336,7 +341,7 @@ def train(texts: list[str], toxic: np.ndarray, sizes: tuple[int, int] | None = N
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> ToxicityModel:
     """Train on the bounded labelled sample."""
-    rows = training_rows(docs, labels, label, per_class).collect()
+    rows = sorted(training_rows(docs, labels, label, per_class).collect())  # in one order, so that training repeats
     texts, y = [r["t"] for r in rows], np.array([r["y"] for r in rows], float)
     return train(texts, y > 0, class_sizes(labels, label))
 
