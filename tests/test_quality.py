@@ -144,7 +144,7 @@ def test_failures_are_logged(spark, caplog):
     found = dq.run_checks(df, "d", Checks(key=("id",)), as_of=AS_OF)
     with caplog.at_level("WARNING"):
         assert log_failures(found) == 1
-    assert "d uniqueness id (1 unique / 2 total)" in caplog.text
+    assert "d uniqueness id (1 keys in 2 rows)" in caplog.text
 
 
 def test_reports(spark):
