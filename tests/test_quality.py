@@ -152,7 +152,7 @@ def test_reports(spark):
     found = dq.run_checks(df, "d", Checks(key=("id",)), as_of=AS_OF)
     text = quality_report(found, "d")
     assert "Checks run: 9, passed: 7, failed: 2" in text
-    assert "| uniqueness | **FAIL** | id: 1 unique / 2 total |" in text
+    assert "| uniqueness | **FAIL** | id: 1 keys in 2 rows |" in text
     assert "| freshness | PASS | not configured |" in text
     counted = stage_rows({("d", "raw"): df, ("d", "clean"): df.dropna()})
     report = run_report(counted, ["nulls dropped"], 1.5, 30)

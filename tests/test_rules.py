@@ -14,6 +14,7 @@ from tidemark.plans.dashboard import top_vendors_and_rest
 from tidemark.quality.checks import one_look, outliers
 from tidemark.quality.config import Checks
 from tidemark.quality.gate import key_completeness
+from tidemark.quality.report import check_dataset
 from tidemark.session import shared_folder, staging_path
 from tidemark.sinks.files import write_csv
 from tidemark.sources.files import null_profile, read_typed_csv
@@ -141,3 +142,17 @@ def test_a_local_folder_is_refused_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError):
         shared_folder(Session())
     assert staging_path(spark, "x").startswith(shared_folder(spark))
+
+
+def test_checks_by_dataset_name(spark):
+    frame = spark.createDataFrame([(1,), (1,)], "id int")
+    found = check_dataset(frame, "d", as_of=day(1), datasets={"d": Checks(key=("id",))})
+    assert {r["check"]: r["status"] for r in found.collect()}["uniqueness"] == "FAIL"
+    with pytest.raises(KeyError):
+        check_dataset(frame, "unknown", as_of=day(1))
+
+
+def test_critical_records_are_keyed_by_event(spark):
+    events = spark.createDataFrame([(7, "escalation_raised", "Critical"), (8, "login", None)], "event_id long, event_type string, severity string")
+    found = st.critical_records(events, st.is_critical(F.col("severity"))).collect()
+    assert [(r["key"], '"event_id":7' in r["value"]) for r in found] == [("7", True)]

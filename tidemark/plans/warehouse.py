@@ -12,13 +12,19 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import scd2, star
 from tidemark.operators.scd2 import HistorySpec
-from tidemark.plans.cleaning import clean_employees, employee_quality_summary, enrich_transactions, transform_projects
+from tidemark.plans.cleaning import (
+    clean_employees,
+    employee_quality_summary,
+    enrich_transactions,
+    transform_projects,
+    value_counts,
+)
 from tidemark.quality import checks as dq
 from tidemark.quality.config import DATASETS
 from tidemark.quality.gate import gate
 from tidemark.quality.report import log_failures, quality_report, run_report, stage_rows
 from tidemark.session import stage
-from tidemark.sinks.files import write_csv, write_metrics, write_table
+from tidemark.sinks.files import write_csv, write_metrics, write_table, write_text
 from tidemark.sources.files import calendar, read_table
 
 # Days of the calendar and the time a run may take, in seconds.
@@ -92,8 +98,14 @@ def run_load(
         f"transactions without amount, counted as 0 in sums: {missing['amount']}",
         f"transactions without approver, not approved: {missing['approver']}",
     ]
+    risk = value_counts(written["projects"], "risk_level").collect()
+    decisions += [f"projects at risk level {r['value']}: {r['rows']}" for r in sorted(risk, key=lambda r: str(r["value"]))]
     elapsed = time.perf_counter() - started
-    return RunResult(written, found, reports, run_report(rows, decisions, elapsed, TIME_BUDGET))
+    report = run_report(rows, decisions, elapsed, TIME_BUDGET)
+    write_text(spark, f"{out}/run_report", report)
+    for name, text in reports.items():
+        write_text(spark, f"{out}/quality_{name}", text)
+    return RunResult(written, found, reports, report)
 
 
 def _counted(spark: SparkSession, counts: dict[tuple[str, str], int]) -> DataFrame:

@@ -3,17 +3,34 @@
 from __future__ import annotations
 
 import logging
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.quality.checks import ALL_CHECKS, FAIL
-
+from tidemark.quality.checks import ALL_CHECKS, FAIL, run_checks
+from tidemark.quality.config import DATASETS, Checks, checks_for
+from tidemark.session import stage
 
 logger = logging.getLogger(__name__)
 
 
+def check_dataset(
+    df: DataFrame,
+    dataset: str,
+    *,
+    references: dict[str, DataFrame] | None = None,
+    as_of: date,
+    datasets: dict[str, Checks] = DATASETS,
+) -> DataFrame:
+    """All checks configured for ``dataset``, landed, failures logged; an unknown name raises."""
+    checks = checks_for(dataset, datasets)
+    found = stage(run_checks(df, dataset, checks, references=references, as_of=as_of), "checks")
+    log_failures(found)
+    return found
+
+
 def log_failures(results: DataFrame) -> int:
     """One warning per failed row of the results; returns how many there were."""
     failed = results.filter(F.col("status") == FAIL).collect()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -55,6 +55,11 @@ def write_clustered(df: DataFrame, path: str, by: list[str]) -> None:
     df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A report as one text file in a folder."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_metrics(df: DataFrame, path: str) -> None:
     """A small metrics frame as JSON lines."""
     df.coalesce(1).write.mode("overwrite").json(path)

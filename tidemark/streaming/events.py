@@ -81,7 +81,12 @@ def as_records(events: DataFrame, *, key: str = "event_type", stamp: bool = True
     body = [F.col(c) for c in events.columns]
     if stamp:
         body.append(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("produced_at"))
-    return events.select(F.col(key).alias("key"), F.to_json(F.struct(*body)).alias("value"))
+    return events.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*body)).alias("value"))
+
+
+def critical_records(events: DataFrame, condition: Column) -> DataFrame:
+    """The events meeting ``condition`` as records keyed by event id, for a topic of their own (:func:`to_topic`)."""
+    return as_records(events.filter(condition), key="event_id", stamp=False)
 
 
 def _finish(writer) -> StreamingQuery:
