@@ -13,9 +13,10 @@
 
 Groups can be of any size, so no pairs of a group are listed. Each bucket
 compares its members with one leader. Members that the leader is not near meet
-again in finer buckets, where a second sketch agrees too (and a third), with
-other leaders, members that were linked included; what is left then compares
-leader by leader until nothing is left. Exact copies are one member.
+again in finer buckets, where a following sketch agrees too (and a third) and
+the lengths allow the similarity, with other leaders, members that were linked
+included; what is left then compares with ``LEADERS`` at a time until nothing
+is left. Exact copies are one member.
 
 Words are compared by 32 bits of their hash. As with every MinHash, two near
 documents can differ in all sketches; for a pair that shares 80 % of its
@@ -28,13 +29,14 @@ ids form classes of their own text; of a class the least id stays.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh_names, stage
@@ -44,7 +46,9 @@ WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 12
 KEPT = 2
-LEVELS = 3  # sketches that a bucket's members may have to share before leaders take turns
+LEVELS = 3  # sketches that a bucket's members may have to share before more leaders are asked at once
+NEXT = 3  # sketches that a bucket is refined by: the following ones
+LEADERS = 8  # leaders of a bucket in a turn, once sketches no longer refine it
 REMEMBERED = 800_000
 BATCH_BYTES = 4 << 20
 MARKS = re.compile(r"[\W_]+")
@@ -194,12 +198,13 @@ def _parts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch,
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch, texts in _parts(whole, 2):
+        for batch, texts in _parts(whole, 0):
             codes = word_codes(texts)
             keys = order_sketches(codes)
             some = [len(c) > 0 for c in codes]
             lists = pa.array([k.tolist() if s else None for k, s in zip(keys, some, strict=True)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["member", "digest", "keys"])
+            sizes = pa.array([len(c) for c in codes], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(1), lists, sizes], ["digest", "keys", "words"])
 
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,12 +237,22 @@ def _verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFram
     return both.mapInArrow(_verifier(similarity), "leader string, member string, linked boolean")
 
 
+# What a bucket's rows carry besides its key.
+CARRIED = ["member", "keys", "band", "place", "open"]
+
+
 def _led(rows: DataFrame, turn: int) -> DataFrame:
-    """Rows (key, member, open) with their bucket's leader. The first leaders are the least members, so buckets agree."""
-    order = F.struct(F.lit(0).alias("h"), "member") if turn == 0 else F.struct(F.xxhash64("member", "key").alias("h"), "member")
-    leaders = rows.groupBy("key").agg(F.min(order).alias("l"), F.count(F.lit(1)).alias("n"), F.max("open").alias("o"))
-    leaders = leaders.filter("n > 1 AND o").select("key", F.col("l.member").alias("leader"), "n")
-    return rows.join(leaders, "key")
+    """Rows with the leader or leaders of their bucket. The first leaders are the least members, so buckets agree."""
+    order = F.lit(0).cast("long") if turn == 0 else F.xxhash64("member", "key")
+    buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("o")).filter("n > 1 AND o").select("key", "n")
+    if turn < LEVELS:
+        first = F.min(F.struct(order.alias("h"), "member"))
+        leaders = rows.groupBy("key").agg(first.alias("l")).select("key", F.col("l.member").alias("leader"))
+    else:  # limited per task before the shuffle
+        nth = F.row_number().over(Window.partitionBy("key").orderBy(order, "member"))
+        leaders = rows.select("key", F.col("member"), nth.alias("nth")).filter(F.col("nth") <= LEADERS).select(
+            "key", F.col("member").alias("leader"))
+    return rows.join(leaders.join(buckets, "key"), "key")
 
 
 def near_links(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame]:
@@ -247,13 +262,16 @@ def near_links(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
     members = stage(plain.select("id", "digest"), "near-members")
     # One text of each digest goes on. Sketching a copy is cheaper than moving its text to find out that it is one.
     sketches = stage(
-        plain.select(F.lit("").alias("member"), "digest", "t").mapInArrow(_sketched, "member string, digest string, keys array<bigint>")
-        .filter("keys IS NOT NULL").groupBy("digest").agg(F.first("keys").alias("keys")),
+        plain.select("t", "digest").mapInArrow(_sketched, "digest string, keys array<bigint>, words int")
+        .filter("words > 0").groupBy("digest").agg(F.first("keys").alias("keys"), F.first("words").alias("words")),
         "near-sketches",
     )
-    single = sketches.select(F.col("digest").alias("member"), "keys", F.explode("keys").alias("key"), F.lit(True).alias("open"))
+    # A pair that is near lies in one band of lengths or in neighbouring ones; each member is in its own and the next.
+    band = F.floor(F.log(F.col("words").cast("double")) / -math.log(similarity)).cast("int")
+    single = sketches.select(
+        F.col("digest").alias("member"), "keys", band.alias("band"), F.posexplode("keys").alias("place", "key"), F.lit(True).alias("open"))
     buckets = single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rows = stage(single.join(buckets.select("key"), "key").select("key", "member", "keys", "open"), "near-buckets")
+    rows = stage(single.join(buckets.select("key"), "key").select("key", *CARRIED), "near-buckets")
     wanted = rows.select(F.col("member").alias("digest")).distinct()
     words = stage(
         plain.join(wanted, "digest", "left_semi").select(F.col("digest").alias("member"), "t")
@@ -270,22 +288,26 @@ def near_links(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
             pairs = pairs.join(known, ["leader", "member"], "left_anti")
         found = stage(_verified(pairs, words, similarity), "near-verified")
         links.append(found.filter("linked").select("leader", "member"))
-        seen = found if known is None else known.unionByName(found)
-        known = stage(seen, "near-known") if turn else seen
-        # Members still open: not near their leader, in buckets of more than two.
-        judged = led.join(known, ["leader", "member"], "left").withColumn(
-            "open", F.col("open") & (F.col("member") != F.col("leader")) & ~F.coalesce(F.col("linked"), F.lit(False)) & (F.col("n") > 2))
-        judged = stage(judged.select("key", "leader", "member", "keys", "open"), "near-judged")
-        rest = judged.filter("open").groupBy("key").agg(F.count(F.lit(1)).alias("left_open"))
-        if rest.isEmpty():
+        known = found if known is None else stage(known.unionByName(found), "near-known")
+        # Members still open: near to no leader and no leader themselves, where the bucket holds others.
+        met = led.join(known, ["leader", "member"], "left").groupBy("key", "member").agg(
+            F.max(F.coalesce("linked", F.lit(False)) | (F.col("member") == F.col("leader"))).alias("settled"),
+            *[F.first(c).alias(c) for c in ("keys", "band", "place", "open")], F.count(F.lit(1)).alias("asked"), F.first("n").alias("n"))
+        judged = stage(
+            met.withColumn("open", F.col("open") & ~F.col("settled") & (F.col("n") > F.col("asked") + 1)).select("key", *CARRIED),
+            "near-judged")
+        if judged.filter("open").isEmpty():
             break
         turn += 1
         if turn < LEVELS:
-            finer = judged.join(rest.select("key"), "key").select(
-                F.col("key").alias("old"), "member", "keys", "open", F.explode("keys").alias("other"))
-            rows = finer.filter("old <> other").select(F.xxhash64("old", "other").alias("key"), "member", "keys", "open")
-        else:  # leaders take turns: the last one leaves its bucket
-            rows = judged.filter("open").select("key", "member", "keys", "open")
+            unsettled = judged.filter("open").groupBy("key").agg(F.count(F.lit(1)).alias("left_open")).select("key")
+            step = judged.join(unsettled, "key").withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(NEXT))))
+            step = step.withColumn("place", (F.col("place") + F.col("step")) % SKETCHES)
+            other = F.element_at("keys", F.col("place") + 1)
+            finer = step.withColumn("length", F.explode(F.array("band", F.col("band") + 1)))
+            rows = finer.withColumn("key", F.xxhash64("key", "place", other, "length")).select("key", *CARRIED)
+        else:  # what had its turn leaves the bucket
+            rows = judged.filter("open")
         rows = stage(rows, "near-finer")
     edges = links[0]
     for more in links[1:]:
