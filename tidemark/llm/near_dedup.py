@@ -48,7 +48,7 @@ SKETCHES = 12
 KEPT = 2
 LEVELS = 3  # sketches that a bucket's members may have to share before more leaders are asked at once
 NEXT = 3  # sketches that a bucket is refined by: the following ones
-LEADERS = 8  # leaders of a bucket in a turn, once sketches no longer refine it
+LEADERS = 64  # leaders of a bucket in a turn, once sketches no longer refine it
 REMEMBERED = 800_000
 BATCH_BYTES = 4 << 20
 MARKS = re.compile(r"[\W_]+")
@@ -244,15 +244,14 @@ CARRIED = ["member", "keys", "band", "place", "open"]
 def _led(rows: DataFrame, turn: int) -> DataFrame:
     """Rows with the leader or leaders of their bucket. The first leaders are the least members, so buckets agree."""
     order = F.lit(0).cast("long") if turn == 0 else F.xxhash64("member", "key")
-    buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("o")).filter("n > 1 AND o").select("key", "n")
+    first = F.min(F.struct(order.alias("h"), "member")).alias("l")
+    buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("o"), first).filter("n > 1 AND o")
     if turn < LEVELS:
-        first = F.min(F.struct(order.alias("h"), "member"))
-        leaders = rows.groupBy("key").agg(first.alias("l")).select("key", F.col("l.member").alias("leader"))
-    else:  # limited per task before the shuffle
-        nth = F.row_number().over(Window.partitionBy("key").orderBy(order, "member"))
-        leaders = rows.select("key", F.col("member"), nth.alias("nth")).filter(F.col("nth") <= LEADERS).select(
-            "key", F.col("member").alias("leader"))
-    return rows.join(leaders.join(buckets, "key"), "key")
+        return rows.join(buckets.select("key", "n", F.col("l.member").alias("leader")), "key")
+    # limited per task before the shuffle
+    nth = F.row_number().over(Window.partitionBy("key").orderBy(order, "member"))
+    leaders = rows.select("key", "member", nth.alias("nth")).filter(F.col("nth") <= LEADERS)
+    return rows.join(leaders.select("key", F.col("member").alias("leader")), "key").join(buckets.select("key", "n"), "key")
 
 
 def near_links(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame]:
