@@ -46,7 +46,7 @@ WIDTH = 200
 HOT = 4096
 SHARD_BYTES = 8 << 20
 BROADCAST_BYTES = 32 << 20  # ids or blocks up to which a filter is broadcast; a shuffle does it beyond
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20  # text hashed at a time; the arrays over it take some 80 times as much
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
