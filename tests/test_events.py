@@ -75,7 +75,7 @@ def test_batch_writes_everything_and_can_be_repeated(spark, raw, tmp_path):
     for _ in range(2):
         times, rows = run_event_batch(raw, out)
         assert rows == {
-            "raw": 9, "with_keys": 7, "project_activity_summary": 1, "user_activity_summary": 2,
+            "raw": 9, "with_keys": 7, "clean": 6, "project_activity_summary": 1, "user_activity_summary": 2,
             "escalation_log": 1, "daily_event_volume": 6, "peak_usage_analysis": 4,
         }
         for name in ev.MARTS:
