@@ -79,6 +79,62 @@ def test_classes_equal_brute_force(spark, monkeypatch, levels):
     assert found == {k: least[x] for k, x in enumerate(label)}
 
 
+def star(rng, copies, stretches=3, length=13):
+    """A text and copies with own insertions: each near the text, most not near each other."""
+    hub = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    out = [hub]
+    for c in range(copies):
+        new = list(hub)
+        for s in range(stretches):
+            k = rng.randrange(len(new) + 1)
+            new[k:k] = [f"c{c}s{s}i{i}" for i in range(length)]
+        out.append(new)
+    return out
+
+
+@pytest.mark.parametrize("levels,copies,block", [(3, 2000, 512), (0, 150, 40)])
+def test_a_star_is_one_class(spark, monkeypatch, levels, copies, block):
+    monkeypatch.setattr(near_dedup, "LEVELS", levels)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    texts = star(random.Random(11), copies)
+    docs = spark.createDataFrame([((k + 7) % len(texts), " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    found = near_duplicate_classes(docs)
+    assert [(r["class_id"], r["count"]) for r in found.groupBy("class_id").count().collect()] == [(0, copies + 1)]
+
+
+@pytest.mark.parametrize("levels", [0])
+def test_agreement_in_one_sketch_leads_to_a_comparison(spark, monkeypatch, levels):
+    monkeypatch.setattr(near_dedup, "LEVELS", levels)
+    monkeypatch.setattr(near_dedup, "BLOCK", 20)
+    rng = random.Random(5)
+    shared = [f"p{k}" for k in range(110)]  # most of each text, so that third texts lead the buckets
+    texts = []
+    for _ in range(40):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(70)]
+        texts.append(shared + own)
+        other = shared + own
+        for k in rng.sample(range(180), 30):
+            other[k] = f"e{rng.randrange(10**6)}"
+        texts.append(other)
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    codes = near_dedup.word_codes([" ".join(t) for t in texts])
+    agree = order_sketches(codes)
+    expected = [k // 2 * 2 if (agree[k // 2 * 2] == agree[k // 2 * 2 + 1]).any() else k for k in range(len(texts))]
+    assert sum(k != e for k, e in enumerate(expected)) > 15
+    found = {r["id"]: r["class_id"] for r in near_duplicate_classes(docs).collect()}
+    assert [found[k] for k in range(len(texts))] == expected
+
+
+def test_bounds_keep_all_near_pairs():
+    rng = random.Random(3)
+    docs = [np.array([rng.randrange(40) for _ in range(rng.randrange(1, 60))], np.uint32) for _ in range(30)]
+    docs += [np.delete(np.where(np.array([rng.random() for _ in d]) < 0.1, 99, d), slice(0, rng.randrange(3))).astype(np.uint32) for d in docs]
+    docs = [d for d in docs if len(d)]
+    can, _ = near_dedup._possible(docs, docs, 0.8)
+    close = np.array([[near_dedup.near(a, b, 0.8) for b in docs] for a in docs])
+    assert close.sum() > len(docs) and not (close & ~can).any()
+
+
 def test_near_edge_cases(spark, rows):
     data = [(1, None, 1), (2, "", 2), (3, "...", 3), (4, "one two", 4), (5, "ONE two.", 5), (None, "x y z a b c", 6),
             (7, "long " * 40_000, 7), (7, "long " * 40_000, 7), (8, "one three", 8)]

@@ -11,12 +11,16 @@
   word insertions, deletions and replacements counted by a bit-parallel
   alignment within the band that the threshold allows.
 
-Groups can be of any size, so no pairs of a group are listed. Each bucket
-compares its members with one leader. Members that the leader is not near meet
-again in finer buckets, where a following sketch agrees too (and a third) and
-the lengths allow the similarity, with other leaders, members that were linked
-included; what is left then compares with ``LEADERS`` at a time until nothing
-is left. Exact copies are one member.
+Documents that agree in a sketch are always compared or already proven to be
+connected; a bucket ends only then. First each bucket compares with one leader
+at a time, the member whose buckets are largest: the text that the others were
+made from is in most of them. Leaders leave the bucket, as they met all of it,
+and a bucket ends when the rest of it is connected. What is left (after
+``LEVELS`` leaders at most) is split by bands of length and into blocks that
+meet in pairs; only members of one component are not compared. There, bounds
+that any two near documents keep (common words, common pairs of neighbouring
+words) are taken for a whole block at once, and only what passes is aligned.
+Exact copies are one member.
 
 Words are compared by 32 bits of their hash. As with every MinHash, two near
 documents can differ in all sketches; for a pair that shares 80 % of its
@@ -36,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh_names, stage
@@ -46,9 +50,9 @@ WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 12
 KEPT = 2
-LEVELS = 3  # sketches that a bucket's members may have to share before more leaders are asked at once
-NEXT = 3  # sketches that a bucket is refined by: the following ones
-LEADERS = 64  # leaders of a bucket in a turn, once sketches no longer refine it
+LEVELS = 3  # leaders that a bucket is compared with, one at a time, before its blocks meet
+BLOCK = 512  # members of a block at most
+BLOCK_WORDS = 1 << 19  # words of a block, about
 REMEMBERED = 800_000
 BATCH_BYTES = 4 << 20
 MARKS = re.compile(r"[\W_]+")
@@ -211,7 +215,7 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch, texts in _parts(whole, 1):
             codes = pa.array([c.tobytes() for c in word_codes(texts)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), codes], ["member", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), codes, batch.column(2)], ["member", "words", "keys"])
 
 
 def _verifier(similarity: float):
@@ -237,21 +241,116 @@ def _verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFram
     return both.mapInArrow(_verifier(similarity), "leader string, member string, linked boolean")
 
 
-# What a bucket's rows carry besides its key.
-CARRIED = ["member", "keys", "band", "place", "open"]
+def _hashed(docs: list[np.ndarray], wide: int, dims: int) -> np.ndarray:
+    """(documents, dims) counts of hashed runs of ``wide`` words, each labelled with its occurrence number.
+
+    The product of two rows is never less than the number of runs that the documents share.
+    """
+    out = np.zeros((len(docs), dims), np.float32)
+    for row, doc in zip(out, docs, strict=True):
+        n = len(doc) - wide + 1
+        if n < 1:
+            continue
+        run = np.zeros(n, np.uint64)
+        for k in range(wide):
+            run = _mixed(run + doc[k : k + n].astype(np.uint64) + np.uint64(1))
+        order = np.argsort(run, kind="stable")
+        again = np.zeros(n, bool)
+        again[1:] = run[order][1:] == run[order][:-1]
+        place = np.arange(n)
+        number = place - np.maximum.accumulate(np.where(again, 0, place))
+        run = _mixed(run[order] + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        row += np.bincount((run % np.uint64(dims)).astype(np.int64), minlength=dims)
+    return out
+
+
+def _possible(one: list[np.ndarray], other: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each pair can be near, bound on its common words).
+
+    Each edit of the longer text takes at most one of its words and two of its pairs of neighbouring words away.
+    """
+    na, nb = (np.fromiter(map(len, d), np.int64, len(d)) for d in (one, other))
+    longest = np.maximum(na[:, None], nb[None, :])
+    limit = np.floor(longest * (1 - similarity) + 1e-9).astype(np.int64)
+    dims = 1 << max(10, int(4 * longest.max()).bit_length())
+    common = _hashed(one, 1, dims) @ _hashed(other, 1, dims).T
+    can = (np.abs(na[:, None] - nb[None, :]) <= limit) & (common >= longest - limit - 0.5)
+    if can.any():
+        can &= _hashed(one, 2, dims) @ _hashed(other, 2, dims).T >= longest - 1 - 2 * limit - 0.5
+    return can, common
+
+
+def _block_links(similarity: float):
+    """Links between two blocks of a bucket (or inside one): (leader, member)."""
+
+    def run(group: tuple, table: pa.Table) -> pa.Table:
+        key, low, high = group[0].as_py(), group[2].as_py(), group[3].as_py()
+        block = table.column("block").to_numpy()
+        member, part = table.column("member").to_pylist(), table.column("part").to_pylist()
+        home = np.array(table.column("home").to_pylist(), bool)
+        kinds = {c: k for k, c in enumerate(dict.fromkeys(part))}
+        part = np.array([kinds[c] for c in part], np.int64)
+        docs = [np.frombuffer(w.as_buffer(), np.uint32) for w in table.column("words").combine_chunks()] if len(member) else []
+        keys = np.array(table.column("keys").to_pylist(), np.int64).reshape(len(member), -1)
+        a = np.flatnonzero(block == low)
+        b = np.flatnonzero(block == high)
+        links: list[tuple[str, str]] = []
+        if len(a) and len(b):
+            can = (part[a][:, None] != part[b][None, :]) & (home[a][:, None] | home[b][None, :])
+            # A pair meets in the first sketch that it agrees in.
+            first = np.full(can.shape, -1, np.int64)
+            for j in range(keys.shape[1] - 1, -1, -1):
+                first[keys[a, j][:, None] == keys[b, j][None, :]] = j
+            can &= (first >= 0) & (keys[a][np.arange(len(a))[:, None], first] == key)
+            if low == high:
+                can &= a[:, None] < b[None, :]
+            if can.any():
+                # Only what still has a partner is counted.
+                ra, rb = np.flatnonzero(can.any(axis=1)), np.flatnonzero(can.any(axis=0))
+                bound, common = _possible([docs[i] for i in a[ra]], [docs[i] for i in b[rb]], similarity)
+                x, y = np.nonzero(can[np.ix_(ra, rb)] & bound)
+                order = np.argsort(-common[x, y], kind="stable")
+                root = list(range(len(kinds)))
+
+                def find(c: int) -> int:
+                    while root[c] != c:
+                        root[c] = root[root[c]]
+                        c = root[c]
+                    return c
+
+                for i, j in zip(a[ra[x[order]]].tolist(), b[rb[y[order]]].tolist(), strict=True):
+                    p, q = find(part[i]), find(part[j])
+                    if p != q and near(docs[i], docs[j], similarity):
+                        root[p] = q
+                        links.append((member[i], member[j]))
+        return pa.table({"leader": pa.array([x for x, _ in links], pa.string()), "member": pa.array([y for _, y in links], pa.string())})
+
+    return run
+
 
+def _bands(similarity: float) -> Column:
+    """Documents that are near lie in one band of lengths or in neighbouring ones."""
+    return F.floor(F.log(F.col("size").cast("double")) / -math.log(similarity) + 1e-9).cast("int")
 
-def _led(rows: DataFrame, turn: int) -> DataFrame:
-    """Rows with the leader or leaders of their bucket. The first leaders are the least members, so buckets agree."""
-    order = F.lit(0).cast("long") if turn == 0 else F.xxhash64("member", "key")
-    first = F.min(F.struct(order.alias("h"), "member")).alias("l")
-    buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("o"), first).filter("n > 1 AND o")
-    if turn < LEVELS:
-        return rows.join(buckets.select("key", "n", F.col("l.member").alias("leader")), "key")
-    # limited per task before the shuffle
-    nth = F.row_number().over(Window.partitionBy("key").orderBy(order, "member"))
-    leaders = rows.select("key", "member", nth.alias("nth")).filter(F.col("nth") <= LEADERS)
-    return rows.join(leaders.select("key", F.col("member").alias("leader")), "key").join(buckets.select("key", "n"), "key")
+
+def _exhaustive(rows: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """(leader, member) links of all that is left: members outside a bucket's main component meet each other and the main
+    ones. Each row is in its own band of lengths and the next; a group holds two blocks, whatever the bucket's size."""
+    banded = rows.withColumn("band", _bands(similarity)).withColumn("length", F.explode(F.array("band", F.col("band") + 1)))
+    banded = banded.select("key", "length", "member", "part", "minor", (F.col("band") == F.col("length")).alias("home"))
+    fits = F.greatest(F.lit(1), F.least(F.lit(float(BLOCK)), F.lit(float(BLOCK_WORDS)) / F.pow(F.lit(1 / similarity), F.col("length") + 1)))
+    counted = banded.groupBy("key", "length").agg(
+        F.sum(F.col("minor").cast("long")).alias("few"), F.sum((~F.col("minor")).cast("long")).alias("many"), F.max("home").alias("some"))
+    counted = counted.filter("few > 0 AND few + many > 1 AND some").select(
+        "key", "length", F.ceil(F.col("few") / fits).cast("int").alias("few"), F.ceil(F.col("many") / fits).cast("int").alias("many"))
+    salt = F.xxhash64("member")
+    dealt = banded.join(counted, ["key", "length"]).withColumn(
+        "block", F.when(F.col("minor"), F.pmod(salt, "few")).otherwise(F.col("few") + F.pmod(salt, "many")).cast("int"))
+    met = F.when(F.col("minor"), F.col("few") + F.col("many")).otherwise(F.col("few"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), met - 1))).select(
+        "key", "length", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "member", "part", "home")
+    return dealt.join(words, "member").groupBy("key", "length", "low", "high").applyInArrow(
+        _block_links(similarity), "leader string, member string")
 
 
 def near_links(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame]:
@@ -265,49 +364,52 @@ def near_links(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
         .filter("words > 0").groupBy("digest").agg(F.first("keys").alias("keys"), F.first("words").alias("words")),
         "near-sketches",
     )
-    # A pair that is near lies in one band of lengths or in neighbouring ones; each member is in its own and the next.
-    band = F.floor(F.log(F.col("words").cast("double")) / -math.log(similarity)).cast("int")
-    single = sketches.select(
-        F.col("digest").alias("member"), "keys", band.alias("band"), F.posexplode("keys").alias("place", "key"), F.lit(True).alias("open"))
+    single = sketches.select(F.col("digest").alias("member"), F.col("words").alias("size"), F.explode("keys").alias("key"))
     buckets = single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rows = stage(single.join(buckets.select("key"), "key").select("key", *CARRIED), "near-buckets")
-    wanted = rows.select(F.col("member").alias("digest")).distinct()
+    # A member has at most SKETCHES rows.
+    score = F.sum("n").over(Window.partitionBy("member"))
+    rows = stage(
+        single.join(buckets, "key").withColumn("score", score)
+        .select("key", "member", "size", "score", F.col("member").alias("part"), F.lit(True).alias("minor")),
+        "near-buckets",
+    )
+    wanted = rows.select(F.col("member").alias("digest")).distinct().join(sketches.select("digest", "keys"), "digest")
     words = stage(
-        plain.join(wanted, "digest", "left_semi").select(F.col("digest").alias("member"), "t")
-        .mapInArrow(_coded, "member string, words binary").groupBy("member").agg(F.first("words").alias("words")),
+        plain.join(wanted, "digest").select(F.col("digest").alias("member"), "t", "keys")
+        .mapInArrow(_coded, "member string, words binary, keys array<bigint>")
+        .groupBy("member").agg(F.first("words").alias("words"), F.first("keys").alias("keys")),
         "near-words",
     )
+    coded = words.select("member", "words")
     links: list[DataFrame] = []
     known: DataFrame | None = None
-    turn = 0
-    while True:
-        led = stage(_led(rows, turn), "near-led")
-        pairs = led.filter("open AND member <> leader").select("leader", "member").distinct()
+    for _ in range(LEVELS):
+        best = rows.filter("minor").groupBy("key").agg(F.max(F.struct("score", "member", "size", "part")).alias("l"))
+        led = rows.join(best.select("key", F.col("l.member").alias("leader"), F.col("l.size").alias("led"), F.col("l.part").alias("own")), "key")
+        fits = F.abs(F.col("size") - F.col("led")) <= F.floor(F.greatest("size", "led") * F.lit(1 - similarity) + 1e-9)
+        pairs = led.filter(fits & (F.col("part") != F.col("own"))).select("leader", "member").distinct()
         if known is not None:
             pairs = pairs.join(known, ["leader", "member"], "left_anti")
-        found = stage(_verified(pairs, words, similarity), "near-verified")
+        found = stage(_verified(pairs, coded, similarity), "near-verified")
+        known = found if known is None else known.unionByName(found)
         links.append(found.filter("linked").select("leader", "member"))
-        known = found if known is None else stage(known.unionByName(found), "near-known")
-        # Members still open: near to no leader and no leader themselves, where the bucket holds others.
-        met = led.join(known, ["leader", "member"], "left").groupBy("key", "member").agg(
-            F.max(F.coalesce("linked", F.lit(False)) | (F.col("member") == F.col("leader"))).alias("settled"),
-            *[F.first(c).alias(c) for c in ("keys", "band", "place", "open")], F.count(F.lit(1)).alias("asked"), F.first("n").alias("n"))
-        judged = stage(
-            met.withColumn("open", F.col("open") & ~F.col("settled") & (F.col("n") > F.col("asked") + 1)).select("key", *CARRIED),
-            "near-judged")
-        if judged.filter("open").isEmpty():
+        # The leader met all of its bucket and leaves it. The rest goes on where it is not yet connected.
+        classes = connected_components(known.filter("linked").select("leader", "member"))
+        rest = stage(
+            led.filter("member <> leader").select("key", "member", "size", "score")
+            .join(classes.withColumnRenamed("node", "member"), "member", "left")
+            .select("key", "member", "size", "score", F.coalesce("component", "member").alias("part")),
+            "near-rest")
+        parts = rest.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+        main = parts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("m"), F.sum("n").alias("n")).filter("m.n < n")
+        rows = stage(
+            rest.join(main.select("key", F.col("m.part").alias("main"), (F.col("n") - F.col("m.n")).alias("few")), "key")
+            .select("key", "member", "size", "score", "part", (F.col("part") != F.col("main")).alias("minor"), "few"),
+            "near-open")
+        # Another leader is asked where a bucket would need several blocks.
+        if rows.filter(F.col("few") > BLOCK).isEmpty():
             break
-        turn += 1
-        if turn < LEVELS:
-            unsettled = judged.filter("open").groupBy("key").agg(F.count(F.lit(1)).alias("left_open")).select("key")
-            step = judged.join(unsettled, "key").withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(NEXT))))
-            step = step.withColumn("place", (F.col("place") + F.col("step")) % SKETCHES)
-            other = F.element_at("keys", F.col("place") + 1)
-            finer = step.withColumn("length", F.explode(F.array("band", F.col("band") + 1)))
-            rows = finer.withColumn("key", F.xxhash64("key", "place", other, "length")).select("key", *CARRIED)
-        else:  # what had its turn leaves the bucket
-            rows = judged.filter("open")
-        rows = stage(rows, "near-finer")
+    links.append(stage(_exhaustive(rows, words, similarity), "near-blocks"))
     edges = links[0]
     for more in links[1:]:
         edges = edges.unionByName(more)
