@@ -12,6 +12,7 @@ import sentencepiece
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from tidemark.llm import piece_bpe, token_files
 
@@ -48,6 +49,17 @@ def test_words_equal_the_tokenizers_library(text):
     assert own == encoder.library.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_those_of_a_fresh_tokenizer():
+    library = Tokenizer.from_file(TOKENIZER)
+    encoder = token_files.WordEncoder(TOKENIZER)
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    rng = random.Random(6)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", "a", "word.", " ", "  ", "\n", "é", "don't", "|", "\t"]
+    texts = odd_texts(50) + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    own = [np.frombuffer(i, "<u4").tolist() for i in encoder.encode(texts)]
+    assert own == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def frame(spark):
     rows = [(7, "b"), (3, None), (5, ""), (None, "null id"), (9, "x" * 20_000), (3, None), (1, "<|endoftext|>")]
     rows += [(10 + k, t) for k, t in enumerate(odd_texts(20))]

@@ -103,7 +103,8 @@ class WordEncoder:
 
     Most words are letters, perhaps behind a blank and before full stops: one
     piece each for the pre-tokenizer, so the library's model is asked directly.
-    All others go through its whole pipeline.
+    All others go through its whole pipeline, also those that hold an added
+    token, which the library takes as one id.
     """
 
     def __init__(self, path: str):
@@ -112,7 +113,7 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.seen: dict[str, bytes] = {}
         # The letters that stand for bytes, asked from the library: of ASCII, and of second and first bytes of pairs.
         ask = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -140,7 +141,7 @@ class WordEncoder:
         seen, rest = self.seen, []
         for word in words:
             core = word.rstrip(STOPS)
-            if not self.direct or not self._letters(core):
+            if not self.direct or not self._letters(core) or any(t in word for t in self.added):
                 rest.append(word)
             elif core == word:
                 seen[word] = self._packed(self._model_ids(word))
