@@ -126,6 +126,26 @@ def test_every_template_is_its_family(licenses):
             assert [f for _, f, _, s in licenses.paragraphs(t) if s >= license_scan.CONFIRMED] == [family], t
 
 
+def test_licenses_among_common_words_and_common_notices(spark):
+    rng = random.Random(3)
+    plain = [speech(rng, 12) + " text is available, and released under the terms" for _ in range(400)]
+    notices = ["Released under the GPL v2.", "Text is available under CC BY 3.0.", "Released under the MIT License."]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(plain + notices * 60)], "doc_id long, text string")
+    model = license_scan.fit(docs)
+    assert [[f for _, f, _, s in model.paragraphs(t) if s >= license_scan.CONFIRMED] for t in notices] == [["gpl"], ["cc-by"], ["mit"]]
+
+
+def test_all_that_a_template_confirms_is_classified(licenses):
+    rng = random.Random(4)
+    for texts in license_scan.TEMPLATES.values():
+        for t in texts:
+            words = license_scan.words_of(t)
+            for _ in range(40):
+                part = [w for w in words if rng.random() > 0.12]
+                if any(licenses.similarity(part, f) >= license_scan.CONFIRMED for f in license_scan.TEMPLATES):
+                    assert not licenses.telling_set.isdisjoint(part) or licenses._allows(part), part
+
+
 def test_an_empty_corpus_trains(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert list(license_scan.fit(docs).paragraphs("Released under the MIT License."))[0][1] == "mit"

@@ -12,9 +12,10 @@
 * A prediction stands when the paragraph holds enough of the n-grams of one of
   the family's templates; others are only counted as unconfirmed.
 
-The longest words of a template that are rare in the sample are its telling words. Texts
-without any of them are unknown by definition and are not looked at further,
-which is why the scan reads most of a corpus at the speed of a search.
+Every template has telling words, chosen from the templates alone: the n-grams without any of
+them are fewer than ``CONFIRMED`` of the template. Where a template consists mostly of words that any text
+holds, the n-grams that a line's words allow are counted instead. Lines with no telling word that
+cannot reach ``CONFIRMED`` are not classified, and not counted as unconfirmed.
 
 Defined cases: null and empty texts have no license; several licenses in a
 document are all listed, the likeliest first; repeated rows scan alike; an
@@ -116,8 +117,13 @@ ACCEPTED = 0.5
 CONFIRMED = 0.6  # share of a template's n-grams
 BACKGROUND = 1000  # paragraphs of the corpus to train against
 VARIANTS = 24  # altered copies of each template
-RARE = 0.002  # share of background paragraphs up to which a template word is telling
-TELLING = 4  # words by which a template is looked for, its longest rare ones
+# Template words that any text holds; they are never telling.
+COMMON = frozenset(
+    "a all and any are as available be by can charge conditions details document extent file files following for form found free "
+    "general granted has hereby in is it law may met no not obtaining of or part person possible program project provided public "
+    "published related released rights see source subject terms text that the this to under use version with without work "
+    "written you your author code dedicated domain except international library".split())
+ALLOWED = 200_000  # sets of words remembered
 LONG = 400  # words of a paragraph looked at together; longer ones are scanned in overlapping stretches
 WORD = re.compile(r"[a-z0-9]+(?:[.\-'][a-z0-9]+)*")
 
@@ -138,16 +144,29 @@ def grams(words: list[str], known: frozenset[str]) -> Counter:
     return found
 
 
+def telling_words(template: set[str]) -> tuple[list[str], bool]:
+    """Words outside ``COMMON``, and whether any text that has ``CONFIRMED`` of the template's n-grams holds one of them."""
+    left, chosen = set(template), []
+    while len(left) >= CONFIRMED * len(template):
+        counts = Counter(w for g in left for w in set(g.split()) - COMMON)
+        if not counts:
+            return chosen, False
+        chosen.append(min(counts, key=lambda w: (-counts[w], w)))
+        left = {g for g in left if chosen[-1] not in g.split()}
+    return chosen, True
+
+
 class LicenseModel:
     def __init__(self, background: list[str], seed: int = 7):
         self.key = uuid.uuid4().hex
         self.known = frozenset(w for texts in TEMPLATES.values() for t in texts for w in words_of(t))
         self.templates = {f: [set(grams(words_of(t), self.known)) for t in texts] for f, texts in TEMPLATES.items()}
-        spread = Counter(w for t in background for w in set(words_of(t)) & self.known)
-        rare = {w for w in self.known if len(w) > 3 and not w[0].isdigit() and spread[w] <= RARE * max(1, len(background))}
-        longest = [sorted(set(words_of(t)) & rare, key=lambda w: (-len(w), w)) for texts in TEMPLATES.values() for t in texts]
-        self.telling = sorted({w for own in longest for w in own[:TELLING]})
-        self.telling_set = frozenset(self.telling)
+        told = [(t, *telling_words(t)) for own in self.templates.values() for t in own]
+        self.telling_set = frozenset(w for _, words, _ in told for w in words)
+        self.plain = [(len(t), [frozenset(g.split()) for g in t]) for t, _, enough in told if not enough]
+        self.plain_words = frozenset(w for _, parts in self.plain for g in parts for w in g)
+        self.allowed: dict[frozenset[str], bool] = {}
+        self.span = max(len(words_of(t)) for texts in TEMPLATES.values() for t in texts)
         self._train(background, np.random.default_rng(seed))
 
     def _examples(self, background: list[str], rng: np.random.Generator) -> tuple[list[list[str]], list[int]]:
@@ -229,16 +248,22 @@ class LicenseModel:
             return UNKNOWN, float(p[-1]), 0.0
         return FAMILIES[k], float(p[k]), self.similarity(words, FAMILIES[k])
 
+    def _allows(self, words: list[str]) -> bool:
+        """Whether a template without enough telling words can reach ``CONFIRMED`` by these words, in any order."""
+        own = self.plain_words.intersection(words)
+        if own not in self.allowed:
+            if len(self.allowed) >= ALLOWED:
+                self.allowed.clear()
+            self.allowed[own] = any(sum(g <= own for g in parts) >= CONFIRMED * n for n, parts in self.plain)
+        return self.allowed[own]
+
     def paragraphs(self, text: str) -> Iterator[tuple[int, str, float, float]]:
         """(line number, family, probability, similarity) of the lines under a license."""
-        low = text.lower()
-        present = [w for w in self.telling if w in low]
-        if not present:
-            return
-        for n, line in enumerate(low.split("\n")):
-            if any(w in line for w in present):
+        for n, line in enumerate(text.lower().split("\n")):
+            words = words_of(line)
+            if not self.telling_set.isdisjoint(words) or self._allows(words):
+                best = None
                 best = None
-                words = words_of(line)
                 for k in range(0, max(1, len(words) - LONG // 2), LONG // 2):
                     for found in self._within(words[k : k + LONG]):
                         if found[0] != UNKNOWN and (best is None or (found[2] >= CONFIRMED, found[1]) > (best[2] >= CONFIRMED, best[1])):
@@ -255,13 +280,32 @@ class LicenseModel:
             for a, b in zip(telling, [*telling[1:], 1 << 30], strict=True):
                 if b - a > 12:
                     yield self.classify(words[max(0, begin - 4) : a + 5])
+                    yield self.classify(words[max(0, begin - self.span) : a + self.span + 1])
                     begin = b
 
+
+def _least_lines(background: int):
+    """The first ``background`` distinct (hash, line) of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: list[tuple[int, str]] = []
+        for batch in batches:
+            hashes = batch.column(0).to_numpy()
+            near = np.arange(len(hashes)) if len(least) < background else np.flatnonzero(hashes <= least[-1][0])
+            lines = batch.column(1).take(pa.array(near)).to_pylist()
+            least = sorted({*least, *zip(hashes[near].tolist(), lines, strict=True)})[:background]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([h for h, _ in least], pa.int64()), pa.array([t for _, t in least], pa.string())], ["h", "line"])
+
+    return run
+
+
 def fit(docs: DataFrame, text_col: str = "text", background: int = BACKGROUND) -> LicenseModel:
-    """Train against the first ``background`` lines of the corpus by hash."""
+    """Train against the first ``background`` distinct lines of the corpus by hash."""
     lines = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
     lines = lines.filter(F.length("line") > 20).select(F.substring("line", 1, 4000).alias("line"))
-    sample = lines.withColumn("h", F.xxhash64("line")).orderBy("h", "line").limit(background)
+    least = lines.select(F.xxhash64("line").alias("h"), "line").mapInArrow(_least_lines(background), "h bigint, line string")
+    sample = least.distinct().orderBy("h", "line").limit(background)
     return LicenseModel([r["line"] for r in sample.select("line").collect()])
 
 
