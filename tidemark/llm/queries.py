@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import license_scan, quality, toxicity
+from tidemark.llm.ann_search import nearest_neighbours
+from tidemark.llm.collocations import collocations
 from tidemark.llm.common import held_out, table
 from tidemark.llm.embedding_dedup import embedding_groups
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.lexical_search import ranked_search
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.near_dedup import near_duplicate_classes
 from tidemark.llm.piece_bpe import encoding_digests
@@ -91,6 +94,18 @@ def op10_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
     return groups.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
+def op11_stripe_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
+def op12_ball_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_neighbours(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_quality": op1_compression_quality,
     "op2_sentencepiece": op2_sentencepiece,
@@ -102,4 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_cover_tree": op10_cover_tree,
+    "op11_stripe_collocations": op11_stripe_collocations,
+    "op12_ball_tree_search": op12_ball_tree_search,
+    "op13_collision_counting": op13_collision_counting,
 }
