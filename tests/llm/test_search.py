@@ -126,14 +126,29 @@ def test_collisions_are_counted_as_defined():
     units = unit(rng.standard_normal((300, 16)))
     index, query = ann_search.SortedLines(units), unit(rng.standard_normal((1, 16)))[0]
     gaps = np.abs(units @ ann_search.lines(16) - query @ ann_search.lines(16))
-    seen = set()
-    for (width, sure), (told, new) in zip(ann_search.rounds(), index.candidates(query), strict=False):
-        assert sure == told
-        seen |= set(new.tolist())
+    seen, windows = set(), ann_search.Windows(index, query)
+    for width in (0.01, 0.3, 0.31, 0.8, 1.3, 2, 5, 100):
+        new = windows.widen(width).tolist()
+        assert not seen & set(new)
+        seen |= set(new)
+        assert (windows.counts == (gaps <= width).sum(axis=1)).all()
         expected = np.flatnonzero((gaps <= width).sum(axis=1) >= math.ceil(ann_search.THRESHOLD * ann_search.LINES))
         assert seen == set(expected.tolist())
 
 
+def test_a_query_ends_when_its_neighbours_are_sure():
+    ratio = ann_search.sure_ratio()
+    assert ann_search._tail(math.erf(ratio / math.sqrt(2)), math.ceil(ann_search.THRESHOLD * ann_search.LINES)) >= ann_search.CERTAIN
+    rng = np.random.default_rng(9)
+    caught = 0
+    for _ in range(300):
+        near = unit(rng.standard_normal((1, 32)))
+        query = unit(near + rng.standard_normal((1, 32)) * 0.1)[0]
+        windows = ann_search.Windows(ann_search.SortedLines(near), query)
+        caught += windows.widen(ratio * float(np.linalg.norm(near[0] - query))).size
+    assert caught / 300 > ann_search.CERTAIN - 0.04
+
+
 def test_neighbours_of_odd_vectors(spark):
     rows = [
         (0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (50, [0.0, 3.0]), (100, [0.0, 0.0]), (150, None),

@@ -2,16 +2,16 @@
 
 Every hash is the projection of a unit vector on one random line. Per line the
 projections are kept as a sorted array; a query opens a window around its own
-projection. Windows widen by a constant factor (virtual rehashing: the same
+projection. Windows widen from round to round (virtual rehashing: the same
 arrays serve every radius), and a vector's collisions are the lines whose window
 holds it. Vectors that reach the collision threshold are verified by their
 cosine.
 
 Two unit vectors at distance s differ on a line by a normal number of deviation
 s, so collisions of a vector at distance s are binomial with a known
-probability. A query ends at the first width at which its k-th verified vector is
-so near that any vector as near would have reached the threshold with
-probability ``CERTAIN`` already; otherwise windows grow until they hold all.
+probability. A query ends at a width at which its k-th verified vector is so near
+that any vector as near has reached the threshold with probability ``CERTAIN``;
+windows grow towards that width, and hold all vectors at last.
 
 Vectors are indexed in parts of some ``PART`` rows, every row in one, and queries
 are dealt in blocks of some ``QUERIES``; each (part, block) is one task's group, so
@@ -42,12 +42,12 @@ from tidemark.llm.common import stage
 
 NEAREST = 5
 EVERY = 50  # ids divisible by it are the queries
-LINES = 192  # random lines: one sorted array each
+LINES = 64  # random lines: one sorted array each
 THRESHOLD = 0.62  # share of the lines on which a vector must collide to be verified
 CERTAIN = 0.98  # probability that a vector as near as the k-th found has been verified
-WIDTHS = 1.12  # growth of the windows from round to round
-FIRST = 0.02  # half-width of the first windows
-PART = 8192  # vectors of an index
+WIDTHS = 2.2  # growth of the windows from round to round, at most
+FIRST = 0.2  # half-width of the first windows
+PART = 16_384  # vectors of an index
 QUERIES = 2048  # queries of a block
 SEED = 20240311
 
@@ -68,10 +68,9 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], ["id", "key"])
 
 
-def cosines(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+def cosines(rows: np.ndarray, norms: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Cosines in double precision; a row's value does not depend on the rows around it."""
-    products = (rows * query).sum(axis=1)
-    return products / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum()))
+    return (rows * query).sum(axis=1) / (norms * np.sqrt((query * query).sum()))
 
 
 @cache
@@ -94,22 +93,14 @@ def _tail(p: float, least: int) -> float:
 
 
 @cache
-def rounds() -> tuple[tuple[float, float], ...]:
-    """(half-width, largest distance that reaches the threshold with probability ``CERTAIN``) of every round.
-
-    The probability depends on the ratio of both alone, found by halving.
-    """
+def sure_ratio() -> float:
+    """Half-width over distance at which a vector reaches the threshold with probability ``CERTAIN``, found by halving."""
     least = math.ceil(THRESHOLD * LINES)
-    low, high = 0.0, 100.0  # half-width over distance
+    low, high = 0.0, 100.0
     for _ in range(60):
         ratio = (low + high) / 2
         low, high = (low, ratio) if _tail(math.erf(ratio / math.sqrt(2)), least) >= CERTAIN else (ratio, high)
-    out = []
-    width = FIRST
-    while not out or out[-1][1] < 2:  # unit vectors are at most 2 apart
-        out.append((width, width / high))
-        width *= WIDTHS
-    return tuple(out)
+    return high
 
 
 class SortedLines:
@@ -117,49 +108,69 @@ class SortedLines:
 
     def __init__(self, units: np.ndarray):
         projected = (units @ lines(units.shape[1])).T
-        self.order = np.argsort(projected, axis=1, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(projected, self.order, axis=1)
         self.size = len(units)
-
-    def candidates(self, query: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
-        """(distance up to which all is verified, vectors that newly reach the threshold), round by round."""
-        centre = query @ lines(query.size)
-        least = math.ceil(THRESHOLD * LINES)
-        counts = np.zeros(self.size, np.int64)
-        taken = np.zeros(self.size, bool)
-        begin = np.array([np.searchsorted(self.sorted[i], centre[i]) for i in range(LINES)])
-        end = begin.copy()
-        for width, sure in rounds():
-            low = np.array([np.searchsorted(self.sorted[i], centre[i] - width, "left") for i in range(LINES)])
-            high = np.array([np.searchsorted(self.sorted[i], centre[i] + width, "right") for i in range(LINES)])
-            # Only what the wider windows add is counted.
-            new = [self.order[i, a:b] for i, a, b in zip(range(LINES), low, begin, strict=True) if a < b]
-            new += [self.order[i, a:b] for i, a, b in zip(range(LINES), end, high, strict=True) if a < b]
-            begin, end = np.minimum(low, begin), np.maximum(high, end)
-            if new:
-                counts += np.bincount(np.concatenate(new), minlength=self.size)
-            reached = np.flatnonzero((counts >= least) & ~taken)
-            taken[reached] = True
-            yield sure, reached
-            if taken.all():
-                return
-        yield 2.0, np.flatnonzero(~taken)
+        order = np.argsort(projected, axis=1, kind="stable")
+        # All arrays in one: line i is shifted by i times more than the numbers on a line can differ.
+        self.shift = (4 * float(np.abs(projected).max(initial=1)) + 8) * np.arange(LINES)
+        self.sorted = (np.take_along_axis(projected, order, axis=1) + self.shift[:, None]).ravel()
+        self.order = order.ravel()
+
+
+class Windows:
+    """The windows of one query, and the collisions that they hold."""
+
+    def __init__(self, index: SortedLines, query: np.ndarray):
+        self.index = index
+        reach = np.maximum(2, index.shift[1] / 4)  # no vector lies farther from the arrays' middle
+        self.centre = np.clip(query @ lines(query.size), -reach, reach) + index.shift
+        self.first = np.arange(LINES) * index.size
+        self.begin = self.end = np.searchsorted(index.sorted, self.centre)
+        self.counts = np.zeros(index.size, np.int64)
+        self.taken = np.zeros(index.size, bool)
+
+    def widen(self, width: float) -> np.ndarray:
+        """Vectors that reach the threshold once all windows have the half-width ``width``."""
+        order, size = self.index.order, self.index.size
+        width = min(width, float(self.index.shift[1]) / 2)
+        both = np.searchsorted(self.index.sorted, np.r_[self.centre - width, self.centre + width])
+        begin = np.minimum(np.maximum(both[:LINES], self.first), self.begin)
+        end = np.maximum(np.minimum(both[LINES:], self.first + size), self.end)
+        # Only what the wider windows add is counted.
+        new = [order[a:b] for a, b in zip(begin.tolist(), self.begin.tolist(), strict=True) if a < b]
+        new += [order[a:b] for a, b in zip(self.end.tolist(), end.tolist(), strict=True) if a < b]
+        self.begin, self.end = begin, end
+        if new:
+            self.counts += np.bincount(np.concatenate(new), minlength=size)
+        reached = np.flatnonzero((self.counts >= math.ceil(THRESHOLD * LINES)) & ~self.taken)
+        self.taken[reached] = True
+        return reached
 
 
 def nearest(vectors: np.ndarray, places: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int):
     """(query, vector, cosine) of up to ``k`` nearest found for every query; ``own`` are the queries' places."""
     index = SortedLines(vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True)))
+    norms = np.sqrt((vectors * vectors).sum(axis=1))
+    widest = 2 * sure_ratio()  # unit vectors are at most 2 apart
     hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for q, (query, place) in enumerate(zip(queries, own, strict=True)):
         found, scores = np.zeros(0, np.int64), np.zeros(0)
-        for sure, new in index.candidates(query / np.sqrt((query * query).sum())):
+        windows = Windows(index, query / np.sqrt((query * query).sum()))
+        width, needed = FIRST, widest
+        while True:
+            new = windows.widen(width) if width < widest else np.flatnonzero(~windows.taken)
             new = new[places[new] != place]
             if new.size:
-                found, scores = np.r_[found, new], np.r_[scores, cosines(vectors[new], query)]
+                found, scores = np.r_[found, new], np.r_[scores, cosines(vectors[new], norms[new], query)]
+                if found.size > k:
+                    least = np.partition(scores, found.size - k)[found.size - k]
+                    found, scores = found[scores >= least], scores[scores >= least]
                 best = np.lexsort((places[found], ids[found], -scores))[:k]
                 found, scores = found[best], scores[best]
-            if found.size == k and 2 - 2 * scores[-1] <= sure * sure:
+            if found.size == k:  # wide enough once all as near as the k-th must have been verified
+                needed = sure_ratio() * math.sqrt(max(2 - 2 * scores[-1], 0))
+            if width >= min(needed, widest):
                 break
+            width = min(width * WIDTHS, needed)
         hits.append((np.full(found.size, q), found, scores))
     return tuple(np.concatenate(c) for c in zip(*hits, strict=True)) if hits else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
