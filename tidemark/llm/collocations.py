@@ -49,8 +49,8 @@ UNKNOWN = "und"
 
 HASH_BITS = 62
 BITMAP = 1 << 28  # bits of the filter at most: 32 MB broadcast
-CHUNK_BYTES = 8 << 20  # text counted at a time
-ENTRIES = 2_000_000  # entries of local stripes that a task holds before it emits them
+CHUNK_BYTES = 6 << 20  # text counted at a time
+ENTRIES = 1_000_000  # entries of local stripes that a task holds before it emits them
 PAGE = 4096  # entries of an emitted stripe; longer ones take several rows
 WORDS_PER_SLICE = 4_000_000
 REST = 0  # the entry of a stripe for occurrences that no frequent word follows
