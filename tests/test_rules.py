@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import exact_sum
+from tidemark.functions.sums import exact_sum
 from tidemark.operators.lookup import DuplicateKeyError, HotKeys, OverlapError, lookup_join, point_in_time_join
 from tidemark.operators.quantile import group_quantiles
 from tidemark.operators.scd2 import version_gaps
@@ -49,9 +49,9 @@ def test_both_paths_agree_on_sound_versions(spark, rows):
 
 def test_sums_add_what_is_there(spark):
     small = spark.range(1000).select(F.lit(0.004).alias("x"))
-    assert small.agg(exact_sum(F.col("x"))).first()[0] == 4.0
+    assert small.agg(exact_sum("x")).first()[0] == 4.0
     odd = spark.createDataFrame([(1.5,), (math.nan,), (None,), (2.25,)], "x double")
-    assert odd.agg(exact_sum(F.col("x"))).first()[0] == 3.75
+    assert odd.agg(exact_sum("x")).first()[0] == 3.75
 
 
 def test_csv_keeps_text(spark, rows, tmp_path):

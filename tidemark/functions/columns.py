@@ -91,21 +91,6 @@ BARE_NUMBER = r"^-?\d{1,4}$"
 LONG_YEAR = r"^\d{5,}-\d{2}-\d{2}$"
 
 
-# Digits behind the point that sums keep. Amounts with more are rounded there, row by row.
-SCALE = 8
-
-
-def exact(c: Column, scale: int = SCALE) -> Column:
-    """A number as a decimal, so that sums do not depend on the order of rows; NaN and what does not fit are null."""
-    number = c.try_cast("double")
-    return F.when(~F.isnan(number), c).try_cast(f"decimal(28,{scale})")
-
-
-def exact_sum(c: Column, scale: int = SCALE) -> Column:
-    """Sum of what is there, exact to ``scale`` digits, returned as a double."""
-    return F.sum(exact(c, scale)).cast("double")
-
-
 def is_filled(df: DataFrame, column: str) -> Column:
     """Whether there is a value; NaN in a column of floats is none."""
     value = F.col(f"`{column}`")

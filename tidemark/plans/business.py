@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import count_where, exact, exact_sum, row_count, share_pct, year_month
+from tidemark.functions.columns import count_where, row_count, share_pct, year_month
+from tidemark.functions.sums import exact_sum, merged_value, state_value, sum_state
 from tidemark.operators.lookup import lookup_join
 
 
 def _budget_by_department(projects: DataFrame) -> DataFrame:
     totals = projects.groupBy("department").agg(
-        exact_sum(F.col("budget")).alias("total_budget"),
-        exact_sum(F.col("actual_cost")).alias("total_actual_cost"),
+        exact_sum("budget").alias("total_budget"),
+        exact_sum("actual_cost").alias("total_actual_cost"),
     )
     spent, budget = F.col("total_actual_cost"), F.col("total_budget")
     return totals.select(
@@ -41,8 +42,8 @@ def manager_workload(projects: DataFrame, employees: DataFrame, more_than: int =
         .groupBy(F.col("project_manager_id").alias("employee_id"))
         .agg(
             row_count().alias("active_project_count"),
-            exact_sum(F.col("budget")).alias("combined_budget_responsibility"),
-            exact_sum(F.col("actual_cost")).alias("combined_actual_spend"),
+            exact_sum("budget").alias("combined_budget_responsibility"),
+            exact_sum("actual_cost").alias("combined_actual_spend"),
         )
         .filter(F.col("active_project_count") > more_than)
     )
@@ -53,11 +54,11 @@ def manager_workload(projects: DataFrame, employees: DataFrame, more_than: int =
 def vendor_spend(transactions: DataFrame, vendors: DataFrame) -> DataFrame:
     """Spend and rows per vendor name; transactions are summed per id before the lookup."""
     per_id = transactions.groupBy("vendor_id").agg(
-        F.sum(exact(F.col("amount_aed"))).alias("_spend"), row_count().alias("_rows")
+        sum_state("amount_aed").alias("_spend"), row_count().alias("_rows")
     )
     named = lookup_join(per_id, vendors, {"vendor_id": "vendor_id"}, ["vendor_name"], how="inner")
     return named.groupBy("vendor_name").agg(
-        F.sum("_spend").cast("double").alias("total_spend"),
+        merged_value("_spend").alias("total_spend"),
         F.sum("_rows").alias("transaction_count"),
     )
 
@@ -67,7 +68,7 @@ def vendor_concentration(
 ) -> DataFrame:
     """Vendors holding more than ``above`` percent of the spend."""
     spend = vendor_spend(transactions, vendors)
-    total = spend.agg(exact_sum(F.col("total_spend"))).scalar()
+    total = spend.agg(exact_sum("total_spend")).scalar()
     share = F.lit(100.0) * F.col("total_spend") / total
     flag = F.when(share > high, "HIGH").when(share > above, "MEDIUM").otherwise("NORMAL")
     return (
@@ -90,7 +91,7 @@ def open_issues(transactions: DataFrame, projects: DataFrame, above: float = 50_
         .groupBy("project_id")
         .agg(
             row_count().alias("open_transaction_count"),
-            exact_sum(F.col("amount_aed")).alias("open_transaction_value"),
+            exact_sum("amount_aed").alias("open_transaction_value"),
         )
         .filter(F.col("open_transaction_value") > above)
     )
@@ -106,15 +107,16 @@ def monthly_spend(transactions: DataFrame) -> DataFrame:
     """
     monthly = (
         transactions.groupBy(F.trunc("transaction_date", "month").alias("_month"), "category")
-        .agg(F.sum(exact(F.col("amount_aed"))).alias("_spend"))
-        .withColumn("year_month", year_month(F.col("_month")))
+        .agg(sum_state("amount_aed").alias("_spend"))
+        .withColumns({"year_month": year_month(F.col("_month")), "_value": state_value("_spend")})
     )
     by_category = Window.partitionBy("category").orderBy("year_month")
-    spend = F.col("_spend").cast("double")
+    upto = "PARTITION BY category ORDER BY year_month ROWS UNBOUNDED PRECEDING"
+    spend = F.col("_value")
     before = F.lag(spend).over(by_category)
     return monthly.select(
         "year_month", "category", spend.alias("monthly_spend"),
-        F.sum("_spend").over(by_category.rowsBetween(Window.unboundedPreceding, 0)).cast("double").alias("running_total"),
+        merged_value("_spend", upto).alias("running_total"),
         F.round(F.lit(100.0) * (spend - before) / F.nullif(before, F.lit(0.0)), 2).alias("month_over_month_pct_change"),
     ).orderBy("category", "year_month")
 
@@ -130,7 +132,7 @@ def above_average_pending(transactions: DataFrame, projects: DataFrame, employee
     pending = transactions.filter(F.col("payment_status") == "Pending").select(
         "project_id", "amount", "category", "payment_status", "transaction_date"
     )
-    average = pending.agg(exact_sum(F.col("amount")) / F.count("amount")).scalar()
+    average = pending.agg(exact_sum("amount") / F.count("amount")).scalar()
     large = pending.filter(F.col("amount") > average)
     open_projects = projects.filter(~F.col("status").isin("Completed", "On Hold"))
     with_project = lookup_join(
@@ -177,8 +179,6 @@ def issue_rate(projects: DataFrame, issues: DataFrame) -> DataFrame:
 
 def share_of_total(df: DataFrame, group: str, value: Column) -> DataFrame:
     """Group sum, and its percentage of the grand total (no group holds the whole table)."""
-    sums = df.groupBy(group).agg(F.sum(exact(value)).alias("_exact"))
-    whole = sums.agg(F.sum("_exact")).scalar()
-    return sums.select(
-        group, F.col("_exact").cast("double").alias("total"), share_pct(F.col("_exact"), whole).alias("share_pct")
-    )
+    sums = df.select(group, value.alias("_value")).groupBy(group).agg(sum_state("_value").alias("_state"))
+    whole = sums.agg(merged_value("_state")).scalar()
+    return sums.select(group, state_value("_state").alias("total")).withColumn("share_pct", share_pct(F.col("total"), whole))

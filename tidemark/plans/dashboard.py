@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import count_where, exact_sum, row_count, share_pct
+from tidemark.functions.columns import count_where, row_count, share_pct
+from tidemark.functions.sums import exact_sum
 from tidemark.plans.business import department_budget, monthly_spend, vendor_spend
 from tidemark.sinks.files import write_csv
 
@@ -13,8 +14,8 @@ from tidemark.sinks.files import write_csv
 def kpi_cards(projects: DataFrame, transactions: DataFrame) -> DataFrame:
     """One row of headline numbers."""
     return projects.agg(
-        exact_sum(F.col("budget")).alias("total_budget"),
-        exact_sum(F.col("actual_cost")).alias("total_actual_spend"),
+        exact_sum("budget").alias("total_budget"),
+        exact_sum("actual_cost").alias("total_actual_spend"),
         share_pct(count_where(F.col("is_over_budget")), row_count()).alias("pct_over_budget_projects"),
     ).withColumn("total_transactions", transactions.agg(row_count()).scalar())
 
@@ -38,7 +39,7 @@ def top_vendors_and_rest(transactions: DataFrame, vendors: DataFrame, top: int =
     # at most ``top`` rows; spend without a vendor name is one group, so names compare null-safe
     named = F.broadcast(leaders.select(F.col("vendor_name").alias("_leader")))
     rest = spend.join(named, F.col("vendor_name").eqNullSafe(F.col("_leader")), "left_anti")
-    other = rest.agg(F.lit("Other").alias("vendor_name"), exact_sum(F.col("total_spend")).alias("total_spend"))
+    other = rest.agg(F.lit("Other").alias("vendor_name"), exact_sum("total_spend").alias("total_spend"))
     return leaders.unionByName(other.filter(F.col("total_spend").isNotNull())).orderBy(F.desc("total_spend"))
 
 

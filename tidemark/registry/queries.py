@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import count_where, exact_sum, row_count
+from tidemark.functions.columns import count_where, row_count
+from tidemark.functions.sums import exact_sum
 from tidemark.operators import matching, scd2, star
 from tidemark.operators.lookup import BROADCAST_BYTES, lookup_join, point_in_time_join
 from tidemark.operators.quantile import flag_outside_band, group_quantiles
@@ -100,7 +101,7 @@ def partitioned_events(spark, folder):
     dated = _table(spark, folder, "events").withColumn("event_date", F.to_date("ts"))
     write_table(dated, path, partition_by=["event_date"])
     return read_table(spark, path).groupBy("event_date", "event_type").agg(
-        row_count().alias("event_count"), exact_sum(F.col("value")).alias("total_value")
+        row_count().alias("event_count"), exact_sum("value").alias("total_value")
     )
 
 
@@ -214,7 +215,7 @@ def agg_conditional(spark, folder):
         row_count().alias("line_count"),
         count_where(flag == "R").alias("disputed"),
         count_where(flag == "N").alias("pending"),
-        exact_sum(F.col("l_extendedprice")).alias("total_price"),
+        exact_sum("l_extendedprice").alias("total_price"),
         F.min("l_shipdate").cast("date").alias("first_ship"),
         F.max("l_shipdate").cast("date").alias("last_ship"),
     )
@@ -330,8 +331,8 @@ def point_in_time_value(spark, folder, max_bytes=BROADCAST_BYTES):
     )
     return matched.groupBy("version_current").agg(
         row_count().alias("line_count"),
-        exact_sum(F.col("amount_aed")).alias("total_amount"),
-        exact_sum(F.col("version_salary")).alias("total_salary"),
+        exact_sum("amount_aed").alias("total_amount"),
+        exact_sum("version_salary").alias("total_salary"),
     )
 
 
@@ -730,7 +731,7 @@ def persona_view(spark, folder):
 def persona_view_aggregated(spark, folder):
     return governance.persona_view(
         _table(spark, folder, "customer"), "employees", "Executive", group=["c_mktsegment"],
-        measures={"headcount": row_count(), "total_balance": exact_sum(F.col("c_acctbal"))},
+        measures={"headcount": row_count(), "total_balance": exact_sum("c_acctbal")},
     )
 
 
