@@ -1,5 +1,6 @@
 """Order MinHash, alignment, components and cover trees against brute force."""
 
+import hashlib
 import math
 import random
 
@@ -147,6 +148,34 @@ def test_near_edge_cases(spark, rows):
     assert near_duplicate_classes(docs.limit(0)).count() == drop_near_duplicates(docs.limit(0)).count() == 0
 
 
+def near_kept(rows, similarity=0.8):
+    """Brute force of the pipeline's stage: classes of texts by alignment, then the row that stays."""
+    texts = sorted({t or "" for _, t in rows})
+    codes = near_dedup.word_codes(texts)
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(codes[i]) and len(codes[j]) and root[i] != root[j] and near_dedup.near(codes[i], codes[j], similarity):
+                root = [root[j] if r == root[i] else r for r in root]
+    best = {}
+    for id_, t in rows:
+        text = t or ""
+        order = (id_ is None, id_ or 0, hashlib.sha256(text.encode()).hexdigest())
+        best.setdefault(root[texts.index(text)], []).append((order, id_, text))
+    return sorted(((min(c)[1], min(c)[2]) for c in best.values()), key=repr)
+
+
+def test_rows_with_shared_and_missing_ids_stay(spark, rows):
+    rng = random.Random(31)
+    prose = [" ".join(f"w{rng.randrange(5000)}" for _ in range(40)) for _ in range(9)]
+    data = [(None, prose[0]), (None, prose[1]), (None, prose[2]), (5, prose[3]), (5, prose[4]), (7, prose[5]), (7, prose[6]),
+            (8, prose[3]), (9, prose[7] + " one more"), (None, prose[7]), (10, prose[7]), (None, prose[0]), (11, ""), (12, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("doc_id", "coalesce(text, '') AS text", "doc_id AS kept_at")
+    expected = near_kept(data)
+    assert len(expected) == 9
+    assert rows(drop_near_duplicates(docs), "doc_id", "text") == expected
+
+
 def test_components(spark, rows):
     path = [(k + 1, k) for k in range(30)] + [(100, 101), (102, 101), (5, 5), (100, 101), (200, 200)]
     found = rows(connected_components(spark.createDataFrame(path, "x long, y long")), "node", "component")

@@ -53,7 +53,7 @@ KEPT = 2
 LEVELS = 3  # leaders that a bucket is compared with, one at a time, before its blocks meet
 BLOCK = 512  # members of a block at most
 BLOCK_WORDS = 1 << 19  # words of a block, about
-REMEMBERED = 800_000
+REMEMBERED = 400_000  # words a worker keeps
 BATCH_BYTES = 4 << 20
 MARKS = re.compile(r"[\W_]+")
 _SEEN: dict[str, int] = {}
@@ -416,18 +416,22 @@ def near_links(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
     return members, edges
 
 
+def _classes(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(digest, component, least): every text's class and least id."""
+    classes = connected_components(links)
+    return stage(
+        members.groupBy("digest").agg(F.min("id").alias("least"))
+        .join(classes.withColumnRenamed("node", "digest"), "digest", "left")
+        .select("digest", "least", F.coalesce("component", "digest").alias("component")),
+        "near-classes")
+
+
 def near_duplicate_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
     """id, class_id (least id of the class) and kept (whether it is the row that stays), one row per input row."""
     members, links = near_links(docs, id_col, text_col, similarity)
-    classes = connected_components(links)
-    placed = (
-        members.groupBy("digest").agg(F.min("id").alias("least"))
-        .join(classes.withColumnRenamed("node", "digest"), "digest", "left")
-        .select("digest", "least", F.coalesce("component", "digest").alias("component"))
-    )
-    named = stage(placed, "near-classes")
+    named = _classes(members, links)
     least = named.groupBy("component").agg(F.min("least").alias("class_id"))
     by_digest = named.join(least, "component").select("digest", "class_id")
     return members.join(by_digest, "digest").select("id", "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
@@ -436,11 +440,15 @@ def near_duplicate_classes(
 def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
-    """The rows that stay, with all their columns: of each class the row with the least id, one of rows that share it."""
-    (key,) = fresh_names(docs, "kept_id")
-    kept = near_duplicate_classes(docs, id_col, text_col, similarity).filter("kept").select(F.col("id").alias(key)).distinct()
-    plain = docs.join(kept, F.col(id_col).eqNullSafe(F.col(key)), "left_semi")
-    again = plain.groupBy(id_col).count().filter("count > 1")
-    if again.isEmpty():
-        return plain
-    return plain.dropDuplicates([id_col])
+    """One row of each class, with all its columns: of the text that has the class's least id, the row with the least id.
+
+    Ids name rows only within a text: rows without an id and different texts under one id are told apart by their text. Where
+    a class has no id at all, and where several texts share the least one, the text with the least digest stays.
+    """
+    named = _classes(*near_links(docs, id_col, text_col, similarity))
+    best = named.groupBy("component").agg(F.min(F.struct(F.col("least").isNull(), "least", "digest")).alias("b"))
+    key, at = fresh_names(docs, "kept_digest", "kept_at")
+    texts = docs.withColumn(key, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    kept = texts.join(best.select(F.col("b.digest").alias(key)), key, "left_semi")
+    first = Window.partitionBy(key).orderBy(F.col(id_col).asc_nulls_last())
+    return kept.withColumn(at, F.row_number().over(first)).filter(F.col(at) == 1).select(*docs.columns)
