@@ -124,15 +124,17 @@ _MODELS: dict[str, QualityModel] = {}
 def with_quality(docs: DataFrame, model: QualityModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns (all, unless given) and ``quality_score``, the probability of the good class."""
     kept = docs.columns if keep is None else keep
+    sent = kept if text_col in kept else [*kept, text_col]  # the text goes to Python once
+    at = sent.index(text_col)
     (score,) = fresh_names(docs, "quality_score")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries: 224 KB at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _MODELS.setdefault(shared.value.key, shared.value)
         for batch in batches:
-            values = pa.array(own.scores([t or "" for t in batch.column(0).to_pylist()]), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], values], [f"c{k}" for k in range(len(kept) + 1)])
+            values = pa.array(own.scores([t or "" for t in batch.column(at).to_pylist()]), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], values], [f"c{k}" for k in range(len(kept) + 1)])
 
-    rows = docs.select(F.col(text_col).alias("t"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)])
-    kinds = "".join(f"{c} {t}, " for c, t in rows.dtypes[1:])
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(sent)])
+    kinds = "".join(f"{c} {t}, " for c, t in rows.dtypes[: len(kept)])
     return rows.mapInArrow(run, f"{kinds}c{len(kept)} double").toDF(*kept, score)

@@ -352,17 +352,19 @@ _MODELS: dict[str, ToxicityModel] = {}
 def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns (all, unless given) and ``toxicity``, the probability of the toxic class."""
     kept = docs.columns if keep is None else keep
+    sent = kept if text_col in kept else [*kept, text_col]  # the text goes to Python once
+    at = sent.index(text_col)
     (score,) = fresh_names(docs, "toxicity")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # the landmarks' tables: a few MB whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _MODELS.setdefault(shared.value.key, shared.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
+            texts = [t or "" for t in batch.column(at).to_pylist()]
             found = [machine.scores(texts[k : k + 1000]) for k in range(0, len(texts), 1000)]
             values = pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], values], [f"c{k}" for k in range(len(kept) + 1)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], values], [f"c{k}" for k in range(len(kept) + 1)])
 
-    rows = docs.select(F.col(text_col).alias("t"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)])
-    kinds = "".join(f"{c} {t}, " for c, t in rows.dtypes[1:])
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(sent)])
+    kinds = "".join(f"{c} {t}, " for c, t in rows.dtypes[: len(kept)])
     return rows.mapInArrow(run, f"{kinds}c{len(kept)} double").toDF(*kept, score)
