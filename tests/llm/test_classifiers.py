@@ -120,6 +120,18 @@ def test_licenses(spark, rows, licenses):
     assert license_scan.scan_licenses(docs.limit(0), licenses).count() == 0
 
 
+def test_several_licenses_of_a_line(licenses):
+    mit = "Licensed under the MIT license. See the LICENSE file for details."
+    apache = "Licensed under the Apache License, Version 2.0."
+    gpl = "This program is released under the GNU General Public License, version 3."
+    sure = lambda text: {f for _, f, _, s in licenses.paragraphs(text) if s >= license_scan.CONFIRMED}
+    assert sure(f"{mit} {apache}") == sure(f"{apache} {mit}") == {"mit", "apache"}
+    rng = random.Random(5)
+    assert sure(f"{speech(rng, 60)} {mit} {speech(rng, 90)} {apache}") == {"mit", "apache"}
+    assert sure(f"{mit}\n{apache}\n{gpl}") >= {"mit", "apache"}
+    assert sure(f"{speech(rng, 60)} the license of fishing was lost") == set()
+
+
 def test_every_template_is_its_family(licenses):
     for family, templates in license_scan.TEMPLATES.items():
         for t in templates:

@@ -163,6 +163,7 @@ class LicenseModel:
         self.templates = {f: [set(grams(words_of(t), self.known)) for t in texts] for f, texts in TEMPLATES.items()}
         told = [(t, *telling_words(t)) for own in self.templates.values() for t in own]
         self.telling_set = frozenset(w for _, words, _ in told for w in words)
+        self.telling_of = {f: frozenset(w for t in own for w in telling_words(t)[0]) for f, own in self.templates.items()}
         self.plain = [(len(t), [frozenset(g.split()) for g in t]) for t, _, enough in told if not enough]
         self.plain_words = frozenset(w for _, parts in self.plain for g in parts for w in g)
         self.allowed: dict[frozenset[str], bool] = {}
@@ -170,7 +171,7 @@ class LicenseModel:
         self._train(background, np.random.default_rng(seed))
 
     def _examples(self, background: list[str], rng: np.random.Generator) -> tuple[list[list[str]], list[int]]:
-        fill = [w for t in background[:300] for w in words_of(t)[:40]] or ["some", "other", "words"]
+        fill = [w for t in background for w in words_of(t)] or ["some", "other", "words"]
         words, y = [], []
         for family, texts in TEMPLATES.items():
             for t in texts:
@@ -258,22 +259,35 @@ class LicenseModel:
         return self.allowed[own]
 
     def paragraphs(self, text: str) -> Iterator[tuple[int, str, float, float]]:
-        """(line number, family, probability, similarity) of the lines under a license."""
+        """(line number, family, probability, similarity) of every license of a line."""
         for n, line in enumerate(text.lower().split("\n")):
             words = words_of(line)
             if not self.telling_set.isdisjoint(words) or self._allows(words):
-                best = None
-                best = None
+                best: dict[str, tuple[str, float, float]] = {}
                 for k in range(0, max(1, len(words) - LONG // 2), LONG // 2):
                     for found in self._within(words[k : k + LONG]):
-                        if found[0] != UNKNOWN and (best is None or (found[2] >= CONFIRMED, found[1]) > (best[2] >= CONFIRMED, best[1])):
-                            best = found
-                if best:
-                    yield (n, *best)
+                        family = found[0]
+                        if family != UNKNOWN and (family not in best or (found[2] >= CONFIRMED, found[1]) > (best[family][2] >= CONFIRMED, best[family][1])):
+                            best[family] = found
+                # Every confirmed family; where there is none, the likeliest.
+                sure = [found for found in best.values() if found[2] >= CONFIRMED]
+                for found in sure or sorted(best.values(), key=lambda x: (-x[1], x[0]))[:1]:
+                    yield (n, *found)
 
     def _within(self, words: list[str]) -> Iterator[tuple[str, float, float]]:
         """The stretch, and around its telling words what a notice's length covers."""
         yield self.classify(words)
+        # Several licenses that the words can hold, each with a telling word of its own: each is asked for without those of
+        # the others.
+        alike = sorted(
+            ((-self.similarity(words, f), f) for f, own in self.telling_of.items() if not own.isdisjoint(words)))
+        here: list[str] = []
+        for less, f in alike:
+            if -less >= CONFIRMED and not (self.telling_of[f] & set(words)) <= frozenset().union(*[self.telling_of[g] for g in here]):
+                here.append(f)
+        for f in here if len(here) > 1 else ():
+            others = frozenset().union(*[self.telling_of[g] for g in here if g != f]) - self.telling_of[f]
+            yield self.classify([w for w in words if w not in others])
         telling = [k for k, w in enumerate(words) if w in self.telling_set]
         if telling and len(words) > 40:
             begin = telling[0]
@@ -303,7 +317,7 @@ def _least_lines(background: int):
 def fit(docs: DataFrame, text_col: str = "text", background: int = BACKGROUND) -> LicenseModel:
     """Train against the first ``background`` distinct lines of the corpus by hash."""
     lines = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
-    lines = lines.filter(F.length("line") > 20).select(F.substring("line", 1, 4000).alias("line"))
+    lines = lines.filter(F.trim("line") != "")
     least = lines.select(F.xxhash64("line").alias("h"), "line").mapInArrow(_least_lines(background), "h bigint, line string")
     sample = least.distinct().orderBy("h", "line").limit(background)
     return LicenseModel([r["line"] for r in sample.select("line").collect()])
