@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import itertools
 import random
 import zlib
 
@@ -49,6 +50,23 @@ def test_words_equal_the_tokenizers_library(text):
     assert own == encoder.library.encode(text, add_special_tokens=False).ids
 
 
+def test_runs_of_white_space_equal_the_library():
+    spaces = [" ", "\n", "\xa0", "\t", "\u3000", "\x1c", "\x85"]
+    runs = ["".join(r) for n in range(1, 4) for r in itertools.product(spaces, repeat=n)]
+    rng = random.Random(17)
+    runs += ["".join(rng.choice([" ", " ", *spaces]) for _ in range(rng.randint(4, 6))) for _ in range(1500)]
+    texts = [f"{a}{run}{b}" for run in runs for a, b in (("a", "b"), ("", "b."), ("1", ""))]
+    library = Tokenizer.from_file(TOKENIZER)
+    own = [np.frombuffer(b, "<u4").tolist() for b in token_files.encode_texts(texts, TOKENIZER)]
+    assert own == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_files_are_numbered_beyond_five_digits(spark):
+    names = ["part-99999-x.txt", "part-100000-x.txt", "part-00002-x.txt", "part-10000-x.txt", "part-1234567-x.txt"]
+    df = spark.createDataFrame([(n,) for n in names], "file string")
+    assert [r["file"][5:-6] for r in df.orderBy(token_files.file_number("file")).collect()] == ["00002", "10000", "99999", "100000", "1234567"]
+
+
 def test_added_tokens_are_those_of_a_fresh_tokenizer():
     library = Tokenizer.from_file(TOKENIZER)
     encoder = token_files.WordEncoder(TOKENIZER)

@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices_for, stage, staging_path
@@ -67,10 +67,11 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def split_words(text: str) -> list[str]:
-    """Cuts before single blanks and around single line breaks.
+    """Cuts before blanks and around single line breaks, where the pre-tokenizer starts a piece as well.
 
-    Byte-level pre-tokenizers start a piece there whatever surrounds it. Other
-    runs of white space stay with the word before them.
+    It takes a run of white space as one piece, but for a last blank before a
+    word, which goes to the word. So there is a cut before a blank after
+    anything but white space, and before one with a word behind it.
     """
     if not text:
         return []
@@ -85,12 +86,14 @@ def split_words(text: str) -> list[str]:
 
 
 def _blank_cut(text: str) -> list[str]:
-    if "  " not in text:
-        head, *rest = text.split(" ")
-        return [head, *[" " + w for w in rest]] if head else [" " + w for w in rest]
+    """Cuts before blanks that have no white space before them, or none behind."""
+    words = text.split(" ")
+    if words == text.split():  # single blanks are its only white space, and inside
+        return [words[0], *[" " + w for w in words[1:]]]
     out, begin, k = [], 0, text.find(" ")
     while k >= 0:
-        if k > begin and text[k - 1] != " " and text[k + 1 : k + 2] not in ("", " "):
+        behind = text[k + 1 : k + 2]
+        if k > begin and (not text[k - 1].isspace() or (behind and not behind.isspace())):
             out.append(text[begin:k])
             begin = k
         k = text.find(" ", k + 1)
@@ -317,6 +320,11 @@ def read_token_files(spark: SparkSession, path: str, wanted: set[int] | None = N
     )
 
 
+def file_number(name: str) -> Column:
+    """The number of the task that wrote a file. Names are padded to five digits only, so they do not sort beyond."""
+    return F.regexp_extract(name, r"^part-(\d+)", 1).cast("long")
+
+
 def token_file_index(
     docs: DataFrame, tokenizer_file: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -330,7 +338,7 @@ def token_file_index(
     write_token_files(docs, path, tokenizer_file, end_id, id_col, text_col)
     found = stage(read_token_files(spark, path), "token-index")
     # One row per file of FILE_BYTES: a thousandth of a per cent of the rows.
-    before = found.groupBy("file").agg(F.sum("n_tokens").alias("ids")).selectExpr(
-        "file", "sum(ids) OVER (ORDER BY file) - ids AS before")
+    before = found.groupBy("file").agg(F.sum("n_tokens").alias("ids")).select(
+        "file", (F.sum("ids").over(Window.orderBy(file_number("file"), "file")) - F.col("ids")).alias("before"))
     return found.join(before, "file").select(
         "doc_id", (F.col("before") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32")
