@@ -38,6 +38,7 @@ from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -63,6 +64,9 @@ LEVEL = 1
 
 STOPS = ".,;:!?|"  # marks behind a word that are a piece of their own
 
+# Marks that are in no UTF-8 text.
+_CUT, _TEXT_END = b"\xff", b"\xfe"
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -162,13 +166,42 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""
-        words = [split_words(t) for t in texts]
-        present = set(chain.from_iterable(words))
+        out: list[bytes] = [b""] * len(texts)
+        plain = [k for k, t in enumerate(texts) if " ".join(t.split()) == t.replace("\n", " ")]
+        if plain:
+            for k, ids in zip(plain, self._encode_plain([texts[k] for k in plain]), strict=True):
+                out[k] = ids
+        odd = sorted(set(range(len(texts))).difference(plain))
+        if odd:
+            words = [split_words(texts[k]) for k in odd]
+            self._know(set(chain.from_iterable(words)))
+            for k, w in zip(odd, words, strict=True):
+                out[k] = b"".join(map(self.seen.__getitem__, w))
+        return out
+
+    def _know(self, present: set[str]) -> None:
         new = present.difference(self.seen)
         if len(self.seen) + len(new) > REMEMBERED:
             self.seen = {w: self.seen[w] for w in present.intersection(self.seen)}
         self._learn(list(new))
-        return [b"".join(map(self.seen.__getitem__, w)) for w in words]
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
+        """Texts with no white space but single blanks and line breaks between words: cut and coded as one column."""
+        data = b"".join(t.encode() + _CUT + _TEXT_END + _CUT for t in texts)
+        cut = data.replace(b" ", _CUT + b" ").replace(b"\n", _CUT + b"\n" + _CUT)
+        pieces = pc.split_pattern(pa.array([cut], pa.large_binary()), _CUT).flatten().dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        at = pieces.indices.to_numpy(zero_copy_only=False)
+        words = [w.decode() if w != _TEXT_END else "" for w in distinct]
+        self._know(set(words) - {""})
+        coded = [self.seen[w] if w else b"" for w in words]
+        sizes = np.array([len(c) // 4 for c in coded], np.int64)
+        begins, length = np.cumsum(sizes) - sizes, sizes[at]
+        ends = np.cumsum(length)
+        ids = np.frombuffer(b"".join(coded), "<u4")
+        flat = ids[np.repeat(begins[at] - ends + length, length) + np.arange(int(ends[-1]))]
+        stops = ends[at == distinct.index(_TEXT_END)].tolist()
+        return [flat[a:b].tobytes() for a, b in zip([0, *stops], stops, strict=False)]
 
 
 def encode_texts(texts: list[str], tokenizer_file: str) -> list[bytes]:
