@@ -59,7 +59,7 @@ SEEK_ROW = np.dtype([("packed", "<u4"), ("plain", "<u4"), ("check", "<u4")])
 FRAME_IDS = 1 << 20
 FILE_BYTES = 32 << 20  # text per file
 BATCH_BYTES = 4 << 20  # text encoded at a time
-REMEMBERED = 800_000  # words a worker keeps; beyond, only those of the present texts stay
+REMEMBERED = 1_200_000  # words a worker keeps; beyond, only those of the present texts stay
 LEVEL = 1
 
 STOPS = ".,;:!?|"  # marks behind a word that are a piece of their own
