@@ -682,6 +682,9 @@ ORACLE: dict[str, str] = {
         COUNT(*) FILTER (event_type = 'escalation_raised' AND severity = 'Critical') AS critical_forwarded FROM ev""",
     "stream_dedupe": f"WITH {EVENTS} SELECT event_id, event_type, user_id FROM ev",
     "stream_daily": f"WITH {EVENTS} SELECT event_date, event_type, COUNT(*) AS event_count FROM ev GROUP BY ALL",
+    "stream_unique_late": f"WITH {EVENTS} SELECT event_id, event_type, user_id FROM ev",
+    "stream_daily_restated": f"""WITH {EVENTS} SELECT event_date, event_type, SUM(1 + (event_id % 10 = 0)::INT)::BIGINT AS event_count
+      FROM ev GROUP BY ALL""",
     "column_classes": " UNION ALL ".join([
         _classes("customer", {"c_custkey": "Internal", "c_name": "PII", "c_nationkey": "Internal",
                               "c_acctbal": "Confidential", "c_mktsegment": "Internal"}),

@@ -25,6 +25,7 @@ from tidemark.session import stage, staging_path
 from tidemark.sinks.files import write_csv, write_table
 from tidemark.sources.files import calendar_between, null_profile, read_json_records, read_jsonl, read_table, read_typed_csv
 from tidemark.streaming import events as st
+from tidemark.streaming import late
 
 AS_OF = date(2001, 6, 30)
 HIRED_BY = date(2000, 6, 30)
@@ -704,6 +705,31 @@ def stream_daily(spark, folder):
     return st.latest(spark, daily, landing, ["event_date", "event_type"])
 
 
+def _scattered(spark, folder):
+    """The events with a copy of every tenth, in files that each hold times from all over the table."""
+    raw = _table(spark, folder, "events")
+    copies = raw.filter(F.col("event_id") % 10 == 0).withColumn("_copy", F.lit(1))
+    rows = raw.withColumn("_copy", F.lit(0)).unionByName(copies)
+    path = staging_path(spark, "scattered-events")
+    rows.repartition(6, F.xxhash64("event_id", "_copy")).drop("_copy").write.parquet(path)
+    files = st.file_stream(spark, path, raw.schema, pattern="*.parquet", file_format="parquet", files_per_batch=2)
+    return views.as_events(files).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+
+def stream_unique_late(spark, folder):
+    events = _scattered(spark, folder).select("event_id", "event_type", "user_id", "timestamp")
+    landing = st.Landing.fresh(spark, "unique-late")
+    late.land_unique(events, landing, keys=["event_id"], time="timestamp", late_by="1 hour")
+    parts = [late.unique_rows(spark, events, landing, late=x) for x in (False, True)]
+    return parts[0].unionByName(parts[1]).select("event_id", "event_type", "user_id")
+
+
+def stream_daily_restated(spark, folder):
+    landing = st.Landing.fresh(spark, "daily-late")
+    late.land_daily(_scattered(spark, folder), landing, time="timestamp", late_by="1 hour")
+    return late.daily_counts(spark, landing).select("event_date", "event_type", "event_count")
+
+
 # --- governance --------------------------------------------------------------
 
 CUSTOMER_CLASSES = {
@@ -769,6 +795,7 @@ QUERIES = {
         dq_distribution, dq_freshness, dq_outliers, dq_results, dq_suite, dq_gate,
         dq_table_constraints, dq_star_constraints,
         stream_ingest, stream_counts, stream_critical, stream_summary, stream_dedupe, stream_daily,
+        stream_unique_late, stream_daily_restated,
         column_classes, persona_view, persona_view_aggregated, retention_split, pseudonymise, free_text_audit,
     ]
 }
