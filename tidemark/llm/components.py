@@ -22,12 +22,18 @@ def _smaller_to_least(edges: DataFrame) -> DataFrame:
     return handed.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
 
+def _mark(edges: DataFrame) -> tuple[int, int | None]:
+    """Tells two edge sets apart; no edges have count 0."""
+    found = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+    return found[0], found[1]
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes with an edge; the component is its least node.
 
     ``edges`` has two columns of one orderable type, in any direction, repeats
     and loops allowed. Rounds grow with the logarithm of a component's
-    diameter; each is written to the shared folder, so a lost executor costs
+    diameter, and stars take one; each is written to the shared folder, so a lost executor costs
     one round. Minima are combined before the shuffle, and the joins on a node
     with very many neighbours are inner joins that adaptive execution splits.
     """
@@ -37,13 +43,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .select(F.greatest(first, second).alias("a"), F.least(first, second).alias("b")).distinct(),
         "edges",
     )
-    mark = None
-    while True:
+    before = _mark(now)
+    while before[0]:
         now = stage(_smaller_to_least(_larger_to_least(now)), "stars")
-        found = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if tuple(found) == mark:
+        after = _mark(now)
+        if after == before:
             break
-        mark = tuple(found)
+        before = after
     stars = now.groupBy("a").agg(F.min("b").alias("component"))
     roots = stars.select(F.col("component").alias("a")).distinct().withColumn("component", F.col("a"))
     return stars.unionByName(roots).withColumnRenamed("a", "node")

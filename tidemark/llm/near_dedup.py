@@ -221,24 +221,40 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verifier(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, other = batch.column(2), batch.column(3)
+            one, other = batch.column(4), batch.column(5)
             linked = [
                 near(np.frombuffer(one[k].as_buffer(), np.uint32), np.frombuffer(other[k].as_buffer(), np.uint32), similarity)
                 for k in range(batch.num_rows)
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["leader", "member", "linked"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in range(4)), pa.array(linked, pa.bool_())], ["leader", "member", "own", "part", "linked"])
 
     return run
 
 
 def _verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """(leader, member, linked) of the pairs. A leader with very many members is an inner join that is split."""
+    """(leader, member, own, part, linked) of the pairs. A leader with very many members is an inner join that is split."""
     both = (
         pairs.join(words.withColumnRenamed("words", "w1"), "member")
         .join(words.select(F.col("member").alias("leader"), F.col("words").alias("w2")), "leader")
-        .select("leader", "member", "w1", "w2")
+        .select("leader", "member", "own", "part", "w1", "w2")
     )
-    return both.mapInArrow(_verifier(similarity), "leader string, member string, linked boolean")
+    return both.mapInArrow(_verifier(similarity), "leader string, member string, own string, part string, linked boolean")
+
+
+def _joined_parts(found: DataFrame) -> DataFrame:
+    """(node, component) of the parts that verified links join.
+
+    A member has at most SKETCHES leaders. It is tied to the part of the least
+    one, and the parts of all its leaders to that one too; members with the same
+    leaders tie them once. So the search gets about one edge a member, however
+    many links a large group has.
+    """
+    asked = found.filter("linked").groupBy("member", "part").agg(F.array_sort(F.collect_set("own")).alias("owns"))
+    tied = stage(asked.groupBy("part", "owns").agg(F.count(F.lit(1)).alias("n")).select("part", "owns"), "near-tied")
+    first = F.col("owns")[0]
+    among = tied.select("owns").distinct().select(F.explode("owns").alias("a"), first.alias("b")).filter("a <> b")
+    return stage(connected_components(tied.select(F.col("part").alias("a"), first.alias("b")).unionByName(among)), "near-joined")
 
 
 def _hashed(docs: list[np.ndarray], wide: int, dims: int) -> np.ndarray:
@@ -354,7 +370,7 @@ def _exhaustive(rows: DataFrame, words: DataFrame, similarity: float) -> DataFra
 
 
 def near_links(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(members, links): every row's digest with sketches, and verified links between digests."""
+    """(members, links): every row's digest, and links between digests that join what verified links join."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = docs.select(F.col(id_col).alias("id"), F.sha2(text, 256).alias("digest"), text.alias("t"))
     members = stage(plain.select("id", "digest"), "near-members")
@@ -387,18 +403,20 @@ def near_links(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
         best = rows.filter("minor").groupBy("key").agg(F.max(F.struct("score", "member", "size", "part")).alias("l"))
         led = rows.join(best.select("key", F.col("l.member").alias("leader"), F.col("l.size").alias("led"), F.col("l.part").alias("own")), "key")
         fits = F.abs(F.col("size") - F.col("led")) <= F.floor(F.greatest("size", "led") * F.lit(1 - similarity) + 1e-9)
-        pairs = led.filter(fits & (F.col("part") != F.col("own"))).select("leader", "member").distinct()
+        pairs = led.filter(fits & (F.col("part") != F.col("own"))).select("leader", "member", "own", "part").distinct()
         if known is not None:
             pairs = pairs.join(known, ["leader", "member"], "left_anti")
         found = stage(_verified(pairs, coded, similarity), "near-verified")
-        known = found if known is None else known.unionByName(found)
-        links.append(found.filter("linked").select("leader", "member"))
+        met = found.select("leader", "member")
+        known = met if known is None else known.unionByName(met)
+        # Parts that were joined before are one node of this turn's search.
+        classes = _joined_parts(found)
+        links.append(classes.select(F.col("node").alias("leader"), F.col("component").alias("member")))
         # The leader met all of its bucket and leaves it. The rest goes on where it is not yet connected.
-        classes = connected_components(known.filter("linked").select("leader", "member"))
         rest = stage(
-            led.filter("member <> leader").select("key", "member", "size", "score")
-            .join(classes.withColumnRenamed("node", "member"), "member", "left")
-            .select("key", "member", "size", "score", F.coalesce("component", "member").alias("part")),
+            led.filter("member <> leader").select("key", "member", "size", "score", "part")
+            .join(classes.withColumnRenamed("node", "part"), "part", "left")
+            .select("key", "member", "size", "score", F.coalesce("component", "part").alias("part")),
             "near-rest")
         parts = rest.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
         main = parts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("m"), F.sum("n").alias("n")).filter("m.n < n")
