@@ -19,6 +19,7 @@ from tidemark.sources.files import (
     read_table,
     read_typed_csv,
 )
+from tidemark.sources.json_arrays import read_json_array
 
 
 def test_typed_csv(spark, tmp_path):
@@ -59,6 +60,47 @@ def test_json_records(spark, tmp_path):
     assert (two.amount, two.transaction_date, two.approved_by) == (None, None, "E1")
 
 
+NASTY = ['plain', 'a "quoted" } { [ ]', 'back\\slash \\" }', '', 'two\nlines', '\u2028 \u00e9', '}, {', ',', None]
+
+
+def nasty_records(count):
+    return [
+        {"k": k, "s": NASTY[k % len(NASTY)], "n": {"a": [k, k + 1], "t": NASTY[(k + 3) % len(NASTY)]} if k % 4 else None,
+         "l": [{"x": "}" * (k % 50)}] * (k % 3)}
+        for k in range(count)
+    ]
+
+
+@pytest.mark.parametrize("split", [64, 333, 100_000])
+def test_many_line_arrays_are_split(spark, tmp_path, split):
+    records = nasty_records(120)
+    indented = json.dumps(records[:50], indent=2)
+    (tmp_path / "a.json").write_text(indented)
+    (tmp_path / "b.json").write_text("[" + " ,\n".join(json.dumps(r, ensure_ascii=False) for r in records[50:90]) + "]\n\n")
+    (tmp_path / "c.json").write_text(indented.replace("  },\n  {", "  }, {").replace("\n", "\r\n"))
+    (tmp_path / "d.json").write_text(json.dumps(records[90:]))
+    (tmp_path / "e.json").write_text("[ ]\n")
+    (tmp_path / "f.json").write_text("")
+    (tmp_path / "g.json").write_text(json.dumps(records[7], indent=1))
+    schema = "k long, s string, n struct<a: array<long>, t: string>, l array<struct<x: string>>"
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    expected = sorted(map(repr, spark.read.schema(schema).option("multiLine", True).json(str(tmp_path)).collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        assert split > 64 or spark.read.text(str(tmp_path / "a.json")).rdd.getNumPartitions() > 50
+        found = sorted(map(repr, read_json_array(spark, str(tmp_path), spark.createDataFrame([], schema).schema).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(found) == 171 and found == expected
+
+
+def test_broken_records_of_an_array_are_told(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[\n {"k": 1},\n {"k": 2, "s": "open\n },\n {"k": 3},\n 7,\n {"k": 4},\n {"k": 5, "s"')
+    found = read_json_array(spark, str(tmp_path), spark.createDataFrame([], "k long, s string").schema, corrupt="bad").collect()
+    assert sorted(r.k for r in found if r.bad is None) == [1, 3]
+    assert len(found) == 5 and sum(r.bad is not None for r in found) == 3 and any(r.bad == '{"k": 5, "s"' for r in found)
+
+
 def events_file(folder, name, ids):
     lines = [
         json.dumps({"event_id": i, "event_type": "login", "user_id": "u", "timestamp": "2024-05-01T10:00:00",

@@ -455,6 +455,7 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'l_discount', COUNT(*) FILTER (l_orderkey % 97 = 0 OR l_discount IS NULL), COUNT(*) FROM lineitem
       UNION ALL SELECT 'l_tax', COUNT(*) - COUNT(l_tax), COUNT(*) FROM lineitem""",
     "json_round_trip": "SELECT * FROM supplier",
+    "json_array_round_trip": "SELECT * FROM documents",
     "jsonl_round_trip": f"WITH {EVENTS} SELECT event_id, event_type, project_id, user_id, "
     "event_time, severity, resolver AS resolved_by FROM ev",
     "null_profile": " UNION ALL ".join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,6 +76,22 @@ def json_round_trip(spark, folder):
     return read_json_records(spark, path, supplier.schema, date_columns=(), multi_line=False)
 
 
+def json_array_round_trip(spark, folder):
+    """Documents as arrays over many lines, one array a file and up to 100,000 documents each, read by all their splits."""
+    docs = _table(spark, folder, "documents")
+    path = staging_path(spark, "document-arrays")
+    record = F.to_json(F.struct(*docs.columns), {"pretty": "true"})
+    numbered = docs.select(F.expr("doc_id div 100000").alias("file"), "doc_id", record.alias("value"))
+    first = F.row_number().over(Window.partitionBy("file").orderBy("doc_id", "value")) == 1
+    records = numbered.withColumn("at", F.when(first, 0).otherwise(1)).select(
+        "file", "doc_id", F.concat(F.when(F.col("at") == 0, "[").otherwise(","), "value").alias("value"), "at")
+    ends = numbered.select("file").distinct().select(
+        "file", F.lit(None).cast("long").alias("doc_id"), F.lit("]").alias("value"), F.lit(2).alias("at"))
+    whole = records.unionByName(ends).repartition("file").sortWithinPartitions("file", "at", "doc_id")
+    whole.select("file", "value").write.partitionBy("file").text(path)
+    return read_json_records(spark, path, docs.schema, date_columns=())
+
+
 def jsonl_round_trip(spark, folder):
     """Events as JSON lines, read back by a name pattern."""
     path = staging_path(spark, "events-jsonl")
@@ -780,7 +796,7 @@ def free_text_audit(spark, folder):
 QUERIES = {
     fn.__name__: fn
     for fn in [
-        csv_round_trip, csv_text_round_trip, null_profile_nan, json_round_trip, jsonl_round_trip, partitioned_events, repeated_write, load_row_counts,
+        csv_round_trip, csv_text_round_trip, null_profile_nan, json_round_trip, json_array_round_trip, jsonl_round_trip, partitioned_events, repeated_write, load_row_counts,
         transform_orders, clean_customers, employee_quality_summary, status_conflicts, enrich_lineitems,
         enrich_lineitems_shuffled, winsorise_band, value_quantiles, value_quantiles_sliced, value_quantiles_nan, risk_value_counts, dedupe_first,
         agg_conditional, agg_distinct, agg_share,

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import count_where, is_filled, null_if_token, parse_date
 from tidemark.sinks.files import CSV_DIALECT
 from tidemark.sources import schemas
+from tidemark.sources.json_arrays import read_json_array
 
 CORRUPT = "_corrupt_record"
 
@@ -83,12 +84,11 @@ def read_json_records(
     date_columns: tuple[str, ...] = ("transaction_date",),
     multi_line: bool = True,
 ) -> DataFrame:
-    """JSON arrays of records.
+    """JSON arrays of records: arrays over any number of lines (``multi_line``), or one per line.
 
-    A pretty-printed array (``multi_line``) is read whole by one task, so land
-    such files as Parquet once; arrays written one per line are splittable.
+    Both are read by as many tasks as the files have splits.
     """
-    raw = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    raw = read_json_array(spark, path, schema) if multi_line else spark.read.schema(schema).json(path)
     parsed = [parse_date(F.col(c)).alias(c) if c in date_columns else F.col(c) for c in raw.columns]
     return raw.select(*parsed)
 
