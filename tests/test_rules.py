@@ -10,6 +10,7 @@ from tidemark.functions.sums import exact_sum
 from tidemark.operators.lookup import DuplicateKeyError, HotKeys, OverlapError, lookup_join, point_in_time_join
 from tidemark.operators.quantile import group_quantiles
 from tidemark.operators.scd2 import version_gaps
+from tidemark.plans import business
 from tidemark.plans.dashboard import top_vendors_and_rest
 from tidemark.quality.checks import one_look, outliers
 from tidemark.quality.config import Checks
@@ -156,3 +157,14 @@ def test_critical_records_are_keyed_by_event(spark):
     events = spark.createDataFrame([(7, "escalation_raised", "Critical"), (8, "login", None)], "event_id long, event_type string, severity string")
     found = st.critical_records(events, st.is_critical(F.col("severity"))).collect()
     assert [(r["key"], '"event_id":7' in r["value"]) for r in found] == [("7", True)]
+
+
+def test_the_total_of_concentration_reuses_the_groups(spark):
+    """Line items are read once: the total's plan reuses the shuffle of the groups."""
+    rows = spark.range(1000).selectExpr("id % 40 AS vendor_id", "id * 1.5 AS amount_aed")
+    vendors = spark.range(40).selectExpr("id AS vendor_id", "concat('v', id % 9) AS vendor_name")
+    found = business.vendor_concentration(rows, vendors, above=1.0)
+    assert found.count() == 9
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("== Initial Plan ==")[0]

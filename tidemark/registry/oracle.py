@@ -507,6 +507,8 @@ ORACLE: dict[str, str] = {
       FROM lineitem GROUP BY l_linestatus""",
     "agg_distinct": """
       SELECT l_suppkey, COUNT(DISTINCT l_orderkey) AS orders, COUNT(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY l_suppkey""",
+    "distinct_merged_days": f"""WITH {EVENTS}
+      SELECT project_id, COUNT(DISTINCT user_id) AS unique_users FROM ev WHERE project_id IS NOT NULL GROUP BY project_id""",
     "agg_share": """
       WITH g AS (SELECT l_returnflag, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS s FROM lineitem GROUP BY 1)
       SELECT l_returnflag, CAST(s AS DOUBLE) AS total,

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import count_where, row_count
 from tidemark.functions.sums import exact_sum
 from tidemark.operators import matching, scd2, star
+from tidemark.operators.distinct import distinct_counts, distinct_states, extend_codes
 from tidemark.operators.lookup import BROADCAST_BYTES, lookup_join, point_in_time_join
 from tidemark.operators.quantile import flag_outside_band, group_quantiles
 from tidemark.plans import business, cleaning, dashboard, governance, views
@@ -244,6 +245,14 @@ def agg_distinct(spark, folder):
     )
 
 
+def distinct_merged_days(spark, folder):
+    """Users and projects that met: states kept per day, merged over days into counts per project."""
+    events = ev.validate_events(views.events(spark, folder)).filter(F.col("project_id").isNotNull())
+    codes = extend_codes(events, "user_id")
+    kept = stage(distinct_states(events, ["event_date", "project_id"], "user_id", codes), "daily-users")
+    return distinct_counts(kept, ["project_id"], "unique_users")
+
+
 def agg_share(spark, folder):
     return business.share_of_total(_table(spark, folder, "lineitem"), "l_returnflag", F.col("l_extendedprice"))
 
@@ -799,7 +808,7 @@ QUERIES = {
         csv_round_trip, csv_text_round_trip, null_profile_nan, json_round_trip, json_array_round_trip, jsonl_round_trip, partitioned_events, repeated_write, load_row_counts,
         transform_orders, clean_customers, employee_quality_summary, status_conflicts, enrich_lineitems,
         enrich_lineitems_shuffled, winsorise_band, value_quantiles, value_quantiles_sliced, value_quantiles_nan, risk_value_counts, dedupe_first,
-        agg_conditional, agg_distinct, agg_share,
+        agg_conditional, agg_distinct, distinct_merged_days, agg_share,
         history_dedup, dim_customer_scd2, scd2_multi_current, scd2_version_count, scd2_overlaps,
         scd2_row_equation, scd2_gaps, scd2_multi_current_broken, scd2_overlaps_broken, scd2_gaps_broken, order_overlaps, largest_increase, manager_workload, point_in_time_value, point_in_time_value_merged,
         dim_date, dim_order, dim_vendor, bridge_customer_order, fact_lineitem, fact_lineitem_shuffled,
