@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import Running, _placed, in_order, number_rows
-from tidemark.session import stage
+from tidemark.operators.ordered import MOST_SLICES, Running, _placed, in_order, number_rows, slice_count
+from tidemark.session import shared_folder, stage
 
 
 @pytest.fixture(scope="module")
@@ -83,6 +83,44 @@ def test_number_rows_is_a_global_row_number(skewed, rows, slices):
     assert rows(got, "n", "g", "id") == rows(want, "n", "g", "id")
 
 
+def written(spark):
+    """How many tables this application has staged so far."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return len(files.listStatus(path))
+
+
+def test_small_input_is_not_written(skewed, spark):
+    before = written(spark)
+    in_order(skewed, ["g"], ["t", "id"]).running({"n": Running("sum", F.lit(1))}).rows.count()
+    number_rows(skewed, ["g", "t", "id"], "n").count()
+    assert written(spark) == before
+    in_order(skewed, ["g"], ["t", "id"], whole_rows=100)
+    number_rows(skewed, ["g", "t", "id"], "n", whole_rows=100)
+    assert written(spark) == before + 3
+
+
+def test_slices_grow_with_the_rows(spark):
+    def slices(rows):
+        df = stage(spark.range(rows).select((F.col("id") % 3 == 0).alias("g"), "id"), "grown")
+        sliced = in_order(df, ["g"], ["id"], whole_rows=1000).rows
+        sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+        assert sum(sizes) == rows and max(sizes) < 2000
+        return len(sizes)
+
+    few, many = slices(6000), slices(60_000)
+    assert 5 <= few <= 7 and 9 * few <= many <= 11 * few
+    assert slice_count(0) == 1 and slice_count(10**15) == MOST_SLICES
+
+
+@pytest.mark.parametrize("whole_rows", [100, 10_000])
+def test_numbers_by_measure_equal_a_global_row_number(skewed, rows, whole_rows):
+    got = number_rows(skewed, ["g", "t", "id"], "n", whole_rows=whole_rows)
+    want = skewed.withColumn("n", F.row_number().over(Window.orderBy("g", "t", "id")).cast("long"))
+    assert got.schema["n"].dataType == want.schema["n"].dataType
+    assert rows(got, "n", "g", "id") == rows(want, "n", "g", "id")
+
+
 def test_number_rows_with_equal_rows_is_dense(spark):
     same = spark.createDataFrame([(1,)] * 50, "a int").unionByName(spark.createDataFrame([(2,)] * 3, "a int"))
     got = [r.n for r in number_rows(same, ["a"], "n", 5).orderBy("n").collect()]

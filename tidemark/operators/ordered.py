@@ -1,9 +1,10 @@
 """Ordered computations that stay distributed when one group holds most rows.
 
 A plain ``Window.partitionBy(group)`` sends a whole group to one task, which is fine
-until a group outgrows a task. :func:`in_order` looks at the largest group first. If
-every group is small, plain windows are used: one shuffle. Otherwise the rows are
-range-split by (group, order), so that a big group spans several slices; each slice
+until a group outgrows a task. :func:`in_order` looks at the sizes of the groups first,
+reading their columns alone. If every group is small, plain windows are used: one
+shuffle, and nothing is written. Otherwise the rows are range-split by (group, order)
+into as many slices as the counted rows fill, so that a big group spans several; each slice
 computes its own running value, and what earlier slices of the same group contribute
 (the carry) is added afterwards. Because slices follow the order of the groups, only
 the first group of a slice can continue an earlier one: the carry table has at most one
@@ -24,6 +25,14 @@ SLICE = "_slice"
 # Largest group, in rows, that is left to a single task.
 WHOLE_GROUP_ROWS = 4_000_000
 
+# Largest table, in rows, that is numbered by a single task.
+WHOLE_TABLE_ROWS = 500_000
+
+# Rows of a slice, about, and slices at most. Beyond that number slices hold more rows (a slice is
+# sorted with spilling), so that what is known per slice stays small enough to broadcast.
+SLICE_ROWS = 2_000_000
+MOST_SLICES = 100_000
+
 # Last range key: tells apart equal rows of different input partitions, so that a
 # large group of copies is cut as well.
 _SPREAD = "_spread"
@@ -125,37 +134,48 @@ def in_order(
 ) -> Ordered:
     """Prepare ``df`` for running values per group.
 
-    The rows are staged, so that looking at the group sizes does not run the plan
-    behind them twice. Splitting stages them again with their slice number: range
-    boundaries come from a sample, and a second evaluation could cut elsewhere.
-    ``order`` must make the rows of a group distinct (or leave only interchangeable
-    ones). Rows of a null group get no carry. ``slices`` forces a split into that many.
+    The groups are counted from the plan of ``df`` with all other columns pruned, and rows
+    are written only where a group has to be split: once before the split, whose boundaries
+    Spark samples in a pass of its own, and once with the slice numbers, as a second
+    evaluation could cut elsewhere. ``order`` must make the rows of a group distinct (or
+    leave only interchangeable ones). Rows of a null group get no carry. ``slices`` forces a
+    split into that many; otherwise their number follows the counted rows.
     """
-    held = stage(df, "ordered")
     if slices is None:
-        sizes = held.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.agg(F.max("n")).first()[0] or 0
-        if largest <= whole_rows:
-            return Ordered(held, group, order, split=False)
-    ranged = _range_split(held, [*group, *order], slices)
+        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+        largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+        if (largest or 0) <= whole_rows:
+            return Ordered(df, group, order, split=False)
+        slices = slice_count(total, min(SLICE_ROWS, whole_rows))
+    ranged = _range_split(stage(df, "ordered"), [*group, *order], slices)
     sliced = stage(ranged.drop(_SPREAD).withColumn(SLICE, F.spark_partition_id()), "slices")
     return Ordered(sliced, group, order, split=True)
 
 
-def _range_split(df: DataFrame, keys: list[str], slices: int | None) -> DataFrame:
-    spread = df.withColumn(_SPREAD, F.spark_partition_id())
-    if slices:
-        return spread.repartitionByRange(slices, *keys, _SPREAD)
-    return spread.repartitionByRange(*keys, _SPREAD)
+def slice_count(rows: int, slice_rows: int = SLICE_ROWS) -> int:
+    """Slices that ``rows`` fill: in proportion to them, up to ``MOST_SLICES``."""
+    return max(1, min(MOST_SLICES, -(-rows // max(1, slice_rows))))
+
 
+def _range_split(df: DataFrame, keys: list[str], slices: int) -> DataFrame:
+    return df.withColumn(_SPREAD, F.spark_partition_id()).repartitionByRange(slices, *keys, _SPREAD)
 
-def number_rows(df: DataFrame, order: list[str], name: str, slices: int | None = None) -> DataFrame:
-    """Dense 1..n numbering in ``order`` without a single-task window.
 
-    Sort each range slice, number inside it, and add the sizes of the earlier
-    slices (one row per slice, broadcast). Equal to a global ``row_number`` when
-    ``order`` leaves no ties but interchangeable rows.
+def number_rows(
+    df: DataFrame, order: list[str], name: str, slices: int | None = None, whole_rows: int = WHOLE_TABLE_ROWS
+) -> DataFrame:
+    """Dense 1..n numbering in ``order``, equal to a global ``row_number``.
+
+    A table of at most ``whole_rows`` counted rows is numbered by one window. A larger
+    one is cut into range slices: sort each, number inside it, and add the sizes of the
+    earlier slices (one row per slice, broadcast), without a single task that sees all
+    rows. ``order`` must leave no ties but interchangeable rows. ``slices`` forces a cut.
     """
+    if slices is None:
+        rows = df.select(*order).count()
+        if rows <= whole_rows:
+            return df.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias(name), *df.columns)
+        slices = slice_count(rows, min(SLICE_ROWS, whole_rows))
     staged = _placed(df, order, slices)
     part = F.shiftright("_pos", _POSITION_BITS)
     sizes = staged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
@@ -167,7 +187,7 @@ def number_rows(df: DataFrame, order: list[str], name: str, slices: int | None =
     )
 
 
-def _placed(df: DataFrame, order: list[str], slices: int | None) -> DataFrame:
+def _placed(df: DataFrame, order: list[str], slices: int) -> DataFrame:
     """``df`` sorted over range slices, with its slice and position in ``_pos``."""
     ranged = _range_split(df, order, slices).drop(_SPREAD)
     placed = ranged.sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import date_key
 from tidemark.operators.lookup import BROADCAST_BYTES, HotKeys, lookup_join, point_in_time_join
 from tidemark.operators.ordered import number_rows
+from tidemark.session import stage
 
 
 def dim_date(days: DataFrame) -> DataFrame:
@@ -75,7 +76,11 @@ def fact_transactions(
     ``order`` is the natural order of the surrogate key, ``columns`` are kept as
     they are. Transactions without a match keep a null key. Dimensions above
     ``max_bytes`` are shuffled; the hot keys of both lookups are counted in one pass.
+    Of projects and vendors only the pairs of keys are written, so that measuring and
+    joining them does not build the dimensions twice.
     """
+    projects = stage(projects.select("project_id", "project_key"), "project-keys")
+    vendors = stage(vendors.select("vendor_id", "vendor_key"), "vendor-keys")
     hot = HotKeys(transactions, ["project_id", "vendor_id"])
     with_project = lookup_join(
         transactions, projects, {"project_id": "project_id"}, ["project_key"], max_bytes=max_bytes, hot=hot)
