@@ -57,7 +57,8 @@ MARKS = re.compile(r"[\W_]+")
 
 def _plain(token: str) -> str:
     """The token without marks, behind a sign for its beginning: "i.d-iot" reads "^idiot"."""
-    return "^" + MARKS.sub("", token.lower())
+    low = token.lower()
+    return "^" + (low if low.isalnum() else MARKS.sub("", low))
 
 
 def _windows(word: str) -> list[str]:
@@ -115,9 +116,9 @@ class KernelMap:
         self.weights = np.zeros((len(rows) + 1, m), np.float32)  # row 0: subsequences of no landmark
         for row, j, weight in parts:
             self.weights[row, j] += weight
-        self.row_of = np.zeros(1 << BITS, np.int32)
+        self.row_of = np.zeros((1 << BITS) + 1, np.int32)  # the last place is that of code -1
         self.row_of[list(rows)] = list(rows.values())
-        self.most = self.weights.max(axis=1)
+        self.most_of = self.weights.max(axis=1)[self.row_of]
 
     def similar(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the words with a value of at least ``FLOOR``, and their squared kernel values."""
@@ -125,17 +126,16 @@ class KernelMap:
             return np.zeros(0, np.int64), np.zeros((0, len(self.landmarks)), np.float32)
         bound, least, found = np.zeros(len(words)), np.zeros(len(words)), []
         for weight, code in _codes(words):
-            row = np.where(code >= 0, self.row_of[code], 0)
-            bound += weight * self.most[row].sum(axis=1)
+            bound += weight * self.most_of[code].sum(axis=1)
             least += weight * weight * (code >= 0).sum(axis=1)
-            found.append((weight, row))
+            found.append((weight, code))
         near = np.flatnonzero(bound >= FLOOR * np.sqrt(least) - 1e-6)
         near = near[least[near] > 0]
         if not near.size:
             return near, np.zeros((0, len(self.landmarks)), np.float32)
         value = np.zeros((near.size, len(self.landmarks)), np.float32)
-        for weight, row in found:
-            row = row[near]
+        for weight, code in found:
+            row = self.row_of[code[near]]
             for k in range(row.shape[1]):
                 hit = np.flatnonzero(row[:, k])
                 value[hit] += weight * self.weights[row[hit, k]]
@@ -149,14 +149,13 @@ class ToxicityModel:
     def __init__(self, kernel: KernelMap, weights: np.ndarray, bias: float, slope: float, shift: float):
         self.kernel, self.weights, self.bias, self.slope, self.shift = kernel, weights, bias, slope, shift
         self.features: dict[str, np.ndarray | None] = {}
+        self.near: set[str] = set()  # the words whose features are not None
         self.key = uuid.uuid4().hex
 
     def __getstate__(self):
-        return self.__dict__ | {"features": {}}
+        return self.__dict__ | {"features": {}, "near": set()}
 
     def _learn_words(self, words: list[str]) -> None:
-        if len(self.features) + len(words) > REMEMBERED:
-            self.features.clear()
         for begin in range(0, len(words), 20_000):
             part = words[begin : begin + 20_000]
             windows = [_windows(w) for w in part]
@@ -166,22 +165,22 @@ class ToxicityModel:
             for i, v in zip(owner[at].tolist(), value, strict=True):
                 known = self.features[part[i]]
                 self.features[part[i]] = v if known is None else np.maximum(known, v)
+                self.near.add(part[i])
 
     def sentences(self, texts: list[str]) -> list[list[np.ndarray]]:
         """Per text the landmark values of its sentences; sentences near no landmark are left out."""
         tokens = [t.split() for t in texts]
         spelled = [self._spelled(t) for t in tokens]
-        known = self.features
-        words = set(chain.from_iterable(tokens)) | set(chain.from_iterable(spelled))
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(words)
-        self._learn_words(new)
+        words = set(chain.from_iterable(tokens)).union(*spelled)
+        new = words.difference(self.features)
+        if len(self.features) + len(new) > REMEMBERED:
+            self.features = {w: self.features[w] for w in words.difference(new)}
+            self.near = {w for w, v in self.features.items() if v is not None}
+        self._learn_words(list(new))
         out = []
         for text, token, joined in zip(texts, tokens, spelled, strict=True):
-            hits = {w for w in token if known[w] is not None}
-            found = [known[w] for w in joined if known[w] is not None]
+            hits = self.near.intersection(token)
+            found = [self.features[w] for w in joined if w in self.near]
             if hits:
                 found += self._by_sentence(text, hits)
             out.append(found)
@@ -189,17 +188,21 @@ class ToxicityModel:
 
     def _by_sentence(self, text: str, hits: set[str]) -> list[np.ndarray]:
         """A sentence ends with its line, or behind a token that ends with a full stop or the like."""
-        found, values = [], []
+        found = []
         for line in text.split("\n"):
-            for token in line.split():
+            line_tokens = line.split()
+            if hits.isdisjoint(line_tokens):
+                continue
+            held = None
+            for token in line_tokens:
                 if token in hits:
-                    values.append(self.features[token])
-                if values and token[-1] in ".!?":
-                    found.append(np.max(values, axis=0))
-                    values = []
-            if values:
-                found.append(np.max(values, axis=0))
-                values = []
+                    value = self.features[token]
+                    held = value if held is None else np.maximum(held, value)
+                if held is not None and token[-1] in ".!?":
+                    found.append(held)
+                    held = None
+            if held is not None:
+                found.append(held)
         return found
 
     @staticmethod
