@@ -164,7 +164,8 @@ class ToxicityModel:
             self.features.update(dict.fromkeys(part))
             for i, v in zip(owner[at].tolist(), value, strict=True):
                 known = self.features[part[i]]
-                self.features[part[i]] = v if known is None else np.maximum(known, v)
+                # a copy: a word kept for long would hold on to the values of all words learned with it
+                self.features[part[i]] = v.copy() if known is None else np.maximum(known, v)
                 self.near.add(part[i])
 
     def sentences(self, texts: list[str]) -> list[list[np.ndarray]]:
