@@ -2,14 +2,17 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators.lookup import (
     DuplicateKeyError,
+    HotKeys,
     lookup_join,
     measure,
     missing_references,
     point_in_time_join,
 )
+from tidemark.session import stage
 
 
 @pytest.fixture(scope="module")
@@ -147,3 +150,49 @@ def test_point_in_time_edges(spark, rows):
             columns={"label": "label"}, max_bytes=limit,
         )
         assert rows(got, "id", "label") == [(1, None), (2, "old"), (3, "new")]
+
+
+def test_lookups_by_one_key_share_a_shuffle(spark):
+    """Also where keys are missing, as long as few are."""
+    fact = spark.range(4000).selectExpr("id", "if(id = 7, null, id) AS k")
+    dim = spark.range(0, 4000, 2).selectExpr("id AS key", "concat('n', id) AS name", "id % 3 AS kind")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how, rows in (("left", 4000), ("inner", 2000)):
+            once = lookup_join(fact, dim, {"k": "key"}, ["name"], how=how, max_bytes=0)
+            both = lookup_join(once, dim, {"k": "key"}, ["kind"], how=how, max_bytes=0)
+            assert both._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
+            assert both.count() == rows and both.filter("name = concat('n', k) AND kind = k % 3").count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_many_missing_keys_do_not_fill_one_task(spark):
+    fact = spark.range(8000).selectExpr("id", "if(id % 2 = 0, null, id) AS k")
+    dim = spark.range(8000).selectExpr("id AS key", "id AS name")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for hot in (None, HotKeys(fact, ["id", "k"])):
+            got = lookup_join(fact, dim, {"k": "key"}, ["name"], max_bytes=0, hot=hot)
+            sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 8000 and max(sizes) < 3000 and got.filter("name = k").count() == 4000
+        assert hot.rows() == HotKeys(fact, ["id"]).rows() == 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_point_in_time_moves_only_the_columns_asked_for(spark, rows):
+    versions = spark.createDataFrame([(k, date(2024, 1, 1), date(2024, 6, 30), k * 10) for k in range(4)], "who int, a date, b date, n int")
+    fact = stage(spark.createDataFrame([(i, i % 5, date(2024, 1 + i % 12, 1), "x" * 50) for i in range(60)], "id int, w int, day date, note string"), "fact")
+    got = point_in_time_join(
+        fact, versions, key="w", date="day", order=["id", "note"], version_key="who", valid_from="a", valid_to="b",
+        columns={"n": "n"}, max_bytes=0, counted=fact.select("w"),
+    )
+    assert got.schema["day"].dataType == fact.schema["day"].dataType and got.columns == ["id", "w", "day", "note", "n"]
+    narrow = got.select("id", "n")
+    assert "note" not in narrow._jdf.queryExecution().executedPlan().toString()
+    assert rows(narrow) == rows(fact.selectExpr("id", "if(month(day) <= 6 AND w < 4, w * 10, null) AS n"))

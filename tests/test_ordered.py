@@ -141,3 +141,20 @@ def test_unknown_kind_is_refused(skewed):
     ordered = in_order(skewed, ["g"], ["t", "id"])
     with pytest.raises(ValueError):
         ordered.running({"x": Running("median", F.col("v"))})
+
+
+def test_known_rows_are_not_counted(skewed, spark, rows):
+    """Neither the rows of a table nor the groups of one are counted from a plan that costs more than another."""
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            evaluated.add(batch.num_rows)
+            yield batch
+
+    costly = skewed.mapInArrow(seen, skewed.schema)
+    number_rows(costly, ["g", "t", "id"], "n", rows=900)
+    in_order(costly, ["g"], ["t", "id"], counted=skewed)
+    assert evaluated.value == 0
+    got = number_rows(costly, ["g", "t", "id"], "n", whole_rows=100, rows=900)
+    assert rows(got, "n", "g", "id") == rows(number_rows(skewed, ["g", "t", "id"], "n"), "n", "g", "id")

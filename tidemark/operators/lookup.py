@@ -84,17 +84,25 @@ class HotKeys:
 
     def __init__(self, base: DataFrame, columns: list[str]):
         self.base, self.columns = base, columns
+        self._counts: DataFrame | None = None
         self._found: DataFrame | None = None
 
+    def rows(self) -> int:
+        """Rows of the base, from the counted keys where there are some."""
+        if self._counts is None:
+            return self.base.count()
+        return self._counts.filter(F.col("c") == self.columns[0]).agg(F.sum("_n")).first()[0] or 0
+
     def of(self, column: str, name: str) -> DataFrame:
-        """The hot values of ``column`` as a small table with one column ``name``."""
+        """The hot values of ``column`` as a small table with one column ``name``; null is one of them."""
         if self._found is None:
             pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in self.columns])
             counts = (
-                self.base.select(F.explode(pairs).alias("p")).filter(F.col("p.v").isNotNull())
+                self.base.select(F.explode(pairs).alias("p"))
                 .groupBy("p.c", "p.v").agg(F.count(F.lit(1)).alias("_n"))
             )
-            self._found = stage(_over_bound(stage(counts, "key-counts"), ["c"]), "hot-keys")
+            self._counts = stage(counts, "key-counts")
+            self._found = stage(_over_bound(self._counts, ["c"]), "hot-keys")
         kind = self.base.schema[column].dataType
         return self._found.filter(F.col("c") == column).select(F.col("v").cast(kind).alias(name))
 
@@ -155,7 +163,8 @@ def _join_apart(
 ) -> DataFrame:
     """Shuffle join for the many small keys, broadcast join for the few hot ones, in one pass.
 
-    Facts answered by the broadcast, and facts without a key, go through the shuffle
+    Where no key is hot, nor the missing key, it is a plain join, whose partitions the next
+    lookup by the same key can use without another shuffle. Otherwise facts answered by the broadcast, and facts without a key, go through the shuffle
     with an empty key and a salt, which spreads them evenly and matches nothing.
     """
     fact_keys = list(on)
@@ -165,6 +174,9 @@ def _join_apart(
         hot = known.of(fact_keys[0], side_keys[0])
     else:
         hot = _hot_keys(fact, fact_keys, side_keys)
+    if hot.isEmpty():
+        return fact.join(side, _match(on), how)
+    hot = hot.dropna()
     # at most 1 / HOT_SHARE rows, and one for each HOT_ROWS rows of the fact
     found = side.join(F.broadcast(hot), side_keys, "left_semi").withColumn("_found", F.lit(True))
     hot_side = hot.join(F.broadcast(found), side_keys, "left").select(
@@ -201,11 +213,8 @@ def _join_apart(
 
 
 def _hot_keys(fact: DataFrame, fact_keys: list[str], side_keys: list[str]) -> DataFrame:
-    """The keys above ``HOT_SHARE`` or ``HOT_ROWS``, as a small stored table."""
-    present = F.lit(True)
-    for key in fact_keys:
-        present = present & F.col(f"`{key}`").isNotNull()
-    keyed = fact.filter(present).select(*[F.col(f"`{k}`").alias(s) for k, s in zip(fact_keys, side_keys)])
+    """The keys above ``HOT_SHARE`` or ``HOT_ROWS``, missing ones too, as a small stored table."""
+    keyed = fact.select(*[F.col(f"`{k}`").alias(s) for k, s in zip(fact_keys, side_keys)])
     counts = keyed.groupBy(*side_keys).agg(F.count(F.lit(1)).alias("_n"))
     return stage(_over_bound(stage(counts, "key-counts"), []).select(*side_keys), "hot-keys")
 
@@ -229,13 +238,14 @@ def point_in_time_join(
     *,
     key: str,
     date: str,
-    order: list[str],
+    order: list[str] | None = None,
     version_key: str,
     valid_from: str,
     valid_to: str,
     columns: dict[str, str],
     max_bytes: int = BROADCAST_BYTES,
     slices: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the columns of the version valid on the fact's date (both ends inclusive).
 
@@ -245,7 +255,8 @@ def point_in_time_join(
     per fact. Versions without key, start or end match nothing. A measured small version table is broadcast and matched by
     range; otherwise facts and versions are merged in date order and each fact
     takes the last version started, with groups of any size spread over slices.
-    ``order`` names fact columns that tell facts of equal key and date apart.
+    ``order`` has no effect: facts of equal key and date take the same version. ``counted``
+    is a frame with the facts' keys that costs less to count than ``fact``.
     """
     side = versions.select(
         F.col(version_key).alias("_k0"),
@@ -265,31 +276,35 @@ def point_in_time_join(
         in_range = (F.col(f"`{key}`") == F.col("_k0")) & F.col(date).between(F.col("_from"), F.col("_to"))
         joined = fact.join(F.broadcast(side), in_range, "left")
     else:
-        joined = _latest_started(fact, side, key, date, order, slices)
+        joined = _latest_started(fact, side, key, date, fact if counted is None else counted, slices)
     return joined.select(
         *[F.col(f"`{c}`") for c in fact.columns], *[F.col(f"_version.{n}").alias(n) for n in columns]
     )
 
 
-def _latest_started(fact, side, key, date, order, slices):
+def _latest_started(fact, side, key, date, counted, slices):
     """Facts and versions in one date order; a fact takes the last version started before it.
 
     Facts without key find no version in their group, those without date sort before all.
+    The columns of the facts stay columns, so that those not asked for are not shuffled.
     """
-    rows = fact.select(
-        F.col(key).alias("_id"), F.col(date).alias("_on"), F.lit(1).alias("_kind"),
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-        F.struct(*[F.col(c) for c in fact.columns]).alias("_fact"),
-    )
-    starts = side.filter(F.col("_k0").isNotNull() & F.col("_from").isNotNull()).select(
+    starts = side.select(
         F.col("_k0").alias("_id"), F.col("_from").alias("_on"), F.lit(0).alias("_kind"),
         F.struct("_to", "_version").alias("_start"),
     )
+    shared = {
+        c: part for c, part in ((key, "_id"), (date, "_on")) if fact.schema[c].dataType == starts.schema[part].dataType
+    }
+    names = {c: shared.get(c, f"_f{i}") for i, c in enumerate(fact.columns)}
+    rows = fact.select(
+        F.col(f"`{key}`").alias("_id"), F.col(f"`{date}`").alias("_on"), F.lit(1).alias("_kind"),
+        *[F.col(f"`{c}`").alias(n) for c, n in names.items() if c not in shared],
+    )
     merged = rows.unionByName(starts, allowMissingColumns=True)
-    ordering = ["_on", "_kind", *[f"_o{i}" for i in range(len(order))]]
-    ordered = in_order(merged, ["_id"], ordering, slices=slices)
+    keys = counted.select(F.col(f"`{key}`").alias("_id")).unionByName(starts.select("_id"))
+    ordered = in_order(merged, ["_id"], ["_on", "_kind"], slices=slices, counted=keys)
     latest = ordered.running({"_latest": Running("last", F.col("_start"))})
     return latest.rows.filter(F.col("_kind") == 1).select(
-        "_fact.*",
+        *[F.col(n).alias(c) for c, n in names.items()],
         F.when(F.col("_latest._to") >= F.col("_on"), F.col("_latest._version")).alias("_version"),
     )

@@ -131,6 +131,7 @@ def in_order(
     *,
     slices: int | None = None,
     whole_rows: int = WHOLE_GROUP_ROWS,
+    counted: DataFrame | None = None,
 ) -> Ordered:
     """Prepare ``df`` for running values per group.
 
@@ -139,10 +140,11 @@ def in_order(
     Spark samples in a pass of its own, and once with the slice numbers, as a second
     evaluation could cut elsewhere. ``order`` must make the rows of a group distinct (or
     leave only interchangeable ones). Rows of a null group get no carry. ``slices`` forces a
-    split into that many; otherwise their number follows the counted rows.
+    split into that many; otherwise their number follows the counted rows. ``counted`` is a frame
+    with the same groups that costs less to count than ``df``.
     """
     if slices is None:
-        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+        sizes = (df if counted is None else counted).groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
         largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
         if (largest or 0) <= whole_rows:
             return Ordered(df, group, order, split=False)
@@ -162,7 +164,8 @@ def _range_split(df: DataFrame, keys: list[str], slices: int) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, order: list[str], name: str, slices: int | None = None, whole_rows: int = WHOLE_TABLE_ROWS
+    df: DataFrame, order: list[str], name: str, slices: int | None = None, whole_rows: int = WHOLE_TABLE_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Dense 1..n numbering in ``order``, equal to a global ``row_number``.
 
@@ -170,9 +173,11 @@ def number_rows(
     one is cut into range slices: sort each, number inside it, and add the sizes of the
     earlier slices (one row per slice, broadcast), without a single task that sees all
     rows. ``order`` must leave no ties but interchangeable rows. ``slices`` forces a cut.
+    ``rows`` is the number of rows where it is known, which spares counting them.
     """
     if slices is None:
-        rows = df.select(*order).count()
+        if rows is None:
+            rows = df.select(*order).count()
         if rows <= whole_rows:
             return df.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias(name), *df.columns)
         slices = slice_count(rows, min(SLICE_ROWS, whole_rows))

@@ -89,12 +89,16 @@ def fact_transactions(
     resolved = point_in_time_join(
         with_vendor, employees, key="approved_by", date="transaction_date", order=order,
         version_key="employee_id", valid_from="valid_from", valid_to="valid_to",
-        columns={"employee_key": "employee_key"}, max_bytes=max_bytes, slices=slices,
+        columns={"employee_key": "employee_key"}, max_bytes=max_bytes, slices=slices, counted=transactions,
     )
     kept = [c for c in columns if c not in order]
-    keyed = resolved.select(
-        *order, "project_key", "employee_key", "vendor_key",
+    keys = ["project_key", "employee_key", "vendor_key"]
+    carried = list(dict.fromkeys([*order, *keys, "transaction_date", "amount_aed", *kept]))
+    # every lookup keeps the number of rows, so those of the transactions are counted
+    numbered = number_rows(
+        resolved.select(*carried), order, "transaction_key", slices, rows=None if slices else hot.rows())
+    return numbered.select(
+        "transaction_key", *order, *keys,
         date_key(F.col("transaction_date")).alias("date_key"),
         F.col("amount_aed").alias("amount"), *kept,
     )
-    return number_rows(keyed, order, "transaction_key", slices)
