@@ -160,3 +160,14 @@ def test_a_damaged_frame_is_noticed():
     with pytest.raises(ValueError, match="checksum"):
         reader.read(0)
     assert reader.read(1).tolist() == list(range(50))
+
+
+def test_known_words_are_kept_by_their_bytes():
+    library = Tokenizer.from_file(TOKENIZER)
+    encoder = token_files.WordEncoder(TOKENIZER)
+    texts = ["The été, the été! Über... naïve", "one\ntwo;  three", "", "The été, the été! Über... naïve"]
+    own = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert own == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.seen and all(type(w) is bytes for w in encoder.seen)
+    encoder._learn = lambda new: pytest.fail("known words again") if new else None
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == own

@@ -121,7 +121,9 @@ class WordEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.seen: dict[str, bytes] = {}
+        # Those that letters and stops alone can spell; no other can be in a word that the model is asked for.
+        self.spelled = [t for t in self.added if all(c.isalpha() or c in STOPS or c == " " for c in t)]
+        self.seen: dict[bytes, bytes] = {}  # by the word's UTF-8: known words need no decoding
         # The letters that stand for bytes, asked from the library: of ASCII, and of second and first bytes of pairs.
         ask = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.byte_letters = {b: ask(chr(b))[0][0] for b in range(0x80)}
@@ -144,25 +146,27 @@ class WordEncoder:
         """Latin, Greek and Cyrillic letters behind at most one blank."""
         return word.removeprefix(" ").isalpha() and (word.isascii() or max(word) < "\u0500")
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         seen, rest = self.seen, []
-        for word in words:
+        for raw in words:
+            word = raw.decode()
             core = word.rstrip(STOPS)
-            if not self.direct or not self._letters(core) or any(t in word for t in self.added):
+            if not self.direct or not self._letters(core) or (self.spelled and any(t in word for t in self.spelled)):
                 rest.append(word)
             elif core == word:
-                seen[word] = self._packed(self._model_ids(word))
+                seen[raw] = self._packed(self._model_ids(word))
             else:
                 stops = word[len(core) :]
-                for part in (core, stops):
-                    if part not in seen:
-                        ids = self._model_ids(part) if part is core else self.library.encode(part, add_special_tokens=False).ids
-                        seen[part] = self._packed(ids)
-                seen[word] = seen[core] + seen[stops]
+                begin, end = raw[: -len(stops)], raw[-len(stops) :]  # stops are one byte each
+                if begin not in seen:
+                    seen[begin] = self._packed(self._model_ids(core))
+                if end not in seen:
+                    seen[end] = self._packed(self.library.encode(stops, add_special_tokens=False).ids)
+                seen[raw] = seen[begin] + seen[end]
         for k in range(0, len(rest), 20_000):
             part = rest[k : k + 20_000]
             for word, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                seen[word] = self._packed(e.ids)
+                seen[word.encode()] = self._packed(e.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""
@@ -173,13 +177,13 @@ class WordEncoder:
                 out[k] = ids
         odd = sorted(set(range(len(texts))).difference(plain))
         if odd:
-            words = [split_words(texts[k]) for k in odd]
+            words = [[w.encode() for w in split_words(texts[k])] for k in odd]
             self._know(set(chain.from_iterable(words)))
             for k, w in zip(odd, words, strict=True):
                 out[k] = b"".join(map(self.seen.__getitem__, w))
         return out
 
-    def _know(self, present: set[str]) -> None:
+    def _know(self, present: set[bytes]) -> None:
         new = present.difference(self.seen)
         if len(self.seen) + len(new) > REMEMBERED:
             self.seen = {w: self.seen[w] for w in present.intersection(self.seen)}
@@ -192,9 +196,8 @@ class WordEncoder:
         pieces = pc.split_pattern(pa.array([cut], pa.large_binary()), _CUT).flatten().dictionary_encode()
         distinct = pieces.dictionary.to_pylist()
         at = pieces.indices.to_numpy(zero_copy_only=False)
-        words = [w.decode() if w != _TEXT_END else "" for w in distinct]
-        self._know(set(words) - {""})
-        coded = [self.seen[w] if w else b"" for w in words]
+        self._know(set(distinct) - {b"", _TEXT_END})
+        coded = [self.seen[w] if w and w != _TEXT_END else b"" for w in distinct]
         sizes = np.array([len(c) // 4 for c in coded], np.int64)
         begins, length = np.cumsum(sizes) - sizes, sizes[at]
         ends = np.cumsum(length)
@@ -262,7 +265,7 @@ def write_token_files(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    size = rows.agg(F.sum(F.length("t").cast("long"))).first()[0] or 0
+    size = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
     n = slices_for(spark, size, file_bytes)
     ordered = (
         rows.withColumn("h", F.xxhash64("t")).withColumn("at", F.monotonically_increasing_id())
