@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import piece_bpe, token_files
+from tidemark.llm import common, near_dedup, piece_bpe, token_files
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -171,3 +171,12 @@ def test_known_words_are_kept_by_their_bytes():
     assert encoder.seen and all(type(w) is bytes for w in encoder.seen)
     encoder._learn = lambda new: pytest.fail("known words again") if new else None
     assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == own
+
+
+def test_a_worker_keeps_words_of_one_operator_at_a_time():
+    pieces = common.worker_cache(("pieces", "model"), dict)
+    pieces["word"] = 1
+    assert common.worker_cache(("pieces", "model"), dict) is pieces
+    near_dedup.word_codes(["some words"])
+    assert set(common.worker_cache(("word codes",), dict)) == {"some", "words"} and len(common._KEPT) == 1
+    assert common.worker_cache(("pieces", "model"), dict) == {}

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable
 from functools import reduce
+from typing import Any
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +16,11 @@ from tidemark.session import stage, staging_path
 
 __all__ = [
     "class_sizes", "fresh_names", "held_out", "logistic_1d", "slices_for", "stage", "staging_path", "table",
-    "training_rows", "whole_text",
+    "training_rows", "whole_text", "worker_cache",
 ]
 
+_KEPT: dict[tuple[str, ...], Any] = {}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -25,6 +31,19 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def worker_cache(owner: tuple[str, ...], make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps between tasks, of one owner at a time.
+
+    Workers outlive a stage: what another operator, or an earlier model, has kept is let go first.
+    """
+    if owner not in _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _KEPT[owner] = make()
+    return _KEPT[owner]
+
+
 def fresh_names(df: DataFrame, *wanted: str) -> list[str]:
     """Names close to the wanted ones that no column of ``df`` carries."""
     taken = {name.lower() for name in df.columns}

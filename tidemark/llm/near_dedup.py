@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh_names, stage
+from tidemark.llm.common import fresh_names, stage, worker_cache
 from tidemark.llm.components import connected_components
 
 WORDS = 5
@@ -56,23 +56,23 @@ BLOCK_WORDS = 1 << 19  # words of a block, about
 REMEMBERED = 400_000  # words a worker keeps
 BATCH_BYTES = 4 << 20
 MARKS = re.compile(r"[\W_]+")
-_SEEN: dict[str, int] = {}
 
 
 def word_codes(texts: list[str]) -> list[np.ndarray]:
     """Per text its words as 32-bit hashes."""
     tokens = [t.split() for t in texts]
     present = set().union(*tokens) if tokens else set()
-    if len(_SEEN) + len(present) > REMEMBERED:
-        kept = {w: _SEEN[w] for w in present if w in _SEEN}
-        _SEEN.clear()
-        _SEEN.update(kept)
-    for w in present.difference(_SEEN):
+    seen: dict[str, int] = worker_cache(("word codes",), dict)
+    if len(seen) + len(present) > REMEMBERED:
+        kept = {w: seen[w] for w in present if w in seen}
+        seen.clear()
+        seen.update(kept)
+    for w in present.difference(seen):
         plain = MARKS.sub("", w.lower())
-        _SEEN[w] = xxhash.xxh32_intdigest(plain.encode()) if plain else -1
+        seen[w] = xxhash.xxh32_intdigest(plain.encode()) if plain else -1
     out = []
     for t in tokens:
-        codes = np.fromiter(map(_SEEN.__getitem__, t), np.int64, len(t))
+        codes = np.fromiter(map(seen.__getitem__, t), np.int64, len(t))
         out.append(codes[codes >= 0].astype(np.uint32))
     return out
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh_names
+from tidemark.llm.common import fresh_names, worker_cache
 
 BLANK = "▁"
 BREAK = "\n"
@@ -262,7 +262,6 @@ class MergeVocabulary:
 
 
 _LOADED: dict[str, MergeVocabulary] = {}
-_SEEN: dict[str, dict[str, tuple[list[int], str]]] = {}
 
 
 def vocabulary(model_file: str) -> MergeVocabulary:
@@ -276,7 +275,8 @@ def vocabulary(model_file: str) -> MergeVocabulary:
 
 def encode_texts(texts: list[str], model_file: str) -> list[list[tuple[list[int], str]]]:
     """Per text its segments' (ids, ids joined by commas)."""
-    model, seen = vocabulary(model_file), _SEEN.setdefault(model_file, {})
+    model = vocabulary(model_file)
+    seen: dict[str, tuple[list[int], str]] = worker_cache(("pieces", model_file), dict)
     cut = [model.segments(t) for t in texts]
     present = set(chain.from_iterable(cut))
     new = list(present.difference(seen))

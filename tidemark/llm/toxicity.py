@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import class_sizes, fresh_names, logistic_1d, training_rows
+from tidemark.llm.common import class_sizes, fresh_names, logistic_1d, training_rows, worker_cache
 
 PER_CLASS = 2500  # labelled texts of each class to learn from
 LANDMARKS = 128
@@ -350,9 +350,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     return train(texts, y > 0, class_sizes(labels, label))
 
 
-_MODELS: dict[str, ToxicityModel] = {}
-
-
 def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns (all, unless given) and ``toxicity``, the probability of the toxic class."""
     kept = docs.columns if keep is None else keep
@@ -362,7 +359,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
     shared = docs.sparkSession.sparkContext.broadcast(model)  # the landmarks' tables: a few MB whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = _MODELS.setdefault(shared.value.key, shared.value)
+        machine = worker_cache(("toxicity", shared.value.key), lambda: shared.value)
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             found = [machine.scores(texts[k : k + 1000]) for k in range(0, len(texts), 1000)]
