@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from tidemark.llm import embedding_dedup, near_dedup
+from tidemark.llm import components, embedding_dedup, near_dedup
 from tidemark.llm.components import connected_components
 from tidemark.llm.embedding_dedup import compare_parts, embedding_groups
 from tidemark.llm.near_dedup import distance_within, drop_near_duplicates, near_duplicate_classes, order_sketches
@@ -176,6 +176,36 @@ def test_rows_with_shared_and_missing_ids_stay(spark, rows):
     assert rows(drop_near_duplicates(docs), "doc_id", "text") == expected
 
 
+def labels_of(monkeypatch, module):
+    """The labels that the module stages from now on."""
+    seen, write = [], module.stage
+    monkeypatch.setattr(module, "stage", lambda df, label: (seen.append(label), write(df, label))[1])
+    return seen
+
+
+def test_stars_need_no_round(spark, rows, monkeypatch):
+    staged = labels_of(monkeypatch, components)
+    edges = spark.createDataFrame([(k, 0) for k in range(1, 40)] + [(100, k) for k in (101, 102)], "x long, y long")
+    found = rows(connected_components(edges.filter("y < 100")), "node", "component")
+    assert found == sorted([(k, 0) for k in range(40)], key=repr)
+    assert staged == ["edges"]
+    found = rows(connected_components(edges), "node", "component")
+    assert found == sorted([(k, 0) for k in range(40)] + [(k, 100) for k in (100, 101, 102)], key=repr)
+
+
+def test_no_further_leader_for_texts_that_share_a_passage(spark, rows, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 20)
+    rng = random.Random(3)
+    shared = [f"p{k}" for k in range(70)]
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(90)] + shared for _ in range(60)]
+    texts += family(rng, texts[0], 2, 2)
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    staged = labels_of(monkeypatch, near_dedup)
+    found = rows(near_duplicate_classes(docs), "id", "class_id")
+    assert found == sorted([(k, k if k < 60 else 0) for k in range(len(texts))], key=repr)
+    assert staged.count("near-verified") == 1
+
+
 def test_components(spark, rows):
     path = [(k + 1, k) for k in range(30)] + [(100, 101), (102, 101), (5, 5), (100, 101), (200, 200)]
     found = rows(connected_components(spark.createDataFrame(path, "x long, y long")), "node", "component")

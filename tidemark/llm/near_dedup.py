@@ -51,6 +51,7 @@ SIMILARITY = 0.8
 SKETCHES = 12
 KEPT = 2
 LEVELS = 3  # leaders that a bucket is compared with, one at a time, before its blocks meet
+JOINED = 2  # another leader is asked where the largest part is at least a half of what is outside it
 BLOCK = 512  # members of a block at most
 BLOCK_WORDS = 1 << 19  # words of a block, about
 REMEMBERED = 400_000  # words a worker keeps
@@ -421,11 +422,12 @@ def near_links(docs: DataFrame, id_col: str, text_col: str, similarity: float) -
         parts = rest.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
         main = parts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("m"), F.sum("n").alias("n")).filter("m.n < n")
         rows = stage(
-            rest.join(main.select("key", F.col("m.part").alias("main"), (F.col("n") - F.col("m.n")).alias("few")), "key")
-            .select("key", "member", "size", "score", "part", (F.col("part") != F.col("main")).alias("minor"), "few"),
+            rest.join(main.select("key", F.col("m.part").alias("main"), F.col("m.n").alias("most"), (F.col("n") - F.col("m.n")).alias("few")), "key")
+            .select("key", "member", "size", "score", "part", (F.col("part") != F.col("main")).alias("minor"), "few", "most"),
             "near-open")
-        # Another leader is asked where a bucket would need several blocks.
-        if rows.filter(F.col("few") > BLOCK).isEmpty():
+        # Another leader is asked where a bucket would need several blocks, unless its members are hardly joined: then
+        # they share a passage and are no copies of one text, and the blocks compare them as well.
+        if rows.filter((F.col("few") > BLOCK) & (F.col("most") * JOINED >= F.col("few"))).isEmpty():
             break
     links.append(stage(_exhaustive(rows, words, similarity), "near-blocks"))
     edges = links[0]
