@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import ordered
 from tidemark.operators.ordered import MOST_SLICES, Running, _placed, in_order, number_rows, slice_count
 from tidemark.session import shared_folder, stage
 
@@ -158,3 +159,18 @@ def test_known_rows_are_not_counted(skewed, spark, rows):
     assert evaluated.value == 0
     got = number_rows(costly, ["g", "t", "id"], "n", whole_rows=100, rows=900)
     assert rows(got, "n", "g", "id") == rows(number_rows(skewed, ["g", "t", "id"], "n"), "n", "g", "id")
+
+
+def test_numbering_inside_groups_writes_no_rows(skewed, rows, monkeypatch):
+    df = skewed.withColumn("g", F.when(F.col("id") % 11 > 0, F.col("g")))  # null sorts first
+    order = ["g", "t", "id"]
+    expected = rows(df.withColumn("n", F.row_number().over(Window.orderBy(*order))), "n", "g", "id", "v")
+    staged = []
+    monkeypatch.setattr(ordered, "stage", lambda df, label: (staged.append(label), stage(df, label))[1])
+    found = number_rows(df, order, "n", whole_rows=100, grouped=df.select("g"))
+    assert rows(found, "n", "g", "id", "v") == expected and found.columns == ["n", *df.columns]
+    assert staged == ["group-sizes", "group-slices"]
+    monkeypatch.setattr(ordered, "WHOLE_GROUP_ROWS", 50)  # a group that outgrows a task is cut
+    assert rows(number_rows(df, order, "n", whole_rows=100, grouped=df.select("g")), "n", "g", "id", "v") == expected
+    assert staged[2:] == ["group-sizes", "numbered"]
+    assert number_rows(df.limit(0), order, "n", grouped=df.limit(0).select("g")).count() == 0

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.quality import checks as dq
 from tidemark.quality.config import DATASETS, Checks, checks_for
-from tidemark.quality.constraints import Constraints, violations
+from tidemark.quality.constraints import Constraints, constrained_columns, violations
 from tidemark.quality.gate import QualityGateError, gate, key_completeness
 from tidemark.quality.report import log_failures, quality_report, run_report, stage_rows
 
@@ -157,3 +157,9 @@ def test_reports(spark):
     counted = stage_rows({("d", "raw"): df, ("d", "clean"): df.dropna()})
     report = run_report(counted, ["nulls dropped"], 1.5, 30)
     assert "d clean: 1" in report and "d raw: 2" in report and "Elapsed 1.50 s of 30 s: PASS" in report
+
+
+def test_columns_that_constraints_look_at():
+    assert constrained_columns("dim_project") == ["project_key", "project_id", "project_name"]
+    assert constrained_columns("fact_transactions") == ["transaction_key", "project_key", "employee_key", "vendor_key", "date_key"]
+    assert constrained_columns("b", {"a": Constraints(("k",), foreign_keys={"f": ("b", "x")}), "b": Constraints(("k",))}) == ["k", "x"]

@@ -165,7 +165,7 @@ def _range_split(df: DataFrame, keys: list[str], slices: int) -> DataFrame:
 
 def number_rows(
     df: DataFrame, order: list[str], name: str, slices: int | None = None, whole_rows: int = WHOLE_TABLE_ROWS,
-    rows: int | None = None,
+    rows: int | None = None, grouped: DataFrame | None = None,
 ) -> DataFrame:
     """Dense 1..n numbering in ``order``, equal to a global ``row_number``.
 
@@ -174,7 +174,17 @@ def number_rows(
     earlier slices (one row per slice, broadcast), without a single task that sees all
     rows. ``order`` must leave no ties but interchangeable rows. ``slices`` forces a cut.
     ``rows`` is the number of rows where it is known, which spares counting them.
+    ``grouped`` is a frame with the same values of the first column of ``order``, as often as in
+    ``df``, and small to read: where none of them outgrows a task, rows are numbered inside their
+    value, after the sizes of the smaller values. Then ``df`` is spread by that column, which
+    lookups by it can use as well, and is not written.
     """
+    if slices is None and grouped is not None:
+        sizes = grouped.groupBy(F.col(order[0]).alias("_group")).agg(F.count(F.lit(1)).alias("_n"))
+        sizes = stage(sizes, "group-sizes")
+        rows, largest = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.max("_n")).first()
+        if whole_rows < rows and largest <= WHOLE_GROUP_ROWS:
+            return _number_inside(df, order, name, sizes, slice_count(rows, min(SLICE_ROWS, whole_rows)))
     if slices is None:
         if rows is None:
             rows = df.select(*order).count()
@@ -192,6 +202,17 @@ def number_rows(
     )
 
 
+def _number_inside(df: DataFrame, order: list[str], name: str, sizes: DataFrame, slices: int) -> DataFrame:
+    """Numbers from the sizes of the smaller values of ``order[0]`` and the place inside a value."""
+    ranged = _range_split(sizes, ["_group"], slices).drop(_SPREAD)
+    sliced = stage(ranged.withColumn(SLICE, F.spark_partition_id()), "group-slices")
+    ahead = Ordered(sliced, [], ["_group"], split=True).running({"_ahead": Running("sum", F.col("_n"), prior=True)})
+    place = F.row_number().over(Window.partitionBy(order[0]).orderBy(*order))
+    found = df.withColumn("_place", place).join(ahead.rows.select("_group", "_ahead"), F.col(order[0]) == F.col("_group"), "left")
+    # null sorts first and matches nothing: nothing is ahead of it
+    return found.select((F.coalesce("_ahead", F.lit(0)) + F.col("_place")).cast("long").alias(name), *df.columns)
+
+
 def _placed(df: DataFrame, order: list[str], slices: int) -> DataFrame:
     """``df`` sorted over range slices, with its slice and position in ``_pos``."""
     ranged = _range_split(df, order, slices).drop(_SPREAD)

@@ -40,7 +40,8 @@ PROJECT_COLUMNS = [
 
 def dim_project(projects: DataFrame, slices: int | None = None) -> DataFrame:
     """Cleaned projects with a surrogate key in natural order."""
-    return number_rows(projects.select(*PROJECT_COLUMNS), ["project_id"], "project_key", slices)
+    listed = projects.select(*PROJECT_COLUMNS)
+    return number_rows(listed, ["project_id"], "project_key", slices, grouped=listed.select("project_id"))
 
 
 def dim_vendor(transactions: DataFrame, slices: int | None = None) -> DataFrame:
@@ -70,6 +71,7 @@ def fact_transactions(
     columns: list[str],
     slices: int | None = None,
     max_bytes: int = BROADCAST_BYTES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Transactions with dimension keys; the approver as of the transaction date.
 
@@ -77,13 +79,24 @@ def fact_transactions(
     they are. Transactions without a match keep a null key. Dimensions above
     ``max_bytes`` are shuffled; the hot keys of both lookups are counted in one pass.
     Of projects and vendors only the pairs of keys are written, so that measuring and
-    joining them does not build the dimensions twice.
+    joining them does not build the dimensions twice. The surrogate key is a matter of the
+    transactions alone, so they are numbered first, inside their project where ``order`` begins
+    with it: then the lookup by project needs no further shuffle, and columns of the order that
+    nobody asks for are not carried on. ``counted`` is a frame with the transactions' project and
+    vendor that costs less to read.
     """
+    kept = [c for c in columns if c not in order]
+    counted = transactions if counted is None else counted
     projects = stage(projects.select("project_id", "project_key"), "project-keys")
     vendors = stage(vendors.select("vendor_id", "vendor_key"), "vendor-keys")
-    hot = HotKeys(transactions, ["project_id", "vendor_id"])
+    carried = [*order, "project_id", "vendor_id", "approved_by", "transaction_date", "amount_aed", *kept]
+    transactions = transactions.select(*dict.fromkeys(carried))
+    hot = HotKeys(counted, ["project_id", "vendor_id"])
+    numbered = number_rows(
+        transactions, order, "transaction_key", slices,
+        grouped=counted.select("project_id") if order[0] == "project_id" else None)
     with_project = lookup_join(
-        transactions, projects, {"project_id": "project_id"}, ["project_key"], max_bytes=max_bytes, hot=hot)
+        numbered, projects, {"project_id": "project_id"}, ["project_key"], max_bytes=max_bytes, hot=hot)
     with_vendor = lookup_join(
         with_project, vendors, {"vendor_id": "vendor_id"}, ["vendor_key"], max_bytes=max_bytes, hot=hot)
     resolved = point_in_time_join(
@@ -91,14 +104,8 @@ def fact_transactions(
         version_key="employee_id", valid_from="valid_from", valid_to="valid_to",
         columns={"employee_key": "employee_key"}, max_bytes=max_bytes, slices=slices, counted=transactions,
     )
-    kept = [c for c in columns if c not in order]
-    keys = ["project_key", "employee_key", "vendor_key"]
-    carried = list(dict.fromkeys([*order, *keys, "transaction_date", "amount_aed", *kept]))
-    # every lookup keeps the number of rows, so those of the transactions are counted
-    numbered = number_rows(
-        resolved.select(*carried), order, "transaction_key", slices, rows=None if slices else hot.rows())
-    return numbered.select(
-        "transaction_key", *order, *keys,
+    return resolved.select(
+        "transaction_key", *order, "project_key", "employee_key", "vendor_key",
         date_key(F.col("transaction_date")).alias("date_key"),
         F.col("amount_aed").alias("amount"), *kept,
     )

@@ -44,6 +44,14 @@ STAR: dict[str, Constraints] = {
 }
 
 
+def constrained_columns(table: str, constraints: dict[str, Constraints] = STAR) -> list[str]:
+    """The columns of a table that any constraint looks at."""
+    rule = constraints[table]
+    own = [*rule.primary_key, *(c for u in rule.unique for c in u), *rule.not_null, *rule.foreign_keys]
+    referred = [column for r in constraints.values() for name, column in r.foreign_keys.values() if name == table]
+    return list(dict.fromkeys([*own, *referred]))
+
+
 def violations(tables: dict[str, DataFrame], constraints: dict[str, Constraints] = STAR) -> DataFrame:
     """(table, constraint, columns, violations) for every declared constraint."""
     rows = []

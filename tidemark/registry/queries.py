@@ -19,7 +19,7 @@ from tidemark.plans import business, cleaning, dashboard, governance, views
 from tidemark.plans import events as ev
 from tidemark.quality import checks as dq
 from tidemark.quality.config import DATASETS, Checks
-from tidemark.quality.constraints import Constraints, violations
+from tidemark.quality.constraints import Constraints, constrained_columns, violations
 from tidemark.quality.gate import key_completeness
 from tidemark.quality.report import stage_rows
 from tidemark.session import stage, staging_path
@@ -267,7 +267,7 @@ def history_dedup(spark, folder):
 
 
 def _dimension(spark, folder):
-    """The numbered versions, which are staged, and what they were built from."""
+    """The numbered versions and what they were built from."""
     changes = scd2.collapse_same_day(views.history(spark, folder), views.HISTORY).drop("terminal_states")
     current = views.snapshot(spark, folder)
     return scd2.build_versions(changes, current, spec=views.HISTORY), changes, current
@@ -405,7 +405,7 @@ def fact_lineitem(spark, folder, max_bytes=BROADCAST_BYTES, slices=None):
         _approved_lines(spark, folder), dim_order(spark, folder), dim_vendor(spark, folder),
         _dimension(spark, folder)[0],
         order=[c for c in views.LINE_ORDER if c != "amount_aed"] + ["amount_aed"],
-        columns=["payment_status"], max_bytes=max_bytes, slices=slices,
+        columns=["payment_status"], max_bytes=max_bytes, slices=slices, counted=views.transactions(spark, folder),
     ).drop("amount_aed")
 
 
@@ -652,16 +652,24 @@ def dq_table_constraints(spark, folder):
 
 def dq_star_constraints(spark, folder):
     """All constraints of the star schema built from the tables."""
-    projects, vendors, (people, _, _) = dim_order(spark, folder), dim_vendor(spark, folder), _dimension(spark, folder)
+
+    def written(name, table, *more):
+        # built once; what no constraint or later table looks at is not written
+        return stage(table.select(*dict.fromkeys([*constrained_columns(name), *more])), name)
+
+    projects = written("dim_project", dim_order(spark, folder), "project_manager_id")
+    vendors, people = dim_vendor(spark, folder), written("dim_employee", _dimension(spark, folder)[0])
     fact = star.fact_transactions(
         _approved_lines(spark, folder), projects, vendors, people, order=views.LINE_ORDER, columns=[],
+        counted=views.transactions(spark, folder),
     )
-    tables = {
-        "dim_date": dim_date(spark, folder), "dim_project": projects, "dim_employee": people,
-        "dim_vendor": vendors, "bridge_employee_project": star.bridge_employee_project(projects, people),
-        "fact_transactions": fact,
-    }
-    return violations({name: stage(df, name) for name, df in tables.items()})
+    return violations({
+        "dim_date": written("dim_date", dim_date(spark, folder)), "dim_project": projects,
+        "dim_employee": people, "dim_vendor": written("dim_vendor", vendors),
+        "bridge_employee_project": written(
+            "bridge_employee_project", star.bridge_employee_project(projects, people)),
+        "fact_transactions": written("fact_transactions", fact),
+    })
 
 
 # --- streaming ---------------------------------------------------------------
