@@ -4,6 +4,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import lookup
 from tidemark.operators.lookup import (
     DuplicateKeyError,
     HotKeys,
@@ -196,3 +197,20 @@ def test_point_in_time_moves_only_the_columns_asked_for(spark, rows):
     narrow = got.select("id", "n")
     assert "note" not in narrow._jdf.queryExecution().executedPlan().toString()
     assert rows(narrow) == rows(fact.selectExpr("id", "if(month(day) <= 6 AND w < 4, w * 10, null) AS n"))
+
+
+def test_the_search_for_hot_keys_does_not_count_every_key(spark, rows, monkeypatch):
+    base = spark.range(20_000).selectExpr("id", "if(id % 3 = 0, 7, if(id % 5 = 0, null, id)) AS k", "concat('x', id) AS s")
+    written = []
+    monkeypatch.setattr(lookup, "stage", lambda df, label: (written.append(stage(df, label)), written[-1])[1])
+    hot = HotKeys(base, ["k", "s"])
+    assert rows(hot.of("k", "v")) == [(7,), (None,)] and rows(hot.of("s", "v")) == [] and hot.rows() == 20_000
+    assert [df.count() for df in written] == [1, 2]
+    monkeypatch.setattr(lookup, "HOT_ROWS", 5)  # below the share: counted
+    assert rows(HotKeys(base, ["k", "s"]).of("k", "v")) == [(7,), (None,)]
+    assert rows(HotKeys(base.limit(0), ["k", "s"]).of("k", "v")) == []
+
+
+def test_a_hot_key_spread_over_many_others_is_found(spark, rows):
+    base = spark.range(400_000).selectExpr("if(id % 400 = 0, -1, id) AS k").repartition(8)
+    assert rows(HotKeys(base, ["k"]).of("k", "v")) == [(-1,)]

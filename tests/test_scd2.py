@@ -140,3 +140,15 @@ def test_increase_from_zero_has_no_percentage(spark):
     data = [("z", "Z", 0.0, date(2020, 1, 1), date(2020, 1, 31)), ("z", "Z", 9.0, date(2020, 2, 1), date(9999, 12, 31))]
     df = spark.createDataFrame(data, "employee_id string, full_name string, salary double, valid_from date, valid_to date")
     assert scd2.adjacent_increases(df).first().increase_pct is None
+
+
+def test_a_history_spread_by_its_key_is_not_shuffled_again(spark):
+    data = [(f"e{k % 7}", DAY + timedelta(days=k % 5), float(k), float(k + 5), "r", k) for k in range(60)]
+    history = spark.createDataFrame(data, HISTORY)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = scd2.collapse_same_day(history.repartition("employee_id"), SPEC)
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        assert found.columns == [*history.columns, "terminal_states"] and found.count() == 35
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")

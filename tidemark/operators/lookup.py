@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,11 @@ HOT_SHARE = 0.001
 # So does a key with more rows than this, whatever their share.
 HOT_ROWS = 50_000_000
 
+# Values that the search for frequent ones tracks in a pass, and lists. Tracking 12 / HOT_SHARE leaves an error
+# of about HOT_SHARE / 4, so none above HOT_SHARE is missed.
+_TRACKED = math.ceil(12 / HOT_SHARE)
+_LISTED = math.ceil(2 / HOT_SHARE)
+
 # Salts for facts that only pass through a lookup shuffle.
 _SALTS = 10_007
 
@@ -79,34 +85,60 @@ def _value_bytes(value: Column, kind: T.DataType) -> Column:
 class HotKeys:
     """Keys with very many rows, for several lookups of one base table in a single pass.
 
-    Counted when the first large lookup asks, then kept in the shared folder.
+    Searched when the first large lookup asks, then kept in the shared folder.
     """
 
     def __init__(self, base: DataFrame, columns: list[str]):
         self.base, self.columns = base, columns
-        self._counts: DataFrame | None = None
+        self._rows: int | None = None
         self._found: DataFrame | None = None
 
     def rows(self) -> int:
-        """Rows of the base, from the counted keys where there are some."""
-        if self._counts is None:
-            return self.base.count()
-        return self._counts.filter(F.col("c") == self.columns[0]).agg(F.sum("_n")).first()[0] or 0
+        """Rows of the base, from the search where there was one."""
+        return self.base.count() if self._rows is None else self._rows
 
     def of(self, column: str, name: str) -> DataFrame:
         """The hot values of ``column`` as a small table with one column ``name``; null is one of them."""
         if self._found is None:
-            pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in self.columns])
-            counts = (
-                self.base.select(F.explode(pairs).alias("p"))
-                .groupBy("p.c", "p.v").agg(F.count(F.lit(1)).alias("_n"))
-            )
-            self._counts = stage(counts, "key-counts")
-            self._found = stage(_over_bound(self._counts, ["c"]), "hot-keys")
+            self._found, self._rows = _frequent(self.base, self.columns)
         kind = self.base.schema[column].dataType
         return self._found.filter(F.col("c") == column).select(F.col("v").cast(kind).alias(name))
 
 
+def _frequent(base: DataFrame, columns: list[str]) -> tuple[DataFrame, int]:
+    """(column, value as text) of the values above ``HOT_SHARE`` or ``HOT_ROWS``, null too, and the rows of ``base``.
+
+    Every task keeps the values that may be frequent, so the many others are not shuffled. Nothing above the share is
+    missed, and what is a quarter below it may be listed, which costs nothing: the keys only choose a way to join.
+    Where ``HOT_ROWS`` is less than the share, the values are counted.
+    """
+    texts = [F.col(f"`{c}`").cast("string") for c in columns]
+    listed = [F.call_function("approx_top_k", t, F.lit(_LISTED), F.lit(_TRACKED)) for t in texts]
+    seen = stage(base.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[top.alias(f"top{i}") for i, top in enumerate(listed)],
+        *[F.count(F.when(t.isNull(), 1)).alias(f"null{i}") for i, t in enumerate(texts)],
+    ), "key-counts")
+    rows = seen.select("n").first()[0]
+    if rows * HOT_SHARE > HOT_ROWS:
+        pairs = F.array(*[F.struct(F.lit(c).alias("c"), t.alias("v")) for c, t in zip(columns, texts)])
+        counts = base.select(F.explode(pairs).alias("p")).groupBy("p.c", "p.v").agg(F.count(F.lit(1)).alias("_n"))
+        return stage(_over_bound(stage(counts, "key-counts"), ["c"]), "hot-keys"), rows
+    values = F.array(*[
+        F.struct(
+            F.lit(c).alias("c"),
+            F.concat(
+                F.transform(F.filter(f"top{i}", lambda x: x["item"].isNotNull()),
+                            lambda x: F.struct(x["item"].alias("v"), x["count"].alias("_n"))),
+                F.array(F.struct(F.lit(None).cast("string").alias("v"), F.col(f"null{i}").alias("_n"))),
+            ).alias("found"),
+        )
+        for i, c in enumerate(columns)
+    ])
+    found = seen.select("n", F.explode(values).alias("e")).select("n", "e.c", F.explode("e.found").alias("f"))
+    return stage(found.filter(F.col("f._n") > F.col("n") * HOT_SHARE).select("c", "f.v", "f._n"), "hot-keys"), rows
+
+
 def _over_bound(counts: DataFrame, within: list[str]) -> DataFrame:
     """Counted keys above the share or the row bound; the share is of the same counts."""
     total = counts.groupBy(*within).agg(F.sum("_n").alias("_all"))  # one row per column
@@ -213,7 +245,9 @@ def _join_apart(
 
 
 def _hot_keys(fact: DataFrame, fact_keys: list[str], side_keys: list[str]) -> DataFrame:
-    """The keys above ``HOT_SHARE`` or ``HOT_ROWS``, missing ones too, as a small stored table."""
+    """The keys above ``HOT_SHARE`` or ``HOT_ROWS``, missing ones too, as a small stored table. Keys of several columns are counted."""
+    if len(fact_keys) == 1 and isinstance(fact.schema[fact_keys[0]].dataType, T.AtomicType):
+        return HotKeys(fact, fact_keys).of(fact_keys[0], side_keys[0])
     keyed = fact.select(*[F.col(f"`{k}`").alias(s) for k, s in zip(fact_keys, side_keys)])
     counts = keyed.groupBy(*side_keys).agg(F.count(F.lit(1)).alias("_n"))
     return stage(_over_bound(stage(counts, "key-counts"), []).select(*side_keys), "hot-keys")

@@ -39,22 +39,26 @@ def collapse_same_day(history: DataFrame, spec: HistorySpec = HistorySpec()) ->
     ``tiebreak`` is kept; ``terminal_states`` tells how many there were.
 
     Instead of joining a day's changes with each other, every change is counted
-    under its new and under its previous value, which combines map-side.
+    under its new and under its previous value. Both rows are made in place, so a history
+    that is spread by its key is not shuffled again, nor are the changes that come out.
     """
     whole = F.struct(*history.columns)
     ranked = F.struct(F.struct(*spec.tiebreak).alias("rank"), whole.alias("row"))
     unchanged = F.coalesce(F.col(spec.previous) == F.col(spec.new), F.lit(False))
-    ends = history.select(
-        F.col(spec.key).alias("_id"), F.col(spec.day).alias("_day"), F.col(spec.new).alias("_value"),
-        ranked.alias("_any"), F.when(unchanged, ranked).alias("_same"),
-        F.lit(0).alias("_starts"), F.lit(0).alias("_own"),
-    )
-    starts = history.filter(F.col(spec.previous).isNotNull()).select(
-        F.col(spec.key).alias("_id"), F.col(spec.day).alias("_day"), F.col(spec.previous).alias("_value"),
-        F.lit(1).alias("_starts"), unchanged.cast("int").alias("_own"),
+    counted = F.array(
+        F.struct(
+            F.col(spec.new).alias("_value"), ranked.alias("_any"), F.when(unchanged, ranked).alias("_same"),
+            F.lit(0).alias("_starts"), F.lit(0).alias("_own"),
+        ),
+        F.struct(
+            F.col(spec.previous).alias("_value"), F.when(F.lit(False), ranked).alias("_any"),
+            F.when(F.lit(False), ranked).alias("_same"), F.lit(1).alias("_starts"), unchanged.cast("int").alias("_own"),
+        ),
     )
     per_value = (
-        ends.unionByName(starts, allowMissingColumns=True)
+        history.select(F.col(spec.key).alias("_id"), F.col(spec.day).alias("_day"), F.explode(counted).alias("_c"))
+        .select("_id", "_day", "_c.*")
+        .filter((F.col("_starts") == 0) | F.col("_value").isNotNull())
         .groupBy("_id", "_day", "_value")
         .agg(
             F.max("_any").alias("_any"),
@@ -78,7 +82,10 @@ def collapse_same_day(history: DataFrame, spec: HistorySpec = HistorySpec()) ->
     per_day = candidates.groupBy("_id", "_day").agg(
         F.max("_best").alias("_best"), F.sum("_ends").alias("terminal_states")
     )
-    return per_day.select("_best.pick.row.*", "terminal_states")
+    grouped = {spec.key: "_id", spec.day: "_day"}
+    return per_day.select(
+        *[F.col(grouped.get(c, f"_best.pick.row.`{c}`")).alias(c) for c in history.columns], "terminal_states"
+    )
 
 
 def build_versions(
@@ -95,7 +102,8 @@ def build_versions(
     Every change but a key's last is a closed version ending the day before the
     next one. The last one is open and takes its attributes from the snapshot. Keys without
     changes get one open version from ``first_day``. One window over the changes
-    (at most one row per key and day) and one join do all three.
+    (at most one row per key and day) and one join do all three, and the numbers
+    follow inside the keys, by which the rows are spread already.
     """
     attributes = list(spec.versioned)
     by_key = Window.partitionBy(spec.key).orderBy(spec.day)
@@ -119,7 +127,7 @@ def build_versions(
         (~closed).alias("is_current"),
         F.when(closed, F.col("_reason")).alias("change_reason"),
     )
-    return number_rows(dimension, [spec.key, "valid_from"], surrogate, slices)
+    return number_rows(dimension, [spec.key, "valid_from"], surrogate, slices, grouped=dimension.select(spec.key))
 
 
 def several_current(dimension: DataFrame, key: str = "employee_id") -> DataFrame:
