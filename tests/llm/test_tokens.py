@@ -1,12 +1,15 @@
 """SentencePiece agenda and token files against the libraries, byte for byte."""
 
+import gc
 import hashlib
 import io
 import itertools
 import random
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -180,3 +183,34 @@ def test_a_worker_keeps_words_of_one_operator_at_a_time():
     near_dedup.word_codes(["some words"])
     assert set(common.worker_cache(("word codes",), dict)) == {"some", "words"} and len(common._KEPT) == 1
     assert common.worker_cache(("pieces", "model"), dict) == {}
+
+
+def test_remembered_segments_are_small():
+    words = ["".join(w) for w in itertools.product("bdlmnrst", "aeiou", "bdlmnrst", "aeiou", "xyz")]
+    piece_bpe.encode_texts([" ".join(words)], MODEL)
+    kept = common.worker_cache(("pieces", MODEL), dict)
+    assert len(kept) >= len(words)
+    assert sum(sys.getsizeof(v) for v in kept.values()) < 64 * len(kept)
+    assert all(type(v) is bytes for v in kept.values())
+
+
+def test_batches_are_taken_in_pieces_of_bounded_bytes():
+    texts = ["é" * 200_000, None, "", "b" * 700_000, "c" * 900_000, "d" * 2_500_000, None, "e"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["c0", "t"])
+    parts = list(piece_bpe._sliced(batch, 1))
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts
+    assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column(1).to_pylist()) <= 1 << 20 for p in parts)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rows = [r for b in piece_bpe._encoder(MODEL, False, 1)(iter([batch])) for r in b.to_pylist()]
+    gc.enable()
+    assert [(r["c0"], r["c2"]) for r in rows] == [(k, library.encode(t or "")) for k, t in enumerate(texts)]
+
+
+def test_verification_lets_go_of_words():
+    near_dedup.word_codes(["some words"])
+    assert common._KEPT
+    codes = pa.array([np.arange(9, dtype=np.uint32).tobytes()], pa.binary())
+    names = [pa.array([x]) for x in ("a", "b", "a", "b")]
+    batch = pa.RecordBatch.from_arrays([*names, codes, codes], ["leader", "member", "own", "part", "w1", "w2"])
+    (found,) = near_dedup._verifier(0.8)(iter([batch]))
+    assert found.column(4).to_pylist() == [True] and not common._KEPT

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.session import stage, staging_path
 
 __all__ = [
-    "class_sizes", "fresh_names", "held_out", "logistic_1d", "slices_for", "stage", "staging_path", "table",
+    "class_sizes", "forget", "fresh_names", "held_out", "logistic_1d", "release_freed", "slices_for", "stage", "staging_path", "table",
     "training_rows", "whole_text", "worker_cache",
 ]
 
@@ -37,13 +37,25 @@ def worker_cache(owner: tuple[str, ...], make: Callable[[], Any]) -> Any:
     Workers outlive a stage: what another operator, or an earlier model, has kept is let go first.
     """
     if owner not in _KEPT:
-        _KEPT.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        forget()
         _KEPT[owner] = make()
     return _KEPT[owner]
 
 
+def forget() -> None:
+    """Let go of what the worker keeps."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+    release_freed()
+
+
+def release_freed() -> None:
+    """Hand freed memory back to the system, also that of the C library: idle workers count towards an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 def fresh_names(df: DataFrame, *wanted: str) -> list[str]:
     """Names close to the wanted ones that no column of ``df`` carries."""
     taken = {name.lower() for name in df.columns}

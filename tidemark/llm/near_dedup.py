@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh_names, stage, worker_cache
+from tidemark.llm.common import forget, fresh_names, release_freed, stage, worker_cache
 from tidemark.llm.components import connected_components
 
 WORDS = 5
@@ -210,6 +210,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lists = pa.array([k.tolist() if s else None for k, s in zip(keys, some, strict=True)], pa.list_(pa.int64()))
             sizes = pa.array([len(c) for c in codes], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(1), lists, sizes], ["digest", "keys", "words"])
+    release_freed()
 
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,10 +218,12 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _parts(whole, 1):
             codes = pa.array([c.tobytes() for c in word_codes(texts)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), codes, batch.column(2)], ["member", "words", "keys"])
+    release_freed()
 
 
 def _verifier(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # all words are coded and written by now
         for batch in batches:
             one, other = batch.column(4), batch.column(5)
             linked = [

@@ -34,16 +34,18 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh_names, worker_cache
+from tidemark.llm.common import fresh_names, release_freed, worker_cache
 
 BLANK = "▁"
 BREAK = "\n"
 SHORT = 60  # characters up to which segments share a batch agenda
-REMEMBERED = 600_000  # segments a worker keeps; beyond, only those of the present texts stay
-BATCH_BYTES = 4 << 20  # text taken from an Arrow batch at a time
+REMEMBERED = 300_000  # segments a worker keeps; beyond, only those of the present texts stay
+BATCH_BYTES = 1 << 20  # text taken from an Arrow batch at a time; its segments take some twenty times that
+LEARNED = 5_000  # segments encoded at a time
 NEVER = np.iinfo(np.int64).max
 
 
@@ -273,10 +275,10 @@ def vocabulary(model_file: str) -> MergeVocabulary:
     return _LOADED[model_file]
 
 
-def encode_texts(texts: list[str], model_file: str) -> list[list[tuple[list[int], str]]]:
-    """Per text its segments' (ids, ids joined by commas)."""
+def _packed(texts: list[str], model_file: str) -> list[list[bytes]]:
+    """Per text its segments' ids as 32-bit numbers: a fraction of what lists of them take."""
     model = vocabulary(model_file)
-    seen: dict[str, tuple[list[int], str]] = worker_cache(("pieces", model_file), dict)
+    seen: dict[str, bytes] = worker_cache(("pieces", model_file), dict)
     cut = [model.segments(t) for t in texts]
     present = set(chain.from_iterable(cut))
     new = list(present.difference(seen))
@@ -284,16 +286,26 @@ def encode_texts(texts: list[str], model_file: str) -> list[list[tuple[list[int]
         kept = {s: seen[s] for s in present.intersection(seen)}
         seen.clear()
         seen.update(kept)
-    text_of = model.texts.__getitem__
-    for k in range(0, len(new), 20_000):
-        part = new[k : k + 20_000]
-        seen.update((s, (i, ",".join(map(text_of, i)))) for s, i in zip(part, model.checked(part), strict=True))
-    return [[seen[s] for s in segments] for segments in cut]
+    for k in range(0, len(new), LEARNED):
+        part = new[k : k + LEARNED]
+        found = model.checked(part)
+        flat = np.fromiter(chain.from_iterable(found), np.int32).tobytes()
+        ends = (4 * np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))).tolist()
+        seen.update((s, flat[b:e]) for s, b, e in zip(part, [0, *ends], ends, strict=False))
+    return [list(map(seen.__getitem__, segments)) for segments in cut]
+
+
+def encode_texts(texts: list[str], model_file: str) -> list[list[tuple[list[int], str]]]:
+    """Per text its segments' (ids, ids joined by commas)."""
+    text_of = vocabulary(model_file).texts.__getitem__
+    found = [[np.frombuffer(p, np.int32).tolist() for p in parts] for parts in _packed(texts, model_file)]
+    return [[(ids, ",".join(map(text_of, ids))) for ids in parts] for parts in found]
 
 
 def _sliced(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of bounded text."""
-    sizes = np.cumsum([0 if v is None else len(v) for v in batch.column(column).to_pylist()])
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    sizes = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
     begin, spent = 0, 0
     for k, size in enumerate(sizes):
         if size - spent > BATCH_BYTES and k > begin:
@@ -309,22 +321,26 @@ def _encoder(model_file: str, digests: bool, column: int):
         gc.disable()  # nothing here makes cycles, and the remembered segments would be walked again and again
         for whole in batches:
             for batch in _sliced(whole, column):
-                texts = [t or "" for t in batch.column(column).to_pylist()]
-                parts = encode_texts(texts, model_file)
-                ids = [list(chain.from_iterable(i for i, _ in p)) for p in parts]
+                packed = [b"".join(p) for p in _packed([t or "" for t in batch.column(column).to_pylist()], model_file)]
+                flat = np.frombuffer(b"".join(packed), np.int32)
+                ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
+                numbers = model.ints[flat].tolist()
+                ids = [numbers[b:e] for b, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
                 decoded = model.library.decode(ids, num_threads=1) if ids else []
                 kept = list(batch.columns)
                 if digests:
-                    joined = (",".join(s for _, s in p) for p in parts)
+                    joined = (",".join(map(model.texts.__getitem__, i)) for i in ids)
                     new = [
-                        pa.array(map(len, ids), pa.int64()),
+                        pa.array(np.diff(ends), pa.int64()),
                         pa.array([hashlib.sha256(s.encode()).hexdigest() for s in joined], pa.string()),
                         pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()),
                     ]
                     kept.pop(column)
                 else:
-                    new = [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+                    new = [lists, pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays([*kept, *new], [f"c{k}" for k in range(len(kept) + len(new))])
+        release_freed()
 
     return run
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import class_sizes, fresh_names, logistic_1d, training_rows, worker_cache
+from tidemark.llm.common import class_sizes, fresh_names, logistic_1d, release_freed, training_rows, worker_cache
 
 PER_CLASS = 2500  # labelled texts of each class to learn from
 LANDMARKS = 128
@@ -50,6 +50,7 @@ LEAST_RATIO = 8.0  # log-likelihood ratio that a landmark needs
 SURE = 0.6  # squared kernel value from which a sentence holds a landmark
 BITS = 20
 REMEMBERED = 400_000  # words a worker keeps; it starts anew beyond
+LEARNED = 5_000  # words compared with the landmarks at a time
 REJECTED = 0.5  # score from which a document counts as toxic
 PATTERNS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]  # second and third letter's distance from the first
 MARKS = re.compile(r"[\W_]+")
@@ -156,8 +157,8 @@ class ToxicityModel:
         return self.__dict__ | {"features": {}, "near": set()}
 
     def _learn_words(self, words: list[str]) -> None:
-        for begin in range(0, len(words), 20_000):
-            part = words[begin : begin + 20_000]
+        for begin in range(0, len(words), LEARNED):
+            part = words[begin : begin + LEARNED]
             windows = [_windows(w) for w in part]
             owner = np.repeat(np.arange(len(part)), [len(w) for w in windows])
             at, value = self.kernel.similar(list(chain.from_iterable(windows)))
@@ -365,6 +366,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
             found = [machine.scores(texts[k : k + 1000]) for k in range(0, len(texts), 1000)]
             values = pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], values], [f"c{k}" for k in range(len(kept) + 1)])
+        release_freed()
 
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(sent)])
     kinds = "".join(f"{c} {t}, " for c, t in rows.dtypes[: len(kept)])
