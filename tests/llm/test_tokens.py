@@ -176,6 +176,30 @@ def test_known_words_are_kept_by_their_bytes():
     assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == own
 
 
+def test_stops_behind_words_are_pieces_of_their_own():
+    library = Tokenizer.from_file(TOKENIZER)
+    encoder = token_files.WordEncoder(TOKENIZER)
+    rng = random.Random(23)
+    parts = ["end", "the", "It's", "é", "7", "naïve", ".", ",", "...", "!?", "|", '"', "$", "<|endoftext|>", "<|endoftext|"]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(4000)]
+    texts = ["The end, the end. The end; end|\nend!", "end.", ".", "a.", "a.b. c", "a.. b."]
+    texts += [rng.choice(" \n").join(words[k : k + 8]) for k in range(0, len(words), 8)]
+    own = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert own == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert {b" end", b",", b"."} <= set(encoder.seen)
+    assert {b" end,", b" end.", b" end;", b" end|", b"end!"}.isdisjoint(encoder.seen)
+
+
+def test_added_tokens_with_stops_stay_whole(tmp_path):
+    for token in ("end.", "<x|", "#a,"):
+        library = Tokenizer.from_file(TOKENIZER)
+        library.add_tokens([token])
+        library.save(str(tmp_path / "added.json"))
+        encoder = token_files.WordEncoder(str(tmp_path / "added.json"))
+        texts = [f"The {token} is the {token}\n{token} end. Then, {token}"]
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == [library.encode(texts[0], add_special_tokens=False).ids]
+
+
 def test_a_worker_keeps_words_of_one_operator_at_a_time():
     pieces = common.worker_cache(("pieces", "model"), dict)
     pieces["word"] = 1

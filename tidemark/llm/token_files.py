@@ -30,10 +30,11 @@ no file.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Collection, Iterable, Iterator
+from itertools import chain, filterfalse
 from typing import BinaryIO
 
 import numpy as np
@@ -67,6 +68,11 @@ STOPS = ".,;:!?|"  # marks behind a word that are a piece of their own
 # Marks that are in no UTF-8 text.
 _CUT, _TEXT_END = b"\xff", b"\xfe"
 
+_COMMON = re.compile(rb"( ?[A-Za-z]+)([.,;:!?|]*)")  # the form of most words
+_WORD_STOP = re.compile(rb"[A-Za-z][.,;:!?|][ \n\xff]")
+_LETTER, _STOP, _BEHIND = (np.isin(np.arange(256), list(x)) for x in (
+    b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", STOPS.encode(), b" \n" + _CUT))
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -129,12 +135,22 @@ class WordEncoder:
         self.byte_letters = {b: ask(chr(b))[0][0] for b in range(0x80)}
         self.byte_letters |= {b: ask(chr(0xC0 | b & 0x3F))[0][0][1] for b in range(0x80, 0xC0)}
         self.byte_letters |= {b: ask(chr((b & 0x1F) << 6))[0][0][0] for b in range(0xC2, 0xE0)}
-        self.direct = self.library.normalizer is None and all(
-            self._model_ids(w) == self.library.encode(w, add_special_tokens=False).ids for w in ("the", " the", "Été", " über", "ñá")
+        self.blank = self.byte_letters[ord(" ")]
+        self.direct = (
+            self.library.normalizer is None
+            and all(self.byte_letters[b] == chr(b) for b in range(0x80) if chr(b).isalpha())
+            and all(
+                self._model_ids(w) == self.library.encode(w, add_special_tokens=False).ids
+                for w in ("the", " the", "Été", " über", "ñá"))
         )
+        # A stop between a letter and white space is a piece of its own, unless an added token has it so.
+        self.stops_apart = self.direct and not any(_WORD_STOP.search(t.encode() + _CUT) for t in self.added)
 
     def _model_ids(self, word: str) -> list[int]:
-        letters = word.encode().decode("latin-1").translate(self.byte_letters)
+        if word.isascii():
+            letters = word.replace(" ", self.blank)
+        else:
+            letters = word.encode().decode("latin-1").translate(self.byte_letters)
         return [t.id for t in self.library.model.tokenize(letters)]
 
     @staticmethod
@@ -147,21 +163,28 @@ class WordEncoder:
         return word.removeprefix(" ").isalpha() and (word.isascii() or max(word) < "\u0500")
 
     def _learn(self, words: list[bytes]) -> None:
-        seen, rest = self.seen, []
+        seen, rest, common = self.seen, [], _COMMON.fullmatch
+        tokenize, blank, pack = self.library.model.tokenize, self.blank, struct.pack
+        quick = self.direct and not self.spelled
         for raw in words:
-            word = raw.decode()
-            core = word.rstrip(STOPS)
-            if not self.direct or not self._letters(core) or (self.spelled and any(t in word for t in self.spelled)):
-                rest.append(word)
-            elif core == word:
-                seen[raw] = self._packed(self._model_ids(word))
+            if quick and (found := common(raw)):
+                begin, end = found.groups()
+                if begin not in seen:
+                    ids = [t.id for t in tokenize(begin.decode().replace(" ", blank))]
+                    seen[begin] = pack(f"<{len(ids)}I", *ids)
             else:
-                stops = word[len(core) :]
-                begin, end = raw[: -len(stops)], raw[-len(stops) :]  # stops are one byte each
+                word = raw.decode()
+                core = word.rstrip(STOPS)
+                if not self.direct or not self._letters(core) or (self.spelled and any(t in word for t in self.spelled)):
+                    rest.append(word)
+                    continue
+                stops = len(word) - len(core)  # stops are one byte each
+                begin, end = raw[: len(raw) - stops], raw[len(raw) - stops :]
                 if begin not in seen:
                     seen[begin] = self._packed(self._model_ids(core))
+            if end:
                 if end not in seen:
-                    seen[end] = self._packed(self.library.encode(stops, add_special_tokens=False).ids)
+                    seen[end] = self._packed(self.library.encode(end.decode(), add_special_tokens=False).ids)
                 seen[raw] = seen[begin] + seen[end]
         for k in range(0, len(rest), 20_000):
             part = rest[k : k + 20_000]
@@ -183,22 +206,28 @@ class WordEncoder:
                 out[k] = b"".join(map(self.seen.__getitem__, w))
         return out
 
-    def _know(self, present: set[bytes]) -> None:
-        new = present.difference(self.seen)
+    def _know(self, present: Collection[bytes]) -> None:
+        """``present``: different words."""
+        new = list(filterfalse(self.seen.__contains__, present))
         if len(self.seen) + len(new) > REMEMBERED:
-            self.seen = {w: self.seen[w] for w in present.intersection(self.seen)}
-        self._learn(list(new))
+            self.seen = {w: self.seen[w] for w in present if w in self.seen}
+        self._learn(new)
 
     def _encode_plain(self, texts: list[str]) -> list[bytes]:
         """Texts with no white space but single blanks and line breaks between words: cut and coded as one column."""
         data = b"".join(t.encode() + _CUT + _TEXT_END + _CUT for t in texts)
+        if self.stops_apart:
+            raw = np.frombuffer(data, np.uint8)
+            apart = np.flatnonzero(_LETTER[raw[:-2]] & _STOP[raw[1:-1]] & _BEHIND[raw[2:]]) + 1
+            data = np.insert(raw, apart, _CUT[0]).tobytes()
         cut = data.replace(b" ", _CUT + b" ").replace(b"\n", _CUT + b"\n" + _CUT)
         pieces = pc.split_pattern(pa.array([cut], pa.large_binary()), _CUT).flatten().dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         at = pieces.indices.to_numpy(zero_copy_only=False)
-        self._know(set(distinct) - {b"", _TEXT_END})
-        coded = [self.seen[w] if w and w != _TEXT_END else b"" for w in distinct]
-        sizes = np.array([len(c) // 4 for c in coded], np.int64)
+        self.seen[b""] = self.seen[_TEXT_END] = b""
+        self._know(distinct)
+        coded = list(map(self.seen.__getitem__, distinct))
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         begins, length = np.cumsum(sizes) - sizes, sizes[at]
         ends = np.cumsum(length)
         ids = np.frombuffer(b"".join(coded), "<u4")
